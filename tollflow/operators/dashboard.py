@@ -5,8 +5,13 @@ Plan shape (SURVEY §4.3):
 * one scan of the fact, rolled up once to hourly grain (map-side partial
   sums, one shuffle); the daily grain is rolled up from the hourly rows
   instead of re-reading the fact;
-* the peak hour is a top-1 per date (row_number = 1), which Catalyst turns
-  into WindowGroupLimit before and after the exchange;
+* the peak hour is a top-1 per date.  The production path marks the rn = 1
+  hourly row with a window partitioned by date and folds it into the daily
+  aggregate: the window's date partitioning already satisfies the daily
+  grouping, so the fact is read once and shuffled twice (hourly keys, then
+  date), with no self-join of the hourly rollup.  ``final_metrics`` keeps
+  the reference's explicit left join (J3) for the standalone operator;
+  there Catalyst turns rn = 1 into WindowGroupLimit around the exchange;
 * the reference's cross join with six OR'ed predicates is replaced by an
   explode of six (filter_type, filter_value) pairs per metric row and an
   equi join with the broadcast filter table.  Each OR branch fixes its own
@@ -96,6 +101,30 @@ def peak_hours_top1(hourly: DataFrame, scope: str = "date") -> DataFrame:
     return peak_hours_ranked(hourly, scope).where(F.col("rn") == 1).drop("rn")
 
 
+def daily_with_peak(hourly: DataFrame, scope: str = "date") -> DataFrame:
+    """Daily metrics with the peak hour attached, in one pass over the hourly grain.
+
+    Same result as ``final_metrics(daily_metrics(h), peak_hours_top1(h))``:
+    the rn = 1 row of a date carries its hour and entries into the daily
+    group it belongs to; every other daily group gets NULL.  A peak row with
+    a NULL key would not match in the left join, so it is not carried either.
+    """
+    is_peak = F.row_number().over(_peak_window(scope)) == 1
+    marked = hourly.withColumn("_peak", is_peak & F.col("toll_date").isNotNull()
+                               & F.col("vehicle_class").isNotNull()
+                               & F.col("detection_region").isNotNull())
+    sums = marked.groupBy(*DAILY_KEYS).agg(
+        F.sum("hourly_entries").alias("total_entries"),
+        F.sum("hourly_excluded").alias("total_excluded"),
+        F.max(F.when(F.col("_peak"), F.col("hour"))).alias("peak_hour"),
+        F.max(F.when(F.col("_peak"), F.col("hourly_entries"))).alias("peak_hour_entries"),
+    )
+    return sums.select(
+        *DAILY_KEYS, "total_entries", "total_excluded",
+        C.percent_2dp("total_excluded", "total_entries").alias("exempt_ratio"),
+        "peak_hour", "peak_hour_entries")
+
+
 def final_metrics(daily: DataFrame, peak_top1: DataFrame) -> DataFrame:
     """Daily rows with the peak hour attached by a 3-key left join.
 
@@ -137,7 +166,8 @@ def dashboard_traffic(final: DataFrame, filters: DataFrame) -> DataFrame:
         "peak_hour", "peak_hour_entries", "filter_type", "filter_value", "filter_display")
 
 
-def day_of_week_matches(final: DataFrame, filters: DataFrame, dim_t: DataFrame) -> DataFrame:
+def day_of_week_matches(final: DataFrame, filters: DataFrame, dim_t: DataFrame,
+                        small=lambda df: df) -> DataFrame:
     """The day_of_week branch alone, with the EXISTS kept as a join.
 
     EXISTS (SELECT 1 FROM dim_time t WHERE t.toll_date = f.toll_date AND
@@ -148,7 +178,7 @@ def day_of_week_matches(final: DataFrame, filters: DataFrame, dim_t: DataFrame)
     """
     dow = filters.where(F.col("filter_type") == "day_of_week")
     days = dim_t.select("toll_date", F.col("day_of_week_name").alias("filter_value"))
-    dated = dow.join(days, "filter_value", "inner")
+    dated = small(dow.join(days, "filter_value", "inner"))
     return final.join(dated, "toll_date", "inner").select(
         *DAILY_KEYS, "total_entries", "total_excluded", "exempt_ratio",
         "peak_hour", "peak_hour_entries", "filter_type", "filter_value", "filter_display")

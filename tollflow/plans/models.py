@@ -15,10 +15,11 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tollflow.operators import dashboard as D
 from tollflow.operators import dims, fact, kpi, staging
-from tollflow.operators.joins import broadcast_if_small
+from tollflow.operators.joins import broadcast_budget_rows, broadcast_if_small
 
 
 class TrafficModels:
@@ -33,6 +34,11 @@ class TrafficModels:
     def _small(self, df: DataFrame) -> DataFrame:
         return broadcast_if_small(df, self.broadcast_bytes)
 
+    @cached_property
+    def calendar_days(self) -> int:
+        """Days in the calendar: an upper bound on rows of any per-date frame."""
+        return self.dim_time_small.count()
+
     # -- staging ------------------------------------------------------------
     @cached_property
     def stg_entries(self) -> DataFrame:
@@ -120,18 +126,26 @@ class TrafficModels:
     def final_metrics(self) -> DataFrame:
         peak = self.peak_hours_top1
         if self.peak_scope == "date":
-            # One row per date at most: bounded by the calendar, checked anyway.
-            peak = self._small(peak)
+            # rn = 1 leaves at most one row per date, so the calendar's day
+            # count bounds this side without running it; broadcast only when
+            # that bound fits the budget, otherwise a shuffle join.
+            if self.calendar_days <= broadcast_budget_rows(peak, self.broadcast_bytes):
+                peak = F.broadcast(peak)
         return D.final_metrics(self.daily_metrics, peak)
 
+    @cached_property
+    def metrics_with_peak(self) -> DataFrame:
+        """final_metrics computed in a single pass (production path)."""
+        return D.daily_with_peak(self.hourly_rollup, self.peak_scope)
+
     @cached_property
     def dashboard_traffic(self) -> DataFrame:
-        return D.dashboard_traffic(self.final_metrics, self.dim_filters_small)
+        return D.dashboard_traffic(self.metrics_with_peak, self.dim_filters_small)
 
     @cached_property
     def day_of_week_matches(self) -> DataFrame:
-        return D.day_of_week_matches(self.final_metrics, self.dim_filters_small,
-                                     self.dim_time_small)
+        return D.day_of_week_matches(self.metrics_with_peak, self.dim_filters_small,
+                                     self.dim_time_small, small=self._small)
 
     def tables(self) -> dict[str, DataFrame]:
         """Every materialized model of the reference, by name."""
