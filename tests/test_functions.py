@@ -1,0 +1,100 @@
+"""Column functions on hand-made values: NULLs, bounds and ties."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tollflow.functions import columns as C
+
+
+def one(spark, expr, value, dtype):
+    df = spark.createDataFrame([(value,)], f"x {dtype}")
+    return df.select(expr(F.col("x")).alias("y")).first()["y"]
+
+
+def test_severity_bounds(spark):
+    cases = {None: "LOW", 0: "LOW", 1000: "LOW", 1001: "MODERATE", 5000: "MODERATE",
+             5001: "HIGH", 10000: "HIGH", 10001: "SEVERE"}
+    for v, want in cases.items():
+        assert one(spark, C.severity_level, v, "bigint") == want, v
+
+
+def test_strip_class_code_removes_one_prefix(spark):
+    assert one(spark, C.strip_class_code, "1 - Cars, Pickups and Vans", "string") == \
+        "Cars, Pickups and Vans"
+    assert one(spark, C.strip_class_code, "12 - 3 - Odd", "string") == "3 - Odd"
+    assert one(spark, C.strip_class_code, "TLC Taxi/FHV", "string") == "TLC Taxi/FHV"
+    assert one(spark, C.strip_class_code, None, "string") is None
+
+
+def test_vehicle_code_and_label(spark):
+    assert one(spark, lambda c: C.categorize_vehicle(C.vehicle_code(c)),
+               "3 - Multi-Unit Trucks", "string") == "Multi-Unit Trucks"
+    assert one(spark, lambda c: C.categorize_vehicle(C.vehicle_code(c)),
+               "TLC Taxi/FHV", "string") == "TLC Taxi/FHV"
+    assert one(spark, lambda c: C.categorize_vehicle(C.vehicle_code(c)),
+               "9 - Spaceship", "string") == "Other"
+    assert one(spark, C.categorize_vehicle, None, "string") == "Other"
+    # After staging no code is left, so the macro would say Other (Q15).
+    assert one(spark, C.categorize_vehicle, "Buses", "string") == "Other"
+
+
+def test_location_chains_first_match_wins(spark):
+    assert one(spark, C.borough_of, "Queens Midtown Tunnel", "string") == "Queens"
+    assert one(spark, C.facility_type_of, "Queens Midtown Tunnel", "string") == "Tunnel"
+    assert one(spark, C.facility_type_of, "Midtown Gate", "string") == "Midtown"
+    assert one(spark, C.facility_type_of, "Manhattan CBD", "string") == "Central Business District"
+    assert one(spark, C.borough_of, "East 60th St", "string") == "East 60th St"
+    assert one(spark, C.borough_of, "manhattan bridge", "string") == "manhattan bridge"  # case
+    assert one(spark, C.borough_of, None, "string") is None
+    assert one(spark, C.facility_type_of, None, "string") == "Other"
+    assert one(spark, C.simple_borough, "Brooklyn Bridge", "string") == "Brooklyn"
+    assert one(spark, C.simple_borough, "Bronx CBD Gate", "string") == "Other Boroughs"
+    assert one(spark, C.simple_borough, None, "string") == "Other Boroughs"
+
+
+def test_ratios_round_half_up_and_zero_guard(spark):
+    df = spark.createDataFrame([(23, 40), (1, 0), (0, 0), (57, 20000), (1, 32)], "a bigint, b bigint")
+    got = [r[0] for r in df.select(C.ratio_2dp("a", "b")).collect()]
+    assert got == [0.58, None, None, 0.0, 0.03]
+    pct = [r[0] for r in df.select(C.percent_2dp("b", "a")).collect()]
+    assert pct[0] == 173.91 and pct[2] is None
+    # 100 * 1 / 32 = 3.125 exactly: half-up gives 3.13
+    assert [r[0] for r in df.select(C.percent_2dp("a", "b")).collect()][4] == 3.13
+
+
+def test_units(spark):
+    assert abs(one(spark, C.to_miles, 1609, "bigint") - 1609 / 1609.34) < 1e-12
+    assert one(spark, C.to_dollars, 250, "bigint") == 2.5
+    assert one(spark, C.to_dollars, None, "bigint") is None
+
+
+def test_calendar_functions(spark):
+    d = dt.date(2025, 1, 5)   # a Sunday
+    assert one(spark, C.day_of_week_num, d, "date") == 1
+    assert one(spark, C.day_of_week_name, d, "date") == "Sunday"
+    assert one(spark, C.partition_path, d, "date") == "year=2025/month=01/day=05"
+    df = spark.createDataFrame([(dt.date(2025, 1, 30), dt.date(2025, 2, 2))], "lo date, hi date")
+    days = [r[0] for r in df.select(C.date_spine("lo", "hi")).collect()]
+    assert days == [dt.date(2025, 1, 30), dt.date(2025, 1, 31), dt.date(2025, 2, 1),
+                    dt.date(2025, 2, 2)]
+    empty = spark.createDataFrame([(None, None)], "lo date, hi date")
+    assert empty.select(C.date_spine("lo", "hi")).count() == 0
+
+
+def test_iso_and_file_dates(spark):
+    assert one(spark, C.iso_to_date, "2025-04-12T23:50:00.000", "string") == dt.date(2025, 4, 12)
+    assert one(spark, C.date_from_file_name,
+               "daily/year_2025_month_04_day_07_entries_20250407.parquet", "string") == \
+        dt.date(2025, 4, 7)
+    assert one(spark, C.date_from_file_name, "daily/readme.txt", "string") is None
+
+
+def test_blocks_are_time_zone_free(spark):
+    ts = dt.datetime(2025, 3, 9, 2, 37, 41)   # inside a US DST gap
+    df = spark.createDataFrame([(ts,)], "x timestamp_ntz")
+    for tz in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", tz)
+        r = df.select(C.ten_minute_block("x").alias("b"), C.hour_block("x").alias("h")).first()
+        assert r["b"] == dt.datetime(2025, 3, 9, 2, 30) and r["h"] == dt.datetime(2025, 3, 9, 2)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")

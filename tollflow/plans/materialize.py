@@ -1,0 +1,60 @@
+"""Materialization of the model DAG (S18): staging as views, marts as tables.
+
+Tables are written as Parquet under one base folder (the shared checkpoint
+folder by default), the fact partitioned by date; each mart is read back
+from the written fact, which cuts the lineage between layers.  With
+``database`` set, tables are also registered in the catalog.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tollflow.operators import dashboard as D
+from tollflow.operators import kpi
+from tollflow.plans.models import TrafficModels
+
+DATE_PARTITIONED = {"fact_traffic", "kpi_congestion", "dashboard_traffic"}
+
+
+def _write(df: DataFrame, path: str, name: str, database: str | None) -> None:
+    writer_df = df
+    writer = None
+    if name in DATE_PARTITIONED:
+        writer_df = df.withColumn("_day", F.date_format("toll_date", "yyyy-MM-dd")) \
+            .hint("rebalance", "_day")
+        writer = writer_df.write.mode("overwrite").partitionBy("_day")
+    else:
+        writer = writer_df.write.mode("overwrite")
+    if database:
+        writer.option("path", f"{path}/{name}").saveAsTable(f"{database}.{name}")
+    else:
+        writer.parquet(f"{path}/{name}")
+
+
+def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
+    df = spark.read.parquet(f"{path}/{name}")
+    return df.drop("_day") if "_day" in df.columns else df
+
+
+def materialize(models: TrafficModels, path: str, database: str | None = None) -> dict:
+    """Write dims, fact and marts; return the tables read back as DataFrames."""
+    spark = models.spark
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    models.stg_entries.createOrReplaceTempView("stg_entries")
+    models.stg_interval.createOrReplaceTempView("stg_interval")
+    for name in ("dim_time", "dim_locations", "dim_filters"):
+        _write(getattr(models, name), path, name, database)
+    _write(models.fact_traffic, path, "fact_traffic", database)
+    fact = read_table(spark, path, "fact_traffic")
+    _write(kpi.kpi_congestion(fact), path, "kpi_congestion", database)
+    filters = read_table(spark, path, "dim_filters")
+    hourly = D.hourly_rollup(D.traffic_data(fact))
+    final = D.daily_with_peak(hourly, models.peak_scope)
+    _write(D.dashboard_traffic(final, models._small(filters)), path, "dashboard_traffic",
+           database)
+    names = ["dim_time", "dim_locations", "dim_filters", "fact_traffic", "kpi_congestion",
+             "dashboard_traffic"]
+    return {n: read_table(spark, path, n) for n in names}
