@@ -143,3 +143,27 @@ def test_fixture_counts(spark):
     assert sev == {"LOW": 108, "MODERATE": 85, "HIGH": 34, "SEVERE": 13}
     assert m.metrics_with_peak.count() == 742
     assert m.metrics_with_peak.where(F.col("peak_hour").isNotNull()).count() == 30
+
+
+def test_join_free_fact_equals_joined_fact(spark):
+    rows = [raw_row(), raw_row(day=None), raw_row(region=None), raw_row(vclass=None),
+            raw_row(day="2025-03-01", region="Queens Midtown Tunnel"), raw_row(entries=None)]
+    for raw in (make_raw(spark, rows), load_raw(spark, SF_MID)):
+        inline = TrafficModels(raw).fact_traffic
+        joined = TrafficModels(raw, join_dims=True).fact_traffic
+        assert [(f.name, f.dataType) for f in inline.schema] == \
+            [(f.name, f.dataType) for f in joined.schema]
+        assert bag(inline) == bag(joined)
+
+
+def test_dim_filters_two_aggregations_equal_union_form(spark):
+    from tollflow.operators import dims
+    rows = [raw_row(), raw_row(day="2025-02-02", region="Manhattan CBD"), raw_row(region=None),
+            raw_row(vclass=None, day="2025-03-04"), raw_row(region="East 60th St", hour=23),
+            raw_row(day=None, region="Manhattan Bridge")]
+    for raw in (make_raw(spark, rows), load_raw(spark, SF_MID)):
+        for dedupe in (False, True):
+            m = TrafficModels(raw, dedupe_filters=dedupe)
+            union = dims.dim_filters(m.vehicle_classes, m.dim_locations, m.dim_time, m.hours,
+                                     dedupe=dedupe)
+            assert bag(m.dim_filters) == bag(union)

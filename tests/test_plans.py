@@ -18,14 +18,14 @@ def test_dashboard_has_no_nested_loop_or_cartesian(spark):
 
 
 def test_fact_joins_are_broadcast_and_scan_is_pruned(spark):
-    df = TrafficModels(load_raw(spark, SF_SMALL)).fact_traffic
+    df = TrafficModels(load_raw(spark, SF_SMALL), join_dims=True).fact_traffic
     p = plan(df)
     assert p.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in p
     assert "event_type" not in p.split("FileScan")[1].split("\n")[0]
 
 
 def test_over_budget_dimension_is_not_broadcast(spark):
-    df = TrafficModels(load_raw(spark, SF_SMALL), broadcast_bytes=64).fact_traffic
+    df = TrafficModels(load_raw(spark, SF_SMALL), broadcast_bytes=64, join_dims=True).fact_traffic
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         p = plan(df)
@@ -43,3 +43,8 @@ def test_day_filter_reaches_the_scan(spark, tmp_path):
     p = plan(df)
     assert "PushedFilters: [IsNotNull(toll_date), GreaterThanOrEqual(toll_date" in p
     assert df.count() == raw.where("to_date(toll_date) = date'2024-01-15'").count()
+
+
+def test_join_free_fact_is_one_map_only_pass(spark):
+    p = plan(TrafficModels(load_raw(spark, SF_SMALL)).fact_traffic)
+    assert "Exchange" not in p and "Join" not in p and p.count("FileScan") == 1

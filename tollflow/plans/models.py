@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,20 +25,24 @@ from tollflow.operators.joins import broadcast_budget_rows, broadcast_if_small
 
 class TrafficModels:
     def __init__(self, raw: DataFrame, *, peak_scope: str = "date",
-                 dedupe_filters: bool = False, broadcast_bytes: int | None = None):
+                 dedupe_filters: bool = False, broadcast_bytes: int | None = None,
+                 join_dims: bool = False):
         self.raw = raw
         self.spark = raw.sparkSession
         self.peak_scope = peak_scope
         self.dedupe_filters = dedupe_filters
         self.broadcast_bytes = broadcast_bytes
+        self.join_dims = join_dims
 
     def _small(self, df: DataFrame) -> DataFrame:
+        """Broadcast after a bounded count (for frames with no bound known yet)."""
         return broadcast_if_small(df, self.broadcast_bytes)
 
-    @cached_property
-    def calendar_days(self) -> int:
-        """Days in the calendar: an upper bound on rows of any per-date frame."""
-        return self.dim_time_small.count()
+    def _bounded(self, df: DataFrame, max_rows: int | None) -> DataFrame:
+        """Broadcast ``df`` when a proven upper bound on its rows fits the budget."""
+        if max_rows is not None and max_rows <= broadcast_budget_rows(df, self.broadcast_bytes):
+            return F.broadcast(df)
+        return df
 
     # -- staging ------------------------------------------------------------
     @cached_property
@@ -48,10 +53,50 @@ class TrafficModels:
     def stg_interval(self) -> DataFrame:
         return staging.stg_interval(self.raw)
 
+    @cached_property
+    def _domain_sized(self) -> tuple[DataFrame, int | None, tuple | None]:
+        """Persist the domain and size it in one bounded job.
+
+        ``limit(budget + 1)`` caps the rows the check reads; when the count
+        stays within the budget, every row was seen, so MIN/MAX of the date
+        range are exact too.  Over the budget the domain is unpersisted and
+        the dimensions fall back to shuffle joins.
+        """
+        dom = staging.staging_domain(self.stg_entries)
+        budget = broadcast_budget_rows(dom, self.broadcast_bytes)
+        if budget <= 0:
+            return dom, None, None
+        cached = dom.persist(StorageLevel.MEMORY_AND_DISK)
+        r = cached.limit(budget + 1).agg(F.count(F.lit(1)).alias("n"),
+                                         F.min("min_date").alias("lo"),
+                                         F.max("max_date").alias("hi")).first()
+        if r["n"] > budget:
+            cached.unpersist()
+            return dom, None, None
+        return cached, r["n"], (r["lo"], r["hi"])
+
     @cached_property
     def domain(self) -> DataFrame:
-        """(region, class, hour, min_date, max_date), persisted once when small."""
-        return self._small(staging.staging_domain(self.stg_entries))
+        """(region, class, hour, min_date, max_date): one pass over staging,
+        persisted when its size fits the broadcast budget."""
+        return self._domain_sized[0]
+
+    @cached_property
+    def domain_rows(self) -> int | None:
+        """Rows of the domain, or None when it is over the budget.  It bounds
+        the distinct regions, classes and hours."""
+        return self._domain_sized[1]
+
+    @cached_property
+    def calendar_days(self) -> int:
+        """Days from the first to the last date (two scalars reach the driver).
+        Bounds dim_time and any frame with one row per date."""
+        bounds = self._domain_sized[2]
+        if bounds is None:
+            b = dims.date_bounds(self.domain, "min_date", "max_date").first()
+            bounds = (b["lo"], b["hi"])
+        lo, hi = bounds
+        return 0 if lo is None else (hi - lo).days + 1
 
     # -- dimensions ---------------------------------------------------------
     @cached_property
@@ -61,7 +106,7 @@ class TrafficModels:
 
     @cached_property
     def dim_time_small(self) -> DataFrame:
-        return self._small(self.dim_time)
+        return self._bounded(self.dim_time, self.calendar_days)
 
     @cached_property
     def dim_locations(self) -> DataFrame:
@@ -69,7 +114,7 @@ class TrafficModels:
 
     @cached_property
     def dim_locations_small(self) -> DataFrame:
-        return self._small(self.dim_locations)
+        return self._bounded(self.dim_locations, self.domain_rows)
 
     @cached_property
     def vehicle_classes(self) -> DataFrame:
@@ -81,18 +126,33 @@ class TrafficModels:
 
     @cached_property
     def dim_filters(self) -> DataFrame:
-        return dims.dim_filters(self.vehicle_classes, self.dim_locations, self.dim_time,
-                                self.hours, dedupe=self.dedupe_filters)
+        """Filter bridge rows; same bag as the six-branch UNION ALL
+        (``dims.dim_filters``) but in two aggregations over the domain."""
+        return dims.dim_filters_from_domain(self.domain, self.dim_time,
+                                            dedupe=self.dedupe_filters)
 
     @cached_property
     def dim_filters_small(self) -> DataFrame:
-        return self._small(self.dim_filters)
+        # classes + 2 x regions + hours <= 4 x domain rows; the two calendar
+        # branches have one row per distinct (month, weekday) <= days each.
+        bound = None
+        if self.domain_rows is not None:
+            bound = 4 * self.domain_rows + 2 * self.calendar_days
+        return self._bounded(self.dim_filters, bound)
 
     # -- fact and marts -----------------------------------------------------
     @cached_property
     def fact_traffic(self) -> DataFrame:
-        return fact.fact_traffic(self.stg_entries, self.dim_time_small,
-                                 self.dim_locations_small)
+        """Staging rows with calendar and location attributes.
+
+        Default: the join-free form (``fact.fact_traffic_inline``), valid
+        because both dimensions are built from this same staging frame.
+        ``join_dims=True``: broadcast joins to the size-checked dimensions.
+        """
+        if self.join_dims:
+            return fact.fact_traffic(self.stg_entries, self.dim_time_small,
+                                     self.dim_locations_small)
+        return fact.fact_traffic_inline(self.stg_entries)
 
     @cached_property
     def kpi_congestion(self) -> DataFrame:

@@ -24,6 +24,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     """Session for tests and the bench: local master, UI off, UTC clock."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app_name)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g"))
     for k, v in {**REQUIRED_CONF, **(extra or {})}.items():
