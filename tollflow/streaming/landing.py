@@ -9,9 +9,10 @@ repeats the unfinished batch.
 Each micro-batch only tells us *which dates* were touched.  The batch
 callback re-reads those dates' whole landing folders and overwrites them
 in the raw table (dynamic partition overwrite); otherwise a late file
-would replace its date with itself alone.  The touched dates go through a
-left-semi join on the partition columns, so dynamic partition pruning reads
-only those folders, and nothing is collected to the driver.
+would replace its date with itself alone.  Only the touched (year, month,
+day) triples reach the driver (at most one per calendar day, capped); they
+become a static partition filter, so the scan lists only those folders.
+Beyond the cap the dates stay distributed and a left-semi join selects them.
 """
 
 from __future__ import annotations
@@ -31,12 +32,23 @@ def landing_stream(spark: SparkSession, landing_path: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(landing_path)
 
 
+MAX_LISTED_DATES = 100_000
+
+
 def reload_touched(spark: SparkSession, batch: DataFrame, landing_path: str,
                    raw_path: str) -> None:
-    touched = broadcast_if_small(batch.select(*DAILY_PARTS).distinct())
-    whole = files.read_daily(spark, landing_path).join(touched, DAILY_PARTS, "left_semi")
+    touched = batch.select(*DAILY_PARTS).distinct()
+    keys = touched.limit(MAX_LISTED_DATES + 1).collect()
+    if not keys:
+        return
+    landing = files.read_daily(spark, landing_path)
+    if len(keys) <= MAX_LISTED_DATES:
+        # An expression over partition columns only: pruned at listing time.
+        wanted = sorted({f"{k['year']}-{k['month']}-{k['day']}" for k in keys})
+        whole = landing.where(F.concat_ws("-", *DAILY_PARTS).isin(wanted))
+    else:
+        whole = landing.join(broadcast_if_small(touched), DAILY_PARTS, "left_semi")
     files.write_raw(whole, raw_path)
-    touched.unpersist()
 
 
 def start_landing_load(spark: SparkSession, landing_path: str, raw_path: str,
