@@ -88,9 +88,12 @@ def run_daily(spark: SparkSession, landing_path: str, raw_path: str, marts: str,
     dates = inc.backfill_dates(spark, wm, inc.max_date(landing))
     report = inc.nonempty_backfill(dates, landing).checkpoint(eager=True)
     touched = report.select("toll_date")
-    batch = landing.join(F.broadcast(touched.withColumnRenamed("toll_date", "_d")),
-                         F.to_date(landing["toll_date"]) == F.col("_d"), "left_semi")
-    files.write_raw(batch, raw_path)
+    # One value per calendar day in (watermark, latest]: small, and as a
+    # partition filter it limits the scan to those folders.
+    loaded = [r["toll_date"] for r in touched.collect()]
+    if not loaded:
+        return report
+    files.write_raw(landing.where(files.daily_folders(loaded)), raw_path)
     inc.rebuild_dates(files.read_raw(spark, raw_path), touched, _fact_path(marts),
                       _kpi_path(marts))
     rebuild_dashboard(spark, raw_path, marts)

@@ -66,8 +66,8 @@ def load_incremental(spark: SparkSession, landing_path: str, raw_path: str,
         wm = watermark(spark, raw, fact, default=None).first()["watermark"]
     else:
         wm = None
-    d = F.to_date("toll_date")
-    batch = landing if wm is None else landing.where(d > F.lit(wm))
+    # Filter on the folder date (partition columns): pruned when listing files.
+    batch = landing if wm is None else landing.where(files.daily_date() > F.lit(wm))
     files.write_raw(batch, raw_path)
     return audits.loaded_dates(batch)
 
@@ -75,8 +75,7 @@ def load_incremental(spark: SparkSession, landing_path: str, raw_path: str,
 def reload_dates(spark: SparkSession, landing_path: str, raw_path: str, dates: list) -> None:
     """Re-read whole landing folders of ``dates`` and overwrite them (late files)."""
     landing = files.read_daily(spark, landing_path)
-    wanted = F.to_date("toll_date").isin([F.lit(str(x)).cast("date") for x in dates])
-    files.write_raw(landing.where(wanted), raw_path)
+    files.write_raw(landing.where(files.daily_folders(dates)), raw_path)
 
 
 def rebuild_dates(raw: DataFrame, dates_df: DataFrame, fact_path: str, kpi_path: str) -> None:

@@ -64,9 +64,17 @@ def read_daily(spark: SparkSession, landing: str) -> DataFrame:
 
 
 def daily_date(year="year", month="month", day="day"):
+    """Date of a daily landing folder, from partition columns only (prunable)."""
     return F.to_date(F.concat_ws("-", C.as_col(year), C.as_col(month), C.as_col(day)))
 
 
+def daily_folders(dates) -> "Column":
+    """Partition filter selecting the landing folders of ``dates`` (a few
+    thousand at most: one per calendar day)."""
+    wanted = sorted({str(d)[:10] for d in dates})
+    return F.concat_ws("-", *DAILY_PARTS).isin(wanted)
+
+
 # ---- raw table ---------------------------------------------------------------
 def write_raw(records: DataFrame, raw_path: str) -> None:
     """Replace exactly the dates present in ``records`` in the raw table."""

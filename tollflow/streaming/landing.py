@@ -44,8 +44,8 @@ def reload_touched(spark: SparkSession, batch: DataFrame, landing_path: str,
     landing = files.read_daily(spark, landing_path)
     if len(keys) <= MAX_LISTED_DATES:
         # An expression over partition columns only: pruned at listing time.
-        wanted = sorted({f"{k['year']}-{k['month']}-{k['day']}" for k in keys})
-        whole = landing.where(F.concat_ws("-", *DAILY_PARTS).isin(wanted))
+        whole = landing.where(files.daily_folders(
+            f"{k['year']}-{k['month']}-{k['day']}" for k in keys))
     else:
         whole = landing.join(broadcast_if_small(touched), DAILY_PARTS, "left_semi")
     files.write_raw(whole, raw_path)
