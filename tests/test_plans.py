@@ -48,3 +48,21 @@ def test_day_filter_reaches_the_scan(spark, tmp_path):
 def test_join_free_fact_is_one_map_only_pass(spark):
     p = plan(TrafficModels(load_raw(spark, SF_SMALL)).fact_traffic)
     assert "Exchange" not in p and "Join" not in p and p.count("FileScan") == 1
+
+
+def test_cluster_conf_keeps_explicit_settings(spark):
+    from tollflow.session import apply_cluster_conf
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64m")
+    old_parts = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        apply_cluster_conf(spark)
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "64m"
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == old_parts  # set by the test session
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                  "spark.sql.autoBroadcastJoinThreshold",
+                  "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor",
+                  "spark.sql.sources.partitionOverwriteMode"):
+            spark.conf.unset(k)

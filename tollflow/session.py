@@ -19,6 +19,39 @@ REQUIRED_CONF = {
 }
 
 
+# Suggested settings for a large cluster (about 1000 executors, 100 TB of raw
+# records).  Applied by ``apply_cluster_conf`` only where the session has no
+# value of its own, so a cluster's own choices always win.
+CLUSTER_CONF = {
+    **REQUIRED_CONF,
+    # ~256 MB input splits: ~400k scan tasks for 100 TB, a few waves on 4k cores.
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # Initial shuffle width; the shuffles here carry partial aggregates (one
+    # row per group per task), and AQE coalesces toward the advisory size.
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # Rebalanced date-partitioned writes: split a hot date, merge small ones.
+    "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2",
+    # Dimensions here are KBs; the size checks compare against this budget.
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
+def apply_cluster_conf(spark: SparkSession) -> None:
+    """Set CLUSTER_CONF keys that the session does not set itself."""
+    sql_conf = spark._jsparkSession.sessionState().conf()
+    app_conf = spark.sparkContext.getConf()
+    for k, v in CLUSTER_CONF.items():
+        explicitly_set = sql_conf.contains(k) or app_conf.contains(k)
+        if explicitly_set and k not in REQUIRED_CONF:
+            continue
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # static or unmodifiable at runtime: keep the cluster's value
+            pass
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "tollflow", extra: dict | None = None) -> SparkSession:
     """Session for tests and the bench: local master, UI off, UTC clock."""
