@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -16,7 +17,9 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session(cores=4, shuffle_partitions=8)
+    warehouse = tempfile.mkdtemp(prefix="tollflow-warehouse-")
+    s = local_session(cores=4, shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 

@@ -88,6 +88,7 @@ def test_iso_and_file_dates(spark):
                "daily/year_2025_month_04_day_07_entries_20250407.parquet", "string") == \
         dt.date(2025, 4, 7)
     assert one(spark, C.date_from_file_name, "daily/readme.txt", "string") is None
+    assert one(spark, C.date_from_file_name, "year_2025_month_13_day_99_x_20251399", "string") is None
 
 
 def test_blocks_are_time_zone_free(spark):

@@ -106,3 +106,11 @@ def test_materialize_round_trip(spark, tmp_path):
     assert bag(out["dashboard_traffic"]) == bag(m.dashboard_traffic)
     assert bag(out["kpi_congestion"]) == bag(m.kpi_congestion)
     assert spark.table("stg_entries").count() == 1000
+
+
+def test_materialize_into_a_database(spark, tmp_path):
+    m = TrafficModels(make_raw(spark, [raw_row(), raw_row(day="2025-02-04", hour=9)]))
+    materialize(m, str(tmp_path / "db"), database="toll_marts")
+    assert spark.table("toll_marts.kpi_congestion").count() == 2
+    assert spark.table("toll_marts.dim_time").count() == 2
+    assert {r["borough"] for r in spark.table("toll_marts.dim_locations").collect()} == {"Brooklyn"}

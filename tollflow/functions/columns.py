@@ -229,9 +229,10 @@ def partition_path(d) -> Column:
 
 
 def date_from_file_name(path, pattern: str = FILE_DATE_PATTERN) -> Column:
-    """Date encoded in a daily file name (S14); NULL when the name has none."""
+    """Date encoded in a daily file name (S14); NULL when the name has none
+    or its eight digits are not a calendar date."""
     digits = F.regexp_extract(as_col(path), pattern, 2)
-    return F.when(digits != "", F.to_date(digits, "yyyyMMdd"))
+    return F.when(digits != "", F.try_to_date(digits, "yyyyMMdd"))
 
 
 def time_period_of(hour) -> Column:
