@@ -62,3 +62,23 @@ def test_global_rank_is_a_permutation(spark):
     order = pages._total_order(raw, ("toll_date", "toll_hour"))
     ranks = sorted(r["_rank"] for r in pages.global_rank(raw, order).select("_rank").collect())
     assert ranks == list(range(raw.count()))
+
+
+def test_checked_pages_route_bad_records_and_skip_their_day(spark, tmp_path):
+    good = {"toll_date": "2025-01-05T00:00:00.000", "toll_hour": "2025-01-05T09:00:00.000",
+            "vehicle_class": "TLC Taxi/FHV", "detection_region": "Brooklyn Bridge",
+            "crz_entries": 7, "excluded_roadway_entries": 1}
+    bad_count = {**good, "toll_date": "2025-01-06T00:00:00.000", "crz_entries": "seven"}
+    other_day = {**good, "toll_date": "2025-01-06T00:00:00.000"}
+    no_date = {**good, "toll_date": None}
+    page = {"value": [good, bad_count, other_day, no_date]}
+    (tmp_path / "p.json").write_text(json.dumps(page) + "\n")
+    records, rejects = pages.read_pages_checked(spark, str(tmp_path))
+    assert records.count() == 2
+    rej = {(r["toll_date"], r["failed_fields"]) for r in rejects.collect()}
+    assert rej == {(dt.date(2025, 1, 6), "crz_entries"), (None, "toll_date")}
+    healthy, report = pages.split_healthy_days(records, rejects)
+    assert [r["toll_date"].date() for r in healthy.collect()] == [dt.date(2025, 1, 5)]
+    got = {r["toll_date"]: (r["records"], r["rejected"], r["loaded"]) for r in report.collect()}
+    assert got == {dt.date(2025, 1, 5): (1, 0, True), dt.date(2025, 1, 6): (1, 1, False),
+                   None: (0, 1, False)}

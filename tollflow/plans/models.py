@@ -204,8 +204,13 @@ class TrafficModels:
 
     @cached_property
     def day_of_week_matches(self) -> DataFrame:
+        # (weekday filter row, day) pairs: at most one weekday row per
+        # (month, weekday) <= days, each matching <= days // 7 + 1 days.
+        days = self.calendar_days
+        bound = days * (days // 7 + 1)
         return D.day_of_week_matches(self.metrics_with_peak, self.dim_filters_small,
-                                     self.dim_time_small, small=self._small)
+                                     self.dim_time_small,
+                                     small=lambda df: self._bounded(df, bound))
 
     def tables(self) -> dict[str, DataFrame]:
         """Every materialized model of the reference, by name."""

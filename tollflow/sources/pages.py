@@ -13,8 +13,18 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from tollflow.functions import columns as C
-from tollflow.schema import PAGE_SCHEMA, RAW_FIELDS, STAGING_SOURCE_FIELDS
+from tollflow.schema import PAGE_SCHEMA, RAW_FIELDS, RAW_SCHEMA, STAGING_SOURCE_FIELDS
+
+# Envelope with every record field as text: nothing fails while parsing, and
+# each value is then cast with try_cast so bad values can be routed aside.
+PAGE_TEXT_SCHEMA = T.StructType([
+    T.StructField("value", T.ArrayType(T.StructType(
+        [T.StructField(n, T.StringType()) for n in RAW_FIELDS]))),
+    T.StructField("@odata.nextLink", T.StringType()),
+])
 
 # The history window of the full load (strict start, inclusive end).
 HISTORY_START = "2025-01-01"
@@ -34,6 +44,48 @@ def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> Data
     return pages.select(F.inline("value")).select(*RAW_FIELDS)
 
 
+def read_pages_checked(spark: SparkSession, path: str,
+                       multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Landed pages split into (records, rejects) instead of failing the read.
+
+    A record is rejected when any present value does not cast to its
+    declared type, or when it has no readable date.  Rejects keep the
+    source text, the date part of ``toll_date`` (NULL if unreadable) and the
+    names of the failing fields, so they can be counted per date (C4).
+    """
+    text = spark.read.schema(PAGE_TEXT_SCHEMA).json(path, multiLine=multi_line) \
+        .select(F.inline("value"))
+    typed = [F.col(n).try_cast(RAW_SCHEMA[n].dataType).alias(n) for n in RAW_FIELDS]
+    failed = [F.when(F.col(n).isNotNull() & F.col(n).try_cast(RAW_SCHEMA[n].dataType).isNull()
+                     | ((F.lit(n) == "toll_date") & F.col(n).isNull()), F.lit(n))
+              for n in RAW_FIELDS]
+    tagged = text.select(*typed, F.struct(*[F.col(n) for n in RAW_FIELDS]).alias("source"),
+                         F.concat_ws(",", *failed).alias("failed_fields"))
+    records = tagged.where(F.col("failed_fields") == "").select(*RAW_FIELDS)
+    rejects = tagged.where(F.col("failed_fields") != "").select(
+        F.to_date("toll_date").alias("toll_date"), "failed_fields", "source")
+    return records, rejects
+
+
+def split_healthy_days(records: DataFrame, rejects: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Keep the records of days without rejects; report every day (C4).
+
+    Mirrors the per-day error handling of the daily fetch: a day with a bad
+    record is skipped whole and reported, the other days load.  Returns
+    (records of healthy days, per-day report with records, rejected, loaded).
+    """
+    day = F.to_date("toll_date")
+    good = records.groupBy(day.alias("toll_date")).agg(F.count(F.lit(1)).alias("records"))
+    bad = rejects.groupBy("toll_date").agg(F.count(F.lit(1)).alias("rejected"))
+    report = good.join(bad, "toll_date", "full_outer").select(
+        "toll_date", F.coalesce("records", F.lit(0)).alias("records"),
+        F.coalesce("rejected", F.lit(0)).alias("rejected"),
+        (F.coalesce("rejected", F.lit(0)) == 0).alias("loaded"))
+    skipped = bad.select(F.col("toll_date").alias("_bad"))
+    healthy = records.join(skipped, day == F.col("_bad"), "left_anti")
+    return healthy, report
+
+
 def land_pages(raw: DataFrame, path: str, page_rows: int = 1000) -> None:
     """Write records as page envelopes of at most ``page_rows`` rows each.
 
