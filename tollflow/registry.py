@@ -78,10 +78,11 @@ def fn_partition_path(spark, sf_dir):
 
 def fn_file_date(spark, sf_dir):
     d = F.col("toll_date")
-    names = models(spark, sf_dir).stg_entries.select(F.concat(
+    days = models(spark, sf_dir).stg_entries.select("toll_date").distinct()
+    names = days.select(F.concat(
         F.lit(O.FILE_PREFIX), F.date_format(d, "yyyy"), F.lit("_month_"), F.date_format(d, "MM"),
         F.lit("_day_"), F.date_format(d, "dd"), F.lit("_toll_entries_"),
-        F.date_format(d, "yyyyMMdd"), F.lit(".parquet")).alias("file_path")).distinct()
+        F.date_format(d, "yyyyMMdd"), F.lit(".parquet")).alias("file_path"))
     return files.file_dates(names)
 
 

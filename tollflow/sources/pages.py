@@ -29,8 +29,9 @@ PAGE_TEXT_SCHEMA = T.StructType([
 # The history window of the full load (strict start, inclusive end).
 HISTORY_START = "2025-01-01"
 HISTORY_END = "2025-04-12"
-# Page windows up to this many rows are served by one top-k; larger ones by ranks.
-MAX_TOP_K_ROWS = 1_000_000
+# A top-k sends k rows from every input partition to one merging task; it is
+# used only while k x partitions stays under this many rows, else global ranks.
+MAX_TOP_K_ROWS = 5_000_000
 
 
 def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -157,14 +158,16 @@ def page_window(raw: DataFrame, skip: int, top: int,
     """Rows skip .. skip+top-1 of the source order ($skip/$top, S6).
 
     The order is made total by appending every other column (Q10), so a
-    page is well defined; fully equal rows are interchangeable.  Small
-    windows are a top-k (each task keeps skip+top rows, then one merge);
-    beyond ``MAX_TOP_K_ROWS`` the rows are ranked globally: a range
+    page is well defined; fully equal rows are interchangeable.  A top-k
+    keeps skip+top rows per input partition and merges them all in one
+    task, so it is used only while (skip+top) x partitions stays under
+    ``MAX_TOP_K_ROWS``.  Beyond that the rows are ranked globally: a range
     partitioned sort, per-partition counts (one row per partition), their
     running sum as offsets, and a filter on the resulting rank.
     """
     order = _total_order(raw, keys)
-    if skip + top <= MAX_TOP_K_ROWS:
+    partitions = raw.rdd.getNumPartitions()      # planning only, no job
+    if (skip + top) * partitions <= MAX_TOP_K_ROWS:
         return raw.orderBy(*order).offset(skip).limit(top)
     ranked = global_rank(raw, order)
     return ranked.where((F.col("_rank") >= skip) & (F.col("_rank") < skip + top)).drop("_rank")
