@@ -167,3 +167,13 @@ def test_dim_filters_two_aggregations_equal_union_form(spark):
             union = dims.dim_filters(m.vehicle_classes, m.dim_locations, m.dim_time, m.hours,
                                      dedupe=dedupe)
             assert bag(m.dim_filters) == bag(union)
+
+
+def test_domain_rebuilt_from_days_equals_direct_domain(spark):
+    from tollflow.operators import staging
+    rows = [raw_row(), raw_row(day=None), raw_row(region=None), raw_row(vclass=None),
+            raw_row(day="2025-03-01", hour=23), raw_row(day="2025-01-02", region="Manhattan CBD")]
+    for raw in (make_raw(spark, rows), load_raw(spark, SF_MID)):
+        stg = TrafficModels(raw).stg_entries
+        assert bag(staging.domain_from_days(staging.staging_domain_by_day(stg))) == \
+            bag(staging.staging_domain(stg))

@@ -53,3 +53,18 @@ def staging_domain(stg: DataFrame) -> DataFrame:
     """
     return (stg.groupBy("detection_region", "vehicle_class", "hour")
             .agg(F.min("toll_date").alias("min_date"), F.max("toll_date").alias("max_date")))
+
+
+def staging_domain_by_day(stg: DataFrame) -> DataFrame:
+    """The staging domain kept per date: (toll_date, region, class, hour).
+
+    Stored partitioned by date, it can be replaced date by date like the
+    fact, and ``domain_from_days`` rebuilds the global domain from it
+    exactly (MIN/MAX of the dates per key), without reading raw records.
+    """
+    return stg.select("toll_date", "detection_region", "vehicle_class", "hour").distinct()
+
+
+def domain_from_days(by_day: DataFrame) -> DataFrame:
+    return (by_day.groupBy("detection_region", "vehicle_class", "hour")
+            .agg(F.min("toll_date").alias("min_date"), F.max("toll_date").alias("max_date")))

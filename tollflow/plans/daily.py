@@ -17,10 +17,12 @@ paths they overwrite.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollflow.operators import audits
+from tollflow.operators import audits, staging
 from tollflow.operators import dashboard as D
 from tollflow.plans import incremental as inc
 from tollflow.plans.models import TrafficModels
@@ -32,9 +34,10 @@ class HistoryGateError(RuntimeError):
 
 
 def load_full(spark: SparkSession, full_base: str, raw_path: str) -> DataFrame:
-    """Entry point A: replace the raw table with the newest full-load run."""
-    newest = files.read_newest_run(spark, full_base).checkpoint(eager=True)
-    files.replace_raw(newest, raw_path)
+    """Entry point A: replace the raw table with the newest full-load run.
+    Source and target are different folders, so the run is read once and
+    written straight into the raw table."""
+    files.replace_raw(files.read_newest_run(spark, full_base), raw_path)
     return audits.row_count(files.read_raw(spark, raw_path), "raw")
 
 
@@ -50,51 +53,90 @@ def _dashboard_path(marts: str) -> str:
     return f"{marts}/dashboard_traffic"
 
 
-def build_marts(spark: SparkSession, raw_path: str, marts: str) -> None:
-    """Full rebuild of fact, KPI and dashboard from the raw table."""
-    m = TrafficModels(files.read_raw(spark, raw_path))
-    inc.write_partitioned(m.fact_traffic, _fact_path(marts))
-    rebuild_dashboard(spark, raw_path, marts)
-    fact = inc.read_partitioned(spark, _fact_path(marts))
-    from tollflow.operators.kpi import kpi_congestion
-    inc.write_partitioned(kpi_congestion(fact), _kpi_path(marts))
+def _domain_path(marts: str) -> str:
+    return f"{marts}/_domain_by_day"
+
+
+def _metrics_path(marts: str) -> str:
+    return f"{marts}/_metrics_with_peak"
+
 
+def write_date_tables(m: TrafficModels, marts: str) -> None:
+    """Per-date tables of the marts: each date depends on its own rows only.
 
-def rebuild_dashboard(spark: SparkSession, raw_path: str, marts: str) -> None:
-    m = TrafficModels(files.read_raw(spark, raw_path))
-    fact = inc.read_partitioned(spark, _fact_path(marts))
-    final = D.daily_with_peak(D.hourly_rollup(D.traffic_data(fact)), m.peak_scope)
-    dash = D.dashboard_traffic(final, m.dim_filters_small)
+    fact and KPI (grouped by date), the staging domain per date, and the
+    daily metrics with their peak hour (ranked within a date).  Writing
+    them with dynamic partition overwrite replaces exactly the dates of ``m``.
+    """
+    inc.write_partitioned(m.fact_traffic, _fact_path(marts))
+    inc.write_partitioned(m.kpi_congestion, _kpi_path(marts))
+    inc.write_partitioned(staging.staging_domain_by_day(m.stg_entries), _domain_path(marts))
+    inc.write_partitioned(m.metrics_with_peak, _metrics_path(marts))
+
+
+def rebuild_dashboard(spark: SparkSession, marts: str, peak_scope: str = "date",
+                      dedupe_filters: bool = False) -> None:
+    """Global part of the dashboard: filter bag from the per-date domain,
+    joined to the per-date metrics.  Reads two small tables, no raw data."""
+    domain = staging.domain_from_days(inc.read_partitioned(spark, _domain_path(marts)))
+    empty = spark.createDataFrame([], files.RAW_SCHEMA)
+    m = TrafficModels(empty, domain=domain, peak_scope=peak_scope,
+                      dedupe_filters=dedupe_filters)
+    metrics = inc.read_partitioned(spark, _metrics_path(marts))
+    dash = D.dashboard_traffic(metrics, m.dim_filters_small)
     dash.write.mode("overwrite").parquet(_dashboard_path(marts))
 
 
+def build_marts(spark: SparkSession, raw_path: str, marts: str) -> None:
+    """Full rebuild of every mart from the raw table."""
+    write_date_tables(TrafficModels(files.read_raw(spark, raw_path)), marts)
+    rebuild_dashboard(spark, marts)
+
+
+def _max_day(df: DataFrame):
+    return df.agg(F.max("toll_date")).first()[0]
+
+
 def run_daily(spark: SparkSession, landing_path: str, raw_path: str, marts: str,
               min_history_rows: int = audits.MIN_HISTORY_ROWS,
               require_history: bool = True) -> DataFrame:
-    """Entry point B.  Returns (toll_date, records) for every date loaded."""
+    """Entry point B.  Returns (toll_date, records) for every date loaded.
+
+    Work grows with the new dates, not with the history: the gate, the
+    watermark and the latest landed date come from partition values (file
+    footers, no data pages); only the landing folders after the watermark
+    are counted and loaded; fact and KPI are rebuilt from those raw folders.
+    The dashboard's filter bag depends on every date (SURVEY §4.2), so its
+    last step is global, but it reads only the small per-date domain and
+    metrics tables, never the history of raw records or facts.
+    """
     landing = files.read_daily(spark, landing_path)
-    has_raw = inc.files_exist(spark, raw_path)
-    has_fact = inc.files_exist(spark, _fact_path(marts))
-    fact = inc.read_partitioned(spark, _fact_path(marts)) if has_fact else None
+    fact_days = None
+    if inc.files_exist(spark, _fact_path(marts)):
+        fact_days = spark.read.parquet(_fact_path(marts)).select(
+            F.to_date("_day").alias("toll_date"))
     if require_history:
-        gate = audits.history_gate(fact, min_history_rows).first() if fact is not None else None
+        gate = audits.history_gate(fact_days, min_history_rows).first() \
+            if fact_days is not None else None
         if gate is None or not gate["passed"]:
             raise HistoryGateError(f"history gate failed: {gate}")
-    raw = files.read_raw(spark, raw_path) if has_raw else None
-    if raw is None:
-        wm = F.lit(inc.DEFAULT_WATERMARK).cast("date")
-    else:
-        wm = inc.watermark(spark, raw, fact).scalar()
-    dates = inc.backfill_dates(spark, wm, inc.max_date(landing))
-    report = inc.nonempty_backfill(dates, landing).checkpoint(eager=True)
-    touched = report.select("toll_date")
-    # One value per calendar day in (watermark, latest]: small, and as a
-    # partition filter it limits the scan to those folders.
-    loaded = [r["toll_date"] for r in touched.collect()]
+    marks = [_max_day(files.raw_days(spark, raw_path))] \
+        if inc.files_exist(spark, raw_path) else []
+    if fact_days is not None:
+        marks.append(_max_day(fact_days))
+    marks = [m for m in marks if m is not None]
+    wm = max(marks) if marks else dt.date.fromisoformat(inc.DEFAULT_WATERMARK)
+    folder_day = files.daily_date()
+    latest = landing.select(folder_day.alias("toll_date")).agg(F.max("toll_date")).first()[0]
+    if latest is None or wm >= latest:
+        return spark.createDataFrame([], "toll_date date, records bigint")
+    # (wm, latest] on folder dates: a partition filter, so old folders are not read.
+    new = landing.where((folder_day > F.lit(wm)) & (folder_day <= F.lit(latest)))
+    report = audits.loaded_dates(new).checkpoint(eager=True)
+    loaded = [r["toll_date"] for r in report.select("toll_date").collect()]  # <= one per day
     if not loaded:
         return report
     files.write_raw(landing.where(files.daily_folders(loaded)), raw_path)
-    inc.rebuild_dates(files.read_raw(spark, raw_path), touched, _fact_path(marts),
-                      _kpi_path(marts))
-    rebuild_dashboard(spark, raw_path, marts)
+    write_date_tables(TrafficModels(files.read_raw(spark, raw_path, dates=loaded)), marts)
+    rebuild_dashboard(spark, marts)
     return report

@@ -26,13 +26,16 @@ from tollflow.operators.joins import broadcast_budget_rows, broadcast_if_small
 class TrafficModels:
     def __init__(self, raw: DataFrame, *, peak_scope: str = "date",
                  dedupe_filters: bool = False, broadcast_bytes: int | None = None,
-                 join_dims: bool = False):
+                 join_dims: bool = False, domain: DataFrame | None = None):
+        """``domain``: a precomputed staging domain (e.g. rebuilt from the
+        per-date domain table) used instead of a pass over ``raw``."""
         self.raw = raw
         self.spark = raw.sparkSession
         self.peak_scope = peak_scope
         self.dedupe_filters = dedupe_filters
         self.broadcast_bytes = broadcast_bytes
         self.join_dims = join_dims
+        self._given_domain = domain
 
     def _small(self, df: DataFrame) -> DataFrame:
         """Broadcast after a bounded count (for frames with no bound known yet)."""
@@ -62,7 +65,8 @@ class TrafficModels:
         range are exact too.  Over the budget the domain is unpersisted and
         the dimensions fall back to shuffle joins.
         """
-        dom = staging.staging_domain(self.stg_entries)
+        dom = (self._given_domain if self._given_domain is not None
+               else staging.staging_domain(self.stg_entries))
         budget = broadcast_budget_rows(dom, self.broadcast_bytes)
         if budget <= 0:
             return dom, None, None

@@ -84,9 +84,18 @@ def write_raw(records: DataFrame, raw_path: str) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy(RAW_PART).parquet(raw_path))
 
 
-def read_raw(spark: SparkSession, raw_path: str) -> DataFrame:
+def read_raw(spark: SparkSession, raw_path: str, dates=None) -> DataFrame:
+    """The raw table; with ``dates``, only those date folders are listed and read."""
+    df = spark.read.schema(_with_fields(RAW_SCHEMA, [RAW_PART])).parquet(raw_path)
+    if dates is not None:
+        df = df.where(F.col(RAW_PART).isin(sorted({str(d)[:10] for d in dates})))
+    return df.select(*RAW_FIELDS)
+
+
+def raw_days(spark: SparkSession, raw_path: str) -> DataFrame:
+    """The raw table's partition date only: reading it touches file footers, no data."""
     return spark.read.schema(_with_fields(RAW_SCHEMA, [RAW_PART])).parquet(raw_path) \
-        .select(*RAW_FIELDS)
+        .select(F.to_date(RAW_PART).alias("toll_date"))
 
 
 def replace_raw(records: DataFrame, raw_path: str) -> None:
