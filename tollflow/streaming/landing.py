@@ -18,7 +18,6 @@ Beyond the cap the dates stay distributed and a left-semi join selects them.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tollflow.operators.joins import broadcast_if_small
