@@ -177,3 +177,23 @@ def test_domain_rebuilt_from_days_equals_direct_domain(spark):
         stg = TrafficModels(raw).stg_entries
         assert bag(staging.domain_from_days(staging.staging_domain_by_day(stg))) == \
             bag(staging.staging_domain(stg))
+
+
+def test_null_counts_and_zero_denominators(spark):
+    rows = [raw_row(hour=8, entries=None, excluded=None),
+            raw_row(hour=9, entries=None, excluded=None),
+            raw_row(region="Manhattan CBD", entries=0, excluded=0),
+            raw_row(region="Queens Gate", entries=23, excluded=40)]
+    m = TrafficModels(make_raw(spark, rows))
+    kpi = {r["detection_region"]: r for r in m.kpi_congestion.collect()}
+    # KPI sums skip NULLs: all-NULL gives NULL, and severity falls back to LOW
+    assert kpi["Brooklyn Bridge"]["total_entries"] is None
+    assert kpi["Brooklyn Bridge"]["severity_level"] == "LOW"
+    assert kpi["Manhattan CBD"]["entry_ratio"] is None          # 0 / NULLIF(0, 0)
+    assert kpi["Queens Gate"]["entry_ratio"] == 0.58            # 23/40 = 0.575, half up
+    daily = {r["detection_region"]: r for r in m.metrics_with_peak.collect()}
+    # the dashboard coalesces NULL counts to 0 before summing
+    assert daily["Brooklyn Bridge"]["total_entries"] == 0
+    assert daily["Brooklyn Bridge"]["exempt_ratio"] is None     # 0 * 100 / NULLIF(0, 0)
+    assert daily["Queens Gate"]["exempt_ratio"] == 173.91
+    assert daily["Queens Gate"]["peak_hour"] == 8 and daily["Queens Gate"]["peak_hour_entries"] == 23
