@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -33,6 +34,36 @@ def _row_bytes(schema: T.StructType) -> int:
     return width
 
 
+CACHED_COALESCE = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+
+
+@contextmanager
+def coalescible_cache(spark):
+    """Let adaptive execution coalesce the partitions of a plan cached inside.
+
+    By default a cached plan keeps every shuffle partition (200 locally,
+    thousands on a cluster) even when it holds a few KB, and every later job
+    over it pays one task per partition.  The setting is read when the cache
+    entry is created, so it is switched on only around ``persist()`` and the
+    session's own value is restored afterwards.
+    """
+    old = spark.conf.get(CACHED_COALESCE, None)
+    spark.conf.set(CACHED_COALESCE, "true")
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(CACHED_COALESCE)
+        else:
+            spark.conf.set(CACHED_COALESCE, old)
+
+
+def persist_small(df: DataFrame) -> DataFrame:
+    """Persist a frame expected to be small, with coalescible partitions."""
+    with coalescible_cache(df.sparkSession):
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def broadcast_budget_rows(df: DataFrame, max_bytes: int | None = None) -> int:
     """Rows of ``df`` that fit the broadcast budget (0 when broadcasting is off)."""
     if max_bytes is None:
@@ -57,7 +88,7 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None,
         budget = min(budget, max_rows)
     if budget <= 0:
         return df
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = persist_small(df)
     n = cached.limit(budget + 1).count()
     if n <= budget:
         return F.broadcast(cached)

@@ -14,13 +14,12 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollflow.operators import dashboard as D
 from tollflow.operators import dims, fact, kpi, staging
-from tollflow.operators.joins import broadcast_budget_rows, broadcast_if_small
+from tollflow.operators.joins import broadcast_budget_rows, broadcast_if_small, persist_small
 
 
 class TrafficModels:
@@ -70,7 +69,7 @@ class TrafficModels:
         budget = broadcast_budget_rows(dom, self.broadcast_bytes)
         if budget <= 0:
             return dom, None, None
-        cached = dom.persist(StorageLevel.MEMORY_AND_DISK)
+        cached = persist_small(dom)
         r = cached.limit(budget + 1).agg(F.count(F.lit(1)).alias("n"),
                                          F.min("min_date").alias("lo"),
                                          F.max("max_date").alias("hi")).first()
