@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tollflow.operators import audits, staging
 from tollflow.operators import dashboard as D
+from tollflow.operators.kpi import kpi_congestion
 from tollflow.plans import incremental as inc
 from tollflow.plans.models import TrafficModels
 from tollflow.sources import files
@@ -61,17 +62,23 @@ def _metrics_path(marts: str) -> str:
     return f"{marts}/_metrics_with_peak"
 
 
-def write_date_tables(m: TrafficModels, marts: str) -> None:
+def write_date_tables(m: TrafficModels, marts: str, dates=None) -> None:
     """Per-date tables of the marts: each date depends on its own rows only.
 
-    fact and KPI (grouped by date), the staging domain per date, and the
-    daily metrics with their peak hour (ranked within a date).  Writing
-    them with dynamic partition overwrite replaces exactly the dates of ``m``.
+    The fact is written from raw; KPI and the daily metrics with their peak
+    hour (ranked within a date) are then built from the fact folders just
+    written, as the marts read the fact; the staging domain per date comes
+    from the raw rows (it also sees rows that the fact drops).  Dynamic
+    partition overwrite replaces exactly the dates present.  ``dates``
+    limits the fact read-back to those folders (None: all).
     """
+    spark = m.spark
     inc.write_partitioned(m.fact_traffic, _fact_path(marts))
-    inc.write_partitioned(m.kpi_congestion, _kpi_path(marts))
+    fact = inc.read_partitioned(spark, _fact_path(marts), dates)
+    inc.write_partitioned(kpi_congestion(fact), _kpi_path(marts))
     inc.write_partitioned(staging.staging_domain_by_day(m.stg_entries), _domain_path(marts))
-    inc.write_partitioned(m.metrics_with_peak, _metrics_path(marts))
+    metrics = D.daily_with_peak(D.hourly_rollup(D.traffic_data(fact)), m.peak_scope)
+    inc.write_partitioned(metrics, _metrics_path(marts))
 
 
 def rebuild_dashboard(spark: SparkSession, marts: str, peak_scope: str = "date",
@@ -137,6 +144,7 @@ def run_daily(spark: SparkSession, landing_path: str, raw_path: str, marts: str,
     if not loaded:
         return report
     files.write_raw(landing.where(files.daily_folders(loaded)), raw_path)
-    write_date_tables(TrafficModels(files.read_raw(spark, raw_path, dates=loaded)), marts)
+    write_date_tables(TrafficModels(files.read_raw(spark, raw_path, dates=loaded)), marts,
+                      dates=loaded)
     rebuild_dashboard(spark, marts)
     return report

@@ -99,8 +99,12 @@ def write_partitioned(df: DataFrame, path: str) -> None:
      .partitionBy("_day").parquet(path))
 
 
-def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("_day")
+def read_partitioned(spark: SparkSession, path: str, dates=None) -> DataFrame:
+    """A date-partitioned table; with ``dates``, only those folders are read."""
+    df = spark.read.parquet(path)
+    if dates is not None:
+        df = df.where(F.col("_day").isin(sorted({str(d)[:10] for d in dates})))
+    return df.drop("_day")
 
 
 def files_exist(spark: SparkSession, path: str) -> bool:
