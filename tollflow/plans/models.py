@@ -2,12 +2,17 @@
 
 ``TrafficModels(raw)`` exposes every model of the reference as a property;
 nothing runs until a property is used, and each property is built once per
-instance.  Dimension frames are small by construction (distinct regions,
-classes, hours, calendar days) but they are still size-checked before
-being broadcast: see ``operators.joins.broadcast_if_small``.
+instance.
 
-Scan budget for a full build: staging is read once for the domain pass that
-feeds all dimensions and once for the fact; the marts read the fact.
+Broadcasts: every dimension derives from the staging *domain* (distinct
+region, class, hour with their date range), which is persisted and counted
+once with a bounded count.  That count bounds regions, classes and hours;
+the calendar span (two scalars from the same job) bounds dim_time and any
+per-date frame.  A frame is broadcast only when its bound times its row
+width fits the broadcast budget; otherwise it is joined by shuffle.
+
+Scan budget: the join-free fact, the KPI and the reports read staging once;
+anything that needs dimensions adds one column-pruned pass for the domain.
 """
 
 from __future__ import annotations
