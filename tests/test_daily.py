@@ -54,3 +54,32 @@ def test_full_refresh_replaces_raw(spark, tmp_path):
     assert out["row_count"] == 2
     assert sorted(r["toll_date"].date() for r in files.read_raw(spark, raw_path).collect()) == \
         [dt.date(2025, 2, 1), dt.date(2025, 2, 2)]
+
+
+def test_daily_run_heals_dates_loaded_but_never_built(spark, tmp_path):
+    landing, raw_path, marts = (str(tmp_path / n) for n in ("landing", "raw", "marts"))
+    everything = load_raw(spark, SF_SMALL)
+    files.write_daily(everything, landing)
+    files.write_raw(everything.where("toll_date <= timestamp_ntz'2024-01-20'"), raw_path)
+    daily.build_marts(spark, raw_path, marts)
+    # an earlier run loaded two more dates into raw, then failed before the marts
+    files.write_raw(everything.where("to_date(toll_date) in (date'2024-01-21', date'2024-01-22')"),
+                    raw_path)
+    report = daily.run_daily(spark, landing, raw_path, marts)
+    assert min(r["toll_date"] for r in report.collect()) == dt.date(2024, 1, 23)
+    full = TrafficModels(everything)
+    assert bag(inc.read_partitioned(spark, f"{marts}/fact_traffic")) == bag(full.fact_traffic)
+    assert bag(spark.read.parquet(f"{marts}/dashboard_traffic")) == bag(full.dashboard_traffic)
+
+
+def test_rebuilt_date_without_rows_leaves_no_stale_folder(spark, tmp_path):
+    raw_path, marts = str(tmp_path / "raw"), str(tmp_path / "marts")
+    files.write_raw(make_raw(spark, [raw_row(day="2025-02-01"), raw_row(day="2025-02-02")]), raw_path)
+    daily.build_marts(spark, raw_path, marts)
+    # the date is re-landed with rows that no longer reach the fact (NULL region)
+    files.write_raw(make_raw(spark, [raw_row(day="2025-02-02", region=None)]), raw_path)
+    daily.rebuild_date_tables(spark, raw_path, marts, [dt.date(2025, 2, 2)])
+    days = {r["toll_date"] for r in inc.read_partitioned(spark, f"{marts}/fact_traffic").collect()}
+    assert days == {dt.date(2025, 2, 1)}
+    kpi_days = {r["toll_date"] for r in inc.read_partitioned(spark, f"{marts}/kpi_congestion").collect()}
+    assert kpi_days == {dt.date(2025, 2, 1)}

@@ -144,7 +144,28 @@ def run_daily(spark: SparkSession, landing_path: str, raw_path: str, marts: str,
     if not loaded:
         return report
     files.write_raw(landing.where(files.daily_folders(loaded)), raw_path)
-    write_date_tables(TrafficModels(files.read_raw(spark, raw_path, dates=loaded)), marts,
-                      dates=loaded)
+    # Rebuild every raw date newer than the marts: the dates just loaded plus
+    # any that a failed earlier run loaded into raw but never built.
+    fact_max = _max_day(fact_days) if fact_days is not None else None
+    days = files.raw_days(spark, raw_path)
+    if fact_max is not None:
+        days = days.where(F.col("toll_date") > F.lit(fact_max))
+    pending = [r[0] for r in days.where(F.col("toll_date").isNotNull()).distinct().collect()]
+    rebuild_date_tables(spark, raw_path, marts, pending)
     rebuild_dashboard(spark, marts)
     return report
+
+
+def rebuild_date_tables(spark: SparkSession, raw_path: str, marts: str, dates) -> None:
+    """Drop and rewrite the per-date mart folders of ``dates`` from raw.
+
+    Dropping first means a date whose raw rows now yield nothing leaves no
+    stale folder; if the rewrite fails, the dates are older than nothing in
+    the fact, so the next run finds them pending again.
+    """
+    if not dates:
+        return
+    for path in (_fact_path(marts), _kpi_path(marts), _domain_path(marts), _metrics_path(marts)):
+        inc.drop_date_folders(spark, path, dates)
+    write_date_tables(TrafficModels(files.read_raw(spark, raw_path, dates=dates)), marts,
+                      dates=dates)

@@ -112,3 +112,19 @@ def files_exist(spark: SparkSession, path: str) -> bool:
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs.exists(jpath)
+
+
+def drop_date_folders(spark: SparkSession, path: str, dates) -> None:
+    """Delete the ``_day=`` folders of ``dates`` (a few, one per day) under ``path``.
+
+    Used before a per-date rebuild so that a date whose new input yields no
+    rows does not keep its old folder (dynamic overwrite only replaces the
+    folders it writes).
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for d in sorted({str(x)[:10] for x in dates}):
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/_day={d}")
+        fs = folder.getFileSystem(conf)
+        if fs.exists(folder):
+            fs.delete(folder, True)
