@@ -66,3 +66,10 @@ def test_cluster_conf_keeps_explicit_settings(spark):
                   "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor",
                   "spark.sql.sources.partitionOverwriteMode"):
             spark.conf.unset(k)
+
+
+def test_left_join_peak_reads_the_fact_once(spark):
+    df = QUERIES["join_left_peak"](spark, SF_SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final

@@ -70,7 +70,7 @@ def daily_metrics(hourly: DataFrame) -> DataFrame:
     )
 
 
-def _peak_window(scope: str) -> Window:
+def _peak_window(scope: str, share_rollup: bool = False) -> Window:
     if scope == "date":
         parts = ["toll_date"]
     elif scope == "group":
@@ -79,10 +79,17 @@ def _peak_window(scope: str) -> Window:
         raise ValueError(f"peak_scope must be 'date' or 'group', not {scope!r}")
     order = [F.col("hourly_entries").desc_nulls_last()] + [
         F.col(c).asc_nulls_first() for c in PEAK_TIE_BREAK]
+    if share_rollup:
+        # Never reached: (date, hour, class, region) is unique in the hourly
+        # grain.  It keeps the exempt sum referenced, so a plan that also uses
+        # the daily totals reads the same hourly aggregate on both sides and
+        # Spark reuses its exchange (one fact scan instead of two).
+        order.append(F.col("hourly_excluded").asc_nulls_first())
     return Window.partitionBy(*parts).orderBy(*order)
 
 
-def peak_hours_ranked(hourly: DataFrame, scope: str = "date") -> DataFrame:
+def peak_hours_ranked(hourly: DataFrame, scope: str = "date",
+                      share_rollup: bool = False) -> DataFrame:
     """ROW_NUMBER over the hourly grain.
 
     ``scope='date'`` ranks within each date only, as the reference does (Q1):
@@ -92,13 +99,14 @@ def peak_hours_ranked(hourly: DataFrame, scope: str = "date") -> DataFrame:
     return hourly.select(
         "toll_date", "vehicle_class", "detection_region", "borough", "location_name",
         "hour", "hourly_entries",
-        F.row_number().over(_peak_window(scope)).alias("rn"),
+        F.row_number().over(_peak_window(scope, share_rollup)).alias("rn"),
     )
 
 
-def peak_hours_top1(hourly: DataFrame, scope: str = "date") -> DataFrame:
+def peak_hours_top1(hourly: DataFrame, scope: str = "date",
+                    share_rollup: bool = False) -> DataFrame:
     """rn = 1 rows (W2), filtered *before* any join."""
-    return peak_hours_ranked(hourly, scope).where(F.col("rn") == 1).drop("rn")
+    return peak_hours_ranked(hourly, scope, share_rollup).where(F.col("rn") == 1).drop("rn")
 
 
 def daily_with_peak(hourly: DataFrame, scope: str = "date") -> DataFrame:

@@ -192,7 +192,7 @@ class TrafficModels:
 
     @cached_property
     def final_metrics(self) -> DataFrame:
-        peak = self.peak_hours_top1
+        peak = D.peak_hours_top1(self.hourly_rollup, self.peak_scope, share_rollup=True)
         if self.peak_scope == "date":
             # rn = 1 leaves at most one row per date, so the calendar's day
             # count bounds this side without running it; broadcast only when
