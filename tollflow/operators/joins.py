@@ -95,8 +95,3 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None,
     cached.unpersist()
     return df
 
-
-def is_broadcast_plan(df: DataFrame) -> bool:
-    """True when the physical plan holds a broadcast hash join (used by tests)."""
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return "BroadcastHashJoin" in plan or "BroadcastExchange" in plan

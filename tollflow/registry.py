@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from tollflow import oracle as O
 from tollflow.functions import columns as C
 from tollflow.operators import audits, quality, reports
+from tollflow.operators.dims import time_periods
+from tollflow.operators.fact import join_location, join_time
 from tollflow.plans import incremental as inc
 from tollflow.plans.models import TrafficModels
 from tollflow.session import scratch_path
@@ -144,13 +146,11 @@ def audit_row_count(spark, sf_dir):
 # ---- models -------------------------------------------------------------------
 def join_inner_time(spark, sf_dir):
     m = models(spark, sf_dir)
-    from tollflow.operators.fact import join_time
     return join_time(m.stg_entries, m.dim_time_small)
 
 
 def join_inner_location(spark, sf_dir):
     m = models(spark, sf_dir)
-    from tollflow.operators.fact import join_location
     return join_location(m.stg_entries, m.dim_locations_small)
 
 
@@ -159,7 +159,6 @@ def peak_hours_top1(spark, sf_dir):
 
 
 def distinct_time_periods(spark, sf_dir):
-    from tollflow.operators.dims import time_periods
     return time_periods(models(spark, sf_dir).dim_time)
 
 
