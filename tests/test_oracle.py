@@ -25,3 +25,15 @@ def test_entry_runs(spark):
                           "location_name", "total_entries", "total_excluded", "exempt_ratio",
                           "peak_hour", "peak_hour_entries", "filter_type", "filter_value",
                           "filter_display"]
+
+
+@pytest.mark.parametrize("key", ["stg_entries", "src_pages", "src_day_filter", "fn_iso_date",
+                                 "fn_ten_minute_block", "dashboard_traffic"])
+def test_results_do_not_depend_on_session_time_zone(spark, key):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        [(k, ok, msg)] = list(compare(spark, SF_SMALL, [key]))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert ok, msg
