@@ -82,3 +82,14 @@ def test_checked_pages_route_bad_records_and_skip_their_day(spark, tmp_path):
     got = {r["toll_date"]: (r["records"], r["rejected"], r["loaded"]) for r in report.collect()}
     assert got == {dt.date(2025, 1, 5): (1, 0, True), dt.date(2025, 1, 6): (1, 1, False),
                    None: (0, 1, False)}
+
+
+def test_ordered_range_partitions_on_tie_breakers_too(spark):
+    # range partitioning cannot split equal keys; with every column in the sort
+    # key, rows of one busy (date, hour) can still spread over partitions
+    df = pages.ordered(make_raw(spark, [raw_row(entries=i) for i in range(50)]))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    part = plan[plan.index("rangepartitioning("):].split("\n")[0]
+    for c in ("toll_date", "toll_hour", "detection_region", "crz_entries"):
+        assert c in part
+    assert [r["crz_entries"] for r in df.collect()] == list(range(50))

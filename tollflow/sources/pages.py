@@ -144,8 +144,13 @@ def day_filter(raw: DataFrame, day, col: str = "toll_date") -> DataFrame:
 
 
 def ordered(raw: DataFrame, keys=("toll_date", "toll_hour")) -> DataFrame:
-    """Source order by (toll_date, toll_hour) (S5): a range-partitioned sort."""
-    return raw.orderBy(*keys)
+    """Source order by (toll_date, toll_hour) (S5): a range-partitioned sort.
+
+    Rows tied on the keys may come in any order, so the other columns are
+    appended as tie-breakers: range partitioning cannot split equal keys, and
+    without them one busy hour would land in a single partition.
+    """
+    return raw.orderBy(*_total_order(raw, keys))
 
 
 def _total_order(df: DataFrame, keys) -> list[Column]:
