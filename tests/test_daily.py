@@ -83,3 +83,16 @@ def test_rebuilt_date_without_rows_leaves_no_stale_folder(spark, tmp_path):
     assert days == {dt.date(2025, 2, 1)}
     kpi_days = {r["toll_date"] for r in inc.read_partitioned(spark, f"{marts}/kpi_congestion").collect()}
     assert kpi_days == {dt.date(2025, 2, 1)}
+
+
+def test_full_refresh_truncates_even_with_dynamic_session_default(spark, tmp_path):
+    base, raw_path = str(tmp_path / "full"), str(tmp_path / "raw")
+    files.write_raw(make_raw(spark, [raw_row(day="2025-03-01")]), raw_path)
+    files.write_full(make_raw(spark, [raw_row(day="2025-02-01")]), base, run_id="20250101000000")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        daily.load_full(spark, base, raw_path)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [r["toll_date"].date() for r in files.read_raw(spark, raw_path).collect()] == \
+        [dt.date(2025, 2, 1)]

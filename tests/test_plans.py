@@ -63,8 +63,7 @@ def test_cluster_conf_keeps_explicit_settings(spark):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes",
                   "spark.sql.autoBroadcastJoinThreshold",
-                  "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor",
-                  "spark.sql.sources.partitionOverwriteMode"):
+                  "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor"):
             spark.conf.unset(k)
 
 

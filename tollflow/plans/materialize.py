@@ -24,7 +24,9 @@ def _write(df: DataFrame, path: str, name: str, database: str | None) -> None:
     if name in DATE_PARTITIONED:
         writer_df = df.withColumn("_day", F.date_format("toll_date", "yyyy-MM-dd")) \
             .hint("rebalance", "_day")
-        writer = writer_df.write.mode("overwrite").partitionBy("_day")
+        # a full build replaces every date, whatever the session default
+        writer = (writer_df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+                  .partitionBy("_day"))
     else:
         writer = writer_df.write.mode("overwrite")
     if database:

@@ -36,7 +36,8 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2",
     # Dimensions here are KBs; the size checks compare against this budget.
     "spark.sql.autoBroadcastJoinThreshold": "64m",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # partitionOverwriteMode stays the session's own: per-date loads ask for
+    # dynamic overwrite on each write, full refreshes ask for static.
 }
 
 

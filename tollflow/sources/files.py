@@ -102,7 +102,9 @@ def replace_raw(records: DataFrame, raw_path: str) -> None:
     """Truncate-and-load of the raw table (full refresh)."""
     out = records.select(*RAW_FIELDS,
                          F.date_format(F.to_date("toll_date"), "yyyy-MM-dd").alias(RAW_PART))
-    out.hint("rebalance", RAW_PART).write.mode("overwrite").partitionBy(RAW_PART).parquet(raw_path)
+    # Static overwrite: a full refresh drops every date, whatever the session default.
+    (out.hint("rebalance", RAW_PART).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").partitionBy(RAW_PART).parquet(raw_path))
 
 
 def file_dates(files: DataFrame, path_col: str = "file_path") -> DataFrame:
