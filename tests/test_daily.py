@@ -96,3 +96,31 @@ def test_full_refresh_truncates_even_with_dynamic_session_default(spark, tmp_pat
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     assert [r["toll_date"].date() for r in files.read_raw(spark, raw_path).collect()] == \
         [dt.date(2025, 2, 1)]
+
+
+def test_pages_to_marts_end_to_end(spark, tmp_path):
+    import json
+
+    from tollflow.sources import pages
+    everything = load_raw(spark, SF_SMALL)
+    hist_pages, day_pages = str(tmp_path / "hist_pages"), str(tmp_path / "day_pages")
+    pages.land_pages(everything.where("toll_date <= timestamp_ntz'2024-01-20'"), hist_pages, 200)
+    pages.land_pages(everything.where("toll_date > timestamp_ntz'2024-01-20'"), day_pages, 200)
+    # one extra page with a bad count for 2024-01-25: that day must not land
+    bad = {"toll_date": "2024-01-25T00:00:00.000", "crz_entries": "lots"}
+    (tmp_path / "day_pages" / "zz-bad.json").write_text(json.dumps({"value": [bad]}) + "\n")
+    base, raw_path, landing, marts = (str(tmp_path / n) for n in ("full", "raw", "landing", "marts"))
+
+    daily.land_history(spark, hist_pages, base, start="2023-12-31", end="2024-01-20")
+    daily.load_full(spark, base, raw_path)
+    daily.build_marts(spark, raw_path, marts)
+    report = {r["toll_date"]: (r["rejected"], r["loaded"])
+              for r in daily.land_daily_pages(spark, day_pages, landing).collect()}
+    assert report[dt.date(2024, 1, 25)] == (1, False) and report[dt.date(2024, 1, 26)] == (0, True)
+    loaded = daily.run_daily(spark, landing, raw_path, marts)
+    got = sorted(r["toll_date"] for r in loaded.collect())
+    assert dt.date(2024, 1, 25) not in got and len(got) == 9
+
+    expect = TrafficModels(everything.where("to_date(toll_date) <> date'2024-01-25'"))
+    assert bag(inc.read_partitioned(spark, f"{marts}/kpi_congestion")) == bag(expect.kpi_congestion)
+    assert bag(spark.read.parquet(f"{marts}/dashboard_traffic")) == bag(expect.dashboard_traffic)

@@ -27,13 +27,38 @@ from tollflow.operators import dashboard as D
 from tollflow.operators.kpi import kpi_congestion
 from tollflow.plans import incremental as inc
 from tollflow.plans.models import TrafficModels
-from tollflow.sources import files
+from tollflow.sources import files, pages
 
 
 class HistoryGateError(RuntimeError):
     pass
 
 
+def land_history(spark: SparkSession, pages_path: str, full_base: str,
+                 start=pages.HISTORY_START, end=pages.HISTORY_END,
+                 run_id: str | None = None) -> str:
+    """Entry point A, first half: landed history pages -> one full-load run
+    folder, keeping toll_date > start and date <= end (S1, S3, S9).
+    Returns the run id."""
+    records = pages.range_filter(pages.read_pages(spark, pages_path), start, end)
+    return files.write_full(records, full_base, run_id)
+
+
+def land_daily_pages(spark: SparkSession, pages_path: str, landing_path: str) -> DataFrame:
+    """Daily pages -> daily landing folders, one folder per date.
+
+    Records that fail their declared types go to a rejects frame; a day with
+    any reject is not landed (the others are), as one failed day does not
+    stop the rest.  Returns the per-day report (toll_date, records,
+    rejected, loaded), materialized before the write.
+    """
+    records, rejects = pages.read_pages_checked(spark, pages_path)
+    healthy, report = pages.split_healthy_days(records, rejects)
+    report = report.checkpoint(eager=True)
+    files.write_daily(healthy, landing_path)
+    return report
+
+
 def load_full(spark: SparkSession, full_base: str, raw_path: str) -> DataFrame:
     """Entry point A: replace the raw table with the newest full-load run.
     Source and target are different folders, so the run is read once and
