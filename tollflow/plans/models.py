@@ -27,6 +27,10 @@ from tollflow.operators import dims, fact, kpi, staging
 from tollflow.operators.joins import broadcast_budget_rows, broadcast_if_small, persist_small
 
 
+# Largest staging domain kept cached for the dimensions (about 400k rows).
+DOMAIN_CACHE_BYTES = 64 << 20
+
+
 class TrafficModels:
     def __init__(self, raw: DataFrame, *, peak_scope: str = "date",
                  dedupe_filters: bool = False, broadcast_bytes: int | None = None,
@@ -67,13 +71,15 @@ class TrafficModels:
         ``limit(budget + 1)`` caps the rows the check reads; when the count
         stays within the budget, every row was seen, so MIN/MAX of the date
         range are exact too.  Over the budget the domain is unpersisted and
-        the dimensions fall back to shuffle joins.
+        the dimensions fall back to shuffle joins.  The budget for keeping the
+        domain cached is its own (``DOMAIN_CACHE_BYTES``, or the broadcast
+        budget if larger): a session that turns broadcasts off still reads
+        raw once for all of its dimensions.
         """
         dom = (self._given_domain if self._given_domain is not None
                else staging.staging_domain(self.stg_entries))
-        budget = broadcast_budget_rows(dom, self.broadcast_bytes)
-        if budget <= 0:
-            return dom, None, None
+        budget = max(broadcast_budget_rows(dom, self.broadcast_bytes),
+                     broadcast_budget_rows(dom, DOMAIN_CACHE_BYTES))
         cached = persist_small(dom)
         r = cached.limit(budget + 1).agg(F.count(F.lit(1)).alias("n"),
                                          F.min("min_date").alias("lo"),
