@@ -124,3 +124,14 @@ def test_pages_to_marts_end_to_end(spark, tmp_path):
     expect = TrafficModels(everything.where("to_date(toll_date) <> date'2024-01-25'"))
     assert bag(inc.read_partitioned(spark, f"{marts}/kpi_congestion")) == bag(expect.kpi_congestion)
     assert bag(spark.read.parquet(f"{marts}/dashboard_traffic")) == bag(expect.dashboard_traffic)
+
+
+def test_check_marts_runs_every_declared_test(spark, tmp_path):
+    raw_path, marts = str(tmp_path / "raw"), str(tmp_path / "marts")
+    files.write_raw(load_raw(spark, SF_SMALL), raw_path)
+    daily.build_marts(spark, raw_path, marts)
+    rows = daily.check_marts(spark, raw_path, marts).collect()
+    assert len(rows) == 17 + 2 + 4
+    assert sum(r["violations"] for r in rows) == 0
+    assert {r["check_name"] for r in rows} == {"not_null", "unique", "peak_hours",
+                                               "vehicle_classes", "non_negative", "valid_dates"}

@@ -65,3 +65,18 @@ def test_audits(spark):
     assert empty["total_records"] == 0 and empty["min_date"] is None
     per = {r["toll_date"]: r["records"] for r in audits.loaded_dates(raw).collect()}
     assert per == {dt.date(2025, 2, 1): 3, dt.date(2025, 2, 3): 1}
+
+
+def test_all_checks_reports_seeded_violations(spark):
+    future = (dt.date.today() + dt.timedelta(days=3)).isoformat()
+    rows = [raw_row(), raw_row(vclass="9 - Hovercraft"), raw_row(entries=-1),
+            raw_row(day=future), raw_row(vclass=None)]
+    m = TrafficModels(make_raw(spark, rows))
+    got = {(r["check_name"], r["table_name"], r["column_name"]): r["violations"]
+           for r in quality.all_checks(m.tables()).collect()}
+    assert len(got) == 23
+    assert got[("vehicle_classes", "fact_traffic", None)] == 1
+    assert got[("non_negative", "fact_traffic", None)] == 1
+    assert got[("valid_dates", "fact_traffic", None)] == 1
+    assert got[("not_null", "fact_traffic", "vehicle_class")] == 1
+    assert got[("unique", "dim_time", "toll_date")] == 0

@@ -81,3 +81,28 @@ def violation_count(check: str, violating: DataFrame) -> DataFrame:
     """One row (check_name, violations) for a check's violating rows."""
     return violating.agg(F.count(F.lit(1)).alias("violations")).select(
         F.lit(check).alias("check_name"), "violations")
+
+
+# The four singular tests, each on the fact table.
+SINGULAR_CHECKS = {
+    "peak_hours": bad_hours,
+    "vehicle_classes": bad_vehicle_classes,
+    "non_negative": negative_counts,
+    "valid_dates": future_dates,
+}
+
+
+def all_checks(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every declared test in one frame (check_name, table_name, column_name,
+    violations): 17 not_null, 2 unique and the 4 singular checks on the fact.
+    Empty violations everywhere means the build passes, as after the
+    reference's test step."""
+    nn = not_null_summary(tables).select(F.lit("not_null").alias("check_name"), "table_name",
+                                         "column_name", "violations")
+    un = unique_summary(tables).select(F.lit("unique").alias("check_name"), "table_name",
+                                       "column_name", "violations")
+    singular = [violation_count(name, fn(tables["fact_traffic"])).select(
+        "check_name", F.lit("fact_traffic").alias("table_name"),
+        F.lit(None).cast("string").alias("column_name"), "violations")
+        for name, fn in SINGULAR_CHECKS.items()]
+    return reduce(DataFrame.unionByName, [nn, un, *singular])

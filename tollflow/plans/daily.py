@@ -194,3 +194,23 @@ def rebuild_date_tables(spark: SparkSession, raw_path: str, marts: str, dates) -
         inc.drop_date_folders(spark, path, dates)
     write_date_tables(TrafficModels(files.read_raw(spark, raw_path, dates=dates)), marts,
                       dates=dates)
+
+
+def check_marts(spark: SparkSession, raw_path: str, marts: str) -> DataFrame:
+    """Entry point C's test step over the written tables: one row per check.
+
+    Staging and the dimensions are rebuilt lazily from the per-date domain
+    and raw; fact, KPI and dashboard are read from the marts.
+    """
+    from tollflow.operators import quality
+    domain = staging.domain_from_days(inc.read_partitioned(spark, _domain_path(marts)))
+    m = TrafficModels(files.read_raw(spark, raw_path), domain=domain)
+    tables = {
+        "stg_entries": m.stg_entries,
+        "fact_traffic": inc.read_partitioned(spark, _fact_path(marts)),
+        "dim_locations": m.dim_locations,
+        "dim_time": m.dim_time,
+        "kpi_congestion": inc.read_partitioned(spark, _kpi_path(marts)),
+        "dashboard_traffic": spark.read.parquet(_dashboard_path(marts)),
+    }
+    return quality.all_checks(tables)
