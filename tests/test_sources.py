@@ -93,3 +93,18 @@ def test_ordered_range_partitions_on_tie_breakers_too(spark):
     for c in ("toll_date", "toll_hour", "detection_region", "crz_entries"):
         assert c in part
     assert [r["crz_entries"] for r in df.collect()] == list(range(50))
+
+
+def test_global_rank_across_many_partitions_matches_python_sort(spark):
+    raw = load_raw(spark, SF_SMALL)
+    order = pages._total_order(raw, ("toll_date", "toll_hour"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = pages.global_rank(raw, order)
+        parts = ranked.select(F.spark_partition_id().alias("p")).distinct().count()
+        got = [tuple(r) for r in ranked.orderBy("_rank").select(*raw.columns).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert parts > 1
+    key = lambda t: tuple((x is not None, x) for x in t)  # noqa: E731  (NULLs first)
+    assert got == sorted((tuple(r) for r in raw.collect()), key=key)
