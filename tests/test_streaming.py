@@ -24,3 +24,19 @@ def test_stream_twice_equals_batch(spark, tmp_path):
     # a third run finds nothing new and changes nothing
     run_landing_load(spark, landing, raw_path, ckpt)
     assert files.read_raw(spark, raw_path).count() == 1001
+
+
+def test_page_stream_resumes_and_loads_each_record_once(spark, tmp_path):
+    from tollflow.sources import pages
+    from tollflow.streaming.landing import read_page_load, run_page_load
+    raw = load_raw(spark, SF_SMALL)
+    pages_dir, out, ckpt = (str(tmp_path / n) for n in ("pages", "out", "ckpt"))
+    first = raw.where("toll_date < timestamp_ntz'2024-01-15'")
+    second = raw.where("toll_date >= timestamp_ntz'2024-01-15'")
+    pages.land_pages(first, f"{pages_dir}/part1", page_rows=100)
+    run_page_load(spark, f"{pages_dir}/*", out, ckpt)
+    assert bag(read_page_load(spark, out)) == bag(first)
+    pages.land_pages(second, f"{pages_dir}/part2", page_rows=100)
+    run_page_load(spark, f"{pages_dir}/*", out, ckpt)        # resumes: only the new pages
+    run_page_load(spark, f"{pages_dir}/*", out, ckpt)        # nothing new
+    assert bag(read_page_load(spark, out)) == bag(raw)
