@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollflow.llm import bpe, line_dedup, mixing, quality_rank, simhash
-from tollflow.llm.common import stored, text_or_empty
+from tollflow.llm.common import packed, stored, text_or_empty
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,38 +22,35 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, its text without the lines that an earlier document holds; n_chars follows."""
-    kept = line_dedup.dedup_lines(docs)
-    changed = F.col("_n_dropped") > 0
+    kept, changed = line_dedup.dedup_lines(docs), F.col("n_dropped") > 0
+    new = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast("long")}
     return kept.select(*[
-        (F.when(changed, F.col("_kept")).otherwise(F.col("text")).alias("text") if c == "text" else
-         F.when(changed, F.char_length("_kept")).otherwise(F.col("n_chars"))
-         .cast(docs.schema["n_chars"].dataType).alias("n_chars") if c == "n_chars" else
-         F.col(f"`{c}`")) for c in docs.columns])
+        F.when(changed, new[c]).otherwise(F.col(f"doc.`{c}`")).alias(c) if c in new
+        else F.col(f"doc.`{c}`") for c in docs.columns])
 
 
 def _numbered(docs: DataFrame, name: str) -> DataFrame:
-    """Written once with a row number, so that decisions find their rows whatever the ids are."""
-    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), name)
+    """doc, row: written once with a row number, so decisions find their rows whatever the ids are."""
+    return stored(packed(docs).withColumn("row", F.monotonically_increasing_id()), name)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the smallest doc_id, NULL last."""
     rows = _numbered(docs, "simhash-input")
-    found = simhash.near_duplicates(rows.select("doc_id", "text", "_row"), carry=("_row",))
+    found = simhash.near_duplicates(rows.select("doc.doc_id", "doc.text", "row"), carry=("row",))
     first = found.groupBy("group").agg(F.min(F.struct(
-        F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("m"))
-    return rows.join(first.select(F.col("m._row").alias("_kept")), F.col("_row") == F.col("_kept"),
-                     "left_semi").drop("_row")
+        F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("m"))
+    return rows.join(first.select("m.row"), "row", "left_semi").select("doc.*")
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; those it does not take go."""
     rows = _numbered(docs, "mix-input")
-    times = mixing.mix(rows.select("doc_id", "source", "text", "_row"), carry=("_row",))
-    taken = times.where("times > 0").select(F.col("_row").alias("_taken"), "times")
-    return rows.join(taken, F.col("_row") == F.col("_taken")) \
-        .withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("times")))) \
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+    mixed = mixing.mix(rows.select("doc.doc_id", "doc.source", "doc.text",
+                                   F.col("row").alias("input_row")), carry=("input_row",))
+    taken = mixed.where("times > 0").select(F.col("input_row").alias("row"), "times")
+    return rows.join(taken, "row") \
+        .select("doc", F.explode(F.sequence(F.lit(1), F.col("times")))).select("doc.*")
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,189 @@
+"""Secret scan, URL filter, line dedup, mixing and quality rules against plain versions."""
+
+import math
+import random
+from collections import Counter, defaultdict
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_SMALL
+from tests.llm import brute
+from tollflow.llm import line_dedup, mixing, quality_rules, secrets, urls
+
+
+def one_row(df, key="doc_id"):
+    rows = df.collect()
+    out = {r[key]: r for r in rows}
+    assert len(out) == len(rows)
+    return out
+
+
+# ---- secret scan ---------------------------------------------------------------
+def test_base_secrets_equal_the_contract(edge_docs, edge_rows):
+    got = one_row(secrets.scan(edge_docs))
+    for i, text in edge_rows:
+        want = [(s, k, n, e) for s, k, n, e in brute.base_secrets(text)]
+        assert [(b["start"], b["ord"], b["kind"], b["end"]) for b in got[i]["base"]] == want
+        assert set(want) <= {(b["start"], b["ord"], b["kind"], b["end"]) for b in got[i]["spans"]}
+
+
+def test_weak_parts_are_reported_only_with_their_complement(spark):
+    far = " word" * 100
+    token = "Zq8xT4vB9nLm2KpW7sYd"
+    docs = spark.createDataFrame([
+        (1, f"user=alice {token}"), (2, f"user=alice{far} {token}"), (3, "user=alice"), (4, token),
+        (5, "see https://db.example.org/x only"),
+        (6, f"https://db.example.org/x user=alice password=abcd1234efgh"),
+        (7, f"https://db.example.org/x {token}"),
+    ], "doc_id long, text string")
+    got = {i: [s["kind"] for s in r["spans"]] for i, r in one_row(secrets.scan(docs)).items()}
+    assert got == {1: ["ident", "opaque"], 2: [], 3: [], 4: [], 5: [],
+                   6: ["endpoint", "ident", "assign"], 7: ["opaque"]}
+
+
+def test_secret_scan_odd_and_empty_tables(odd_docs, no_docs):
+    assert secrets.scan(odd_docs).count() == 7
+    assert secrets.scan(no_docs).count() == 0
+
+
+# ---- URL filter ----------------------------------------------------------------
+ODD_URLS = [None, "", "no scheme", "://", "http://", "HTTP://A.Example.NET/en/x", "http://net/",
+            "http://net", "http://xnet/", "ftp://q.org/fr/", "http://org/fr", "x://b.org?//fr/",
+            "http://a.example.com/de/1#x", "http://example.com/de", "a://b://c.net/", "http://" + "ü" * 5000,
+            "http://a.net\n/x y"]
+
+
+def test_host_path_and_rules(spark):
+    pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(ODD_URLS)],
+                                  "page_id long, url string, verdict string")
+    got = one_row(urls.judge(pages), "page_id")
+    for i, u in enumerate(ODD_URLS):
+        host, path = brute.url_parts(u)
+        rule, verdict = brute.url_rule(host, path)
+        assert (got[i]["host"], got[i]["path"], got[i]["rule"]) == (host, path, rule), u
+        assert got[i]["verdict"] == verdict if verdict else got[i]["verdict"] in ("allow", "block")
+    assert urls.judge(pages.limit(0)).count() == 0
+
+
+def test_trees_judge_held_out_urls(spark):
+    """Accuracy on labelled URLs that were not used for fitting, against the majority verdict."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    held = F.pmod(F.col("page_id"), F.lit(4)) == 2
+    rows = urls.judge(pages, hold_out=held).where(held & F.col("rule").isNotNull()) \
+        .select("verdict", "score").collect()
+    right = sum((r["score"] >= 0.5) == (r["verdict"] == "block") for r in rows) / len(rows)
+    most = max(Counter(r["verdict"] for r in rows).values()) / len(rows)
+    assert right > 0.7 and right > most + 0.05, (right, most)
+
+
+# ---- line dedup ----------------------------------------------------------------
+@pytest.mark.parametrize("options", [{}, {"batches": 9, "fanout": 3, "buckets": 5}, {"batches": 1}])
+def test_line_dedup_equals_brute_force(edge_docs, edge_rows, options):
+    want = brute.line_dedup(edge_rows)
+    docs = edge_docs if not options else edge_docs.select("doc_id", "text")
+    got = line_dedup.dedup_lines(docs, **options).collect()
+    assert {r["doc"]["doc_id"]: (r["n_lines"], r["n_dropped"], r["kept"]) for r in got} == want
+    assert len(got) == len(want) and got[0]["doc"].asDict().keys() == set(docs.columns)
+
+
+def test_line_dedup_odd_and_empty_tables(odd_docs, no_docs):
+    rows = [(r["doc"]["doc_id"], r["n_dropped"], r["kept"]) for r in line_dedup.dedup_lines(odd_docs).collect()]
+    # repeated rows are one document; rows without id come after all others
+    assert sorted(rows, key=str) == sorted([
+        (1, 0, odd_docs.first()["text"]), (1, 0, odd_docs.first()["text"]), (None, 2, ""),
+        (None, 0, ""), (2, 2, "more text over here"), (2, 0, "quite another text of this id"),
+        (3, 0, "")], key=str)
+    assert line_dedup.dedup_lines(no_docs).count() == 0
+
+
+# ---- mixing --------------------------------------------------------------------
+def test_targets_equal_repeated_resharing(spark):
+    rng = random.Random(5)
+    for n in (1, 2, 3, 7, 25):
+        sizes = {(None if i == 0 else f"s{i:02d}"): rng.choice([0, 1, 10, 1000, 10**6]) for i in range(n)}
+        got = {r["source"]: r["target"] for r in mixing.targets(spark.createDataFrame(
+            list(sizes.items()), "source string, source_size long")).collect()}
+        want = brute.mix_targets(sizes)
+        assert all(math.isclose(got[s], want[s], rel_tol=1e-9, abs_tol=1e-9) for s in sizes), sizes
+
+
+def test_mix_serves_each_source_to_its_target(edge_docs, edge_rows):
+    got = mixing.mix(edge_docs).collect()
+    size = {i: len(brute.WORD.findall(t or "")) for i, t in edge_rows}
+    taken, longest, total = Counter(), defaultdict(int), Counter()
+    for r in got:
+        assert r["size"] == size[r["doc_id"]] and 0 <= r["times"] <= 2
+        assert r["times"] == 0 if not r["size"] else True
+        taken[r["source"]] += r["size"] * r["times"]
+        total[r["source"]] += r["size"]
+        longest[r["source"]] = max(longest[r["source"]], r["size"])
+    want = brute.mix_targets(total)
+    for s in want:
+        assert abs(taken[s] - want[s]) <= longest[s] + 1, s
+    assert 1.5 * sum(total.values()) - max(longest.values()) <= sum(taken.values()) <= 1.5 * sum(total.values()) + 1
+    again = {r["doc_id"]: r["times"] for r in mixing.mix(edge_docs.repartition(7)).collect()}
+    assert again == {r["doc_id"]: r["times"] for r in got}
+
+
+def test_mix_equals_a_plain_queue(edge_docs, edge_rows):
+    """The same order of finish times, served one by one."""
+    rows = mixing.mix(edge_docs.select("doc_id", "source", "text"), ranges=7, slots=13).collect()
+    full = mixing.mix(edge_docs.select("doc_id", "source", "text"), ranges=7, slots=50).collect()
+    assert {r["doc_id"]: r["times"] for r in rows} == {r["doc_id"]: r["times"] for r in full}
+
+
+def test_mix_odd_and_empty_tables(odd_docs, no_docs):
+    rows = mixing.mix(odd_docs).collect()
+    assert len(rows) == 7 and all(r["times"] == 0 for r in rows if r["size"] == 0)
+    assert mixing.mix(no_docs).count() == 0
+
+
+# ---- quality rules --------------------------------------------------------------
+def test_counts_and_base_rule(edge_docs, edge_rows, spark):
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    got = one_row(quality_rules.judge(edge_docs, labels))
+    for i, text in edge_rows:
+        want = brute.text_counts(text)
+        r = got[i]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"],
+                r["n_repeat_words"]) == want, i
+        assert r["base_failed"] == (want[0] < 50 or 100 * want[4] > 50 * want[0])
+        assert not (r["base_failed"] and r["kept"])
+
+
+def test_allowed_failures_is_the_exact_binomial_bound():
+    for n, risk, error in ((100, 0.05, 0.05), (2000, 1 / 300, 0.002), (50, 0.01, 0.05), (900, 0.02, 0.01)):
+        p, total, best = Fraction(risk), Fraction(0), -1
+        for k in range(n + 1):
+            total += math.comb(n, k) * p ** k * (1 - p) ** (n - k)
+            if total > error:
+                break
+            best = k
+        assert quality_rules.allowed_failures(n, risk, error) == best
+
+
+def test_certified_cutoffs_reject_junk_and_hold_the_risk(spark):
+    """Good documents have a small symbol share, junk a large one; 4000 labels."""
+    rng = random.Random(3)
+    rows, marks = [], []
+    for i in range(4000):
+        good = i % 4 > 0
+        words = [f"w{rng.randrange(10**6)}" + ("#$%" if not good else "") for _ in range(60)]
+        rows.append((i, " ".join(words)))
+        marks.append((i, int(good)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame(marks + [(7, None), (None, 1)], "doc_id long, quality int")
+    got = one_row(quality_rules.judge(docs, labels))
+    kept_good = sum(got[i]["kept"] for i, q in marks if q) / 3000
+    kept_bad = sum(got[i]["kept"] for i, q in marks if not q) / 1000
+    assert kept_good >= 1 - quality_rules.MAX_RISK and kept_bad == 0
+    none = one_row(quality_rules.judge(docs, labels.limit(0)))       # nothing certified: all kept
+    assert all(r["kept"] for r in none.values())
+
+
+def test_quality_rules_odd_and_empty_tables(odd_docs, no_docs, spark):
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    assert quality_rules.judge(odd_docs, labels).count() == 7
+    assert quality_rules.judge(no_docs, labels).count() == 0

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tollflow.llm.common import read_table, text_or_empty
+from tollflow.llm.common import packed, read_table, sha256_hex, text_or_empty
 from tollflow.session import scratch_path
 
 LEXICON_WORDS = 100_000    # most frequent words that are compiled
@@ -351,21 +351,20 @@ def share_file(spark: SparkSession, data: bytes) -> str:
 
 
 def encode_documents(docs: DataFrame, vocabulary: str, **options) -> DataFrame:
-    """``docs`` with its own columns plus _ids (binary) and _decoded; one row per input row.
+    """doc (the input row as a struct), ids (binary), decoded; one row per input row.
 
     NULL text is empty.  Special tokens written in a text get their ids, as in
     the library.  Texts and words may be of any length.
     """
-    codec = Codec(docs.sparkSession, vocabulary, docs, **options)
-    return docs.withColumn("_ids", codec.encode(text_or_empty())) \
-        .withColumn("_decoded", codec.decode(F.col("_ids")))
+    codec = Codec(docs.sparkSession, vocabulary, docs.select("text"), **options)
+    return packed(docs).withColumn("ids", codec.encode(text_or_empty("doc.text"))) \
+        .withColumn("decoded", codec.decode(F.col("ids")))
 
 
 def digests(encoded: DataFrame) -> DataFrame:
     return encoded.select(
-        "doc_id", (F.octet_length("_ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("_ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("_decoded").cast("binary"), 256).alias("decoded_sha256"))
+        "doc.doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), sha256_hex(F.col("decoded")).alias("decoded_sha256"))
 
 
 def default_vocabulary() -> str:

@@ -17,8 +17,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollflow.llm.common import (SPACE_CHARS, ascii_lower, read_table, sha256_hex, stored,
-                                 text_or_empty)
+from tollflow.llm.common import (SPACE_CHARS, ascii_lower, packed, read_table, sha256_hex,
+                                 stored, text_or_empty)
 from tollflow.session import scratch_path
 
 MIN_KEY = 10
@@ -80,12 +80,8 @@ def line_key(line: Column) -> Column:
     return ascii_lower(F.btrim(line, F.lit(SPACE_CHARS)))
 
 
-def _lines() -> Column:
-    return F.split(text_or_empty(), "\n", -1)
-
-
-def _text_hash() -> list[Column]:
-    return [F.xxhash64("text").alias("t1"), F.xxhash64(F.lit("t"), "text").alias("t2")]
+def _text_hash(text: Column) -> list[Column]:
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("t"), text).alias("t2")]
 
 
 def dropped_lines(docs: DataFrame, min_key: int = MIN_KEY, batches: int = BATCHES,
@@ -97,7 +93,8 @@ def dropped_lines(docs: DataFrame, min_key: int = MIN_KEY, batches: int = BATCHE
         "doc_id", [i / batches for i in range(1, batches)], 1000)).first()[0] or []
     key = line_key(F.col("line"))
     lines = stored(
-        docs.select("doc_id", *_text_hash(), F.posexplode(_lines()).alias("pos", "line"))
+        docs.select("doc_id", *_text_hash(F.col("text")),
+                    F.posexplode(F.split(text_or_empty(), "\n", -1)).alias("pos", "line"))
         .withColumn("key", key).where(F.char_length("key") >= min_key)
         .select("doc_id", "t1", "t2", "pos", place.alias("first"),
                 F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("k"), "key").alias("h2"),
@@ -119,7 +116,7 @@ def dropped_lines(docs: DataFrame, min_key: int = MIN_KEY, batches: int = BATCHE
 
 
 def dedup_lines(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with its own columns plus _n_lines, _n_dropped and _kept (the remaining text).
+    """doc (the input row as a struct), n_lines, n_dropped, kept (the remaining text).
 
     Keys of at least ``min_key`` code points held by two or more documents keep
     their lines in the smallest doc_id only.  Rows with one doc_id are one
@@ -127,28 +124,26 @@ def dedup_lines(docs: DataFrame, **options) -> DataFrame:
     empty text is one empty line.  A document that loses all its lines is left
     with an empty text.  An empty table gives an empty result.
     """
-    masks = dropped_lines(docs.select("doc_id", "text"), **options).withColumnsRenamed(
-        {"doc_id": "_id", "t1": "_t1", "t2": "_t2", "mask": "_mask"})
-    h1, h2 = _text_hash()
-    # two lines may differ only beyond the hashed pair of one id: (doc_id, 128-bit text hash)
-    found = docs.withColumn("_h1", h1).withColumn("_h2", h2).join(
-        masks, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h1") == F.col("_t1"))
-        & (F.col("_h2") == F.col("_t2")), "left") \
-        .withColumn("_lines", _lines()).withColumn("_bits", F.col("_mask").cast("binary"))
-    keep = F.when(F.col("_mask").isNull(), F.col("_lines")).otherwise(F.filter(
-        "_lines", lambda line, i: F.substring(F.col("_bits"), i + 1, F.lit(1)) != F.lit(b"1")))
-    n_dropped = F.coalesce(F.char_length(F.replace("_mask", F.lit("0"), F.lit(""))), F.lit(0))
-    return found.select(
-        *[F.col(f"`{c}`") for c in docs.columns], F.size("_lines").cast("long").alias("_n_lines"),
-        n_dropped.cast("long").alias("_n_dropped"), F.array_join(keep, "\n").alias("_kept"))
+    masks = dropped_lines(docs.select("doc_id", "text"), **options)
+    h1, h2 = _text_hash(F.col("doc.text"))
+    # a mask belongs to a doc_id and the 128-bit hash of its text
+    found = packed(docs).withColumn("h1", h1).withColumn("h2", h2).join(
+        masks, F.col("doc.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("h1") == F.col("t1"))
+        & (F.col("h2") == F.col("t2")), "left") \
+        .withColumn("lines", F.split(text_or_empty("doc.text"), "\n", -1)) \
+        .withColumn("bits", F.col("mask").cast("binary"))
+    keep = F.when(F.col("mask").isNull(), F.col("lines")).otherwise(F.filter(
+        "lines", lambda line, i: F.substring(F.col("bits"), i + 1, F.lit(1)) != F.lit(b"1")))
+    n_dropped = F.coalesce(F.char_length(F.replace("mask", F.lit("0"), F.lit(""))), F.lit(0))
+    return found.select("doc", F.size("lines").cast("long").alias("n_lines"),
+                        n_dropped.cast("long").alias("n_dropped"),
+                        F.array_join(keep, "\n").alias("kept"))
 
 
 def op3_line_dedup(spark, sf_dir: str) -> DataFrame:
     """Digest of ``dedup_lines`` over all documents."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_lines(docs).select(
-        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
-        sha256_hex(F.col("_kept")).alias("kept_sha256"))
+    return dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc.doc_id", "n_lines", "n_dropped", sha256_hex(F.col("kept")).alias("kept_sha256"))
 
 
 OP3_SQL = r"""

@@ -79,7 +79,7 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     end = F.sum(F.col("gap") + F.col("len")).over(upto)
     order = F.create_map(*[F.lit(x) for kv in ORDER.items() for x in kv])
     parts = stored(each.withColumn("end", end).where("ok").select(
-        "row", (F.col("end") - F.col("len")).alias("start"), order["kind"].alias("ord"),
+        "row", (F.col("end") - F.col("len")).alias("start"), order[F.col("kind")].alias("ord"),
         "kind", "end"), "secret-parts")
     weak = parts.where(F.col("kind").isin(*WEAK))
 
