@@ -24,20 +24,28 @@ from tollflow.session import scratch_path
 MIN_KEY = 10
 BATCHES = 4
 FANOUT = 2
-BUCKETS = 48
 NO_ID = 9223372036854775807   # place of rows without doc_id: after all others
 
 
 class LineRuns:
-    """Levelled sorted runs.  ``add`` takes (h1, h2, first) lines of one batch."""
+    """Levelled sorted runs.  ``add`` takes (h1, h2, first) lines of one batch.
 
-    def __init__(self, spark: SparkSession, fanout: int = FANOUT, buckets: int = BUCKETS):
-        self.spark, self.fanout, self.buckets = spark, fanout, buckets
+    ``buckets``: by default the session's shuffle width, so that the rows of an
+    aggregate or a merge are already in their buckets and every bucket is one file.
+    """
+
+    def __init__(self, spark: SparkSession, fanout: int = FANOUT, buckets: int | None = None):
+        self.spark, self.fanout = spark, fanout
+        self.width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = buckets or self.width
         self.levels: list[list[tuple[str, str]]] = []
 
-    def _write(self, rows: DataFrame) -> tuple[str, str]:
+    def _write(self, rows: DataFrame, dealt: bool) -> tuple[str, str]:
+        """``dealt``: the rows come from a shuffle on the hash."""
         name, path = f"line_run_{uuid.uuid4().hex}", scratch_path(self.spark, "line-run")
-        (rows.repartition(self.buckets, "h1", "h2").write.format("parquet")
+        if not dealt or self.buckets != self.width:
+            rows = rows.repartition(self.buckets, "h1", "h2")
+        (rows.write.format("parquet")
          .bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").option("path", path)
          .saveAsTable(name))
         return name, path
@@ -48,7 +56,7 @@ class LineRuns:
         self.levels[level].append(run)
         if len(self.levels[level]) >= self.fanout:
             old, self.levels[level] = self.levels[level], []
-            merged = self._write(self._read(old))
+            merged = self._write(self._read(old), dealt=False)
             self._drop(old)
             self._place(merged, level + 1)
 
@@ -64,7 +72,7 @@ class LineRuns:
         new = lines.groupBy("h1", "h2").agg(F.min("first").alias("first"))
         for name, _ in [run for level in self.levels for run in level]:
             new = new.join(self.spark.table(name).hint("merge"), ["h1", "h2"], "left_anti")
-        self._place(self._write(new), 0)
+        self._place(self._write(new, dealt=True), 0)
 
     def index(self) -> DataFrame:
         """All keys once, with the smallest document of each."""
@@ -85,7 +93,7 @@ def _text_hash(text: Column) -> list[Column]:
 
 
 def dropped_lines(docs: DataFrame, min_key: int = MIN_KEY, batches: int = BATCHES,
-                  fanout: int = FANOUT, buckets: int = BUCKETS) -> DataFrame:
+                  fanout: int = FANOUT, buckets: int | None = None) -> DataFrame:
     """(doc_id, t1, t2, mask): ASCII '0'/'1' per line up to the last dropped one."""
     spark = docs.sparkSession
     place = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
