@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL, bag, make_raw, raw_row
 from tollflow.plans import incremental as inc
-from tollflow.plans.materialize import materialize
+from tollflow.plans import marts
 from tollflow.plans.models import TrafficModels
 from tollflow.sources import files
 from tollflow.sources.fixture import load_raw
@@ -57,29 +57,6 @@ def test_daily_sink_replaces_only_its_dates(spark, tmp_path):
     assert got == {(dt.date(2025, 2, 1), 10, "02", "01"), (dt.date(2025, 2, 2), 99, "02", "02")}
 
 
-def test_incremental_load_twice_equals_once(spark, tmp_path):
-    landing, raw_path = str(tmp_path / "landing"), str(tmp_path / "raw")
-    files.write_daily(load_raw(spark, SF_SMALL), landing)
-    inc.load_incremental(spark, landing, raw_path)
-    first = files.read_raw(spark, raw_path).count()
-    report = inc.load_incremental(spark, landing, raw_path)
-    assert report.count() == 0                               # nothing after the watermark
-    assert files.read_raw(spark, raw_path).count() == first == 1000
-
-
-def test_late_file_reload_reads_whole_date(spark, tmp_path):
-    landing, raw_path = str(tmp_path / "landing"), str(tmp_path / "raw")
-    files.write_daily(make_raw(spark, [raw_row(day="2025-02-01")]), landing)
-    inc.load_incremental(spark, landing, raw_path)
-    # a late extra file for the already loaded date lands next to the first one
-    late = files.with_daily_parts(make_raw(spark, [raw_row(day="2025-02-01", entries=5)]))
-    late.drop("year", "month", "day").write.mode("append").parquet(
-        f"{landing}/year=2025/month=02/day=01")
-    inc.reload_dates(spark, landing, raw_path, [dt.date(2025, 2, 1)])
-    got = sorted(r["crz_entries"] for r in files.read_raw(spark, raw_path).collect())
-    assert got == [5, 10]
-
-
 def test_full_load_reads_newest_run_folder(spark, tmp_path):
     base = str(tmp_path / "full")
     files.write_full(make_raw(spark, [raw_row()]), base, run_id="20250101000000")
@@ -87,30 +64,36 @@ def test_full_load_reads_newest_run_folder(spark, tmp_path):
     assert files.read_newest_run(spark, base).count() == 2
 
 
-def test_per_date_rebuild_equals_full_rebuild(spark, tmp_path):
-    raw = load_raw(spark, SF_SMALL)
-    fact_path, kpi_path = str(tmp_path / "fact"), str(tmp_path / "kpi")
-    full = TrafficModels(raw)
-    inc.write_partitioned(full.fact_traffic, fact_path)
-    inc.write_partitioned(full.kpi_congestion, kpi_path)
-    # wipe two dates by rewriting them from a different (empty) source, then rebuild them
-    dates = spark.createDataFrame([(dt.date(2024, 1, 5),), (dt.date(2024, 1, 17),)], "toll_date date")
-    inc.rebuild_dates(raw, dates, fact_path, kpi_path)
-    assert bag(inc.read_partitioned(spark, fact_path)) == bag(full.fact_traffic)
-    assert bag(inc.read_partitioned(spark, kpi_path)) == bag(full.kpi_congestion)
-
-
-def test_materialize_round_trip(spark, tmp_path):
-    m = TrafficModels(load_raw(spark, SF_SMALL))
-    out = materialize(m, str(tmp_path / "marts"))
-    assert bag(out["dashboard_traffic"]) == bag(m.dashboard_traffic)
-    assert bag(out["kpi_congestion"]) == bag(m.kpi_congestion)
-    assert spark.table("stg_entries").count() == 1000
+def test_run_folder_without_its_marker_is_passed_over(spark, tmp_path):
+    """A run that stopped while it was written has the higher id."""
+    base = str(tmp_path / "full")
+    files.write_full(make_raw(spark, [raw_row()] * 4), base, run_id="20250101000000")
+    files.write_full(make_raw(spark, [raw_row()]), base, run_id="20250102000000")
+    (tmp_path / "full" / "run_id=20250102000000" / "_SUCCESS").unlink()
+    assert files.read_newest_run(spark, base).count() == 4
 
 
-def test_materialize_into_a_database(spark, tmp_path):
-    m = TrafficModels(make_raw(spark, [raw_row(), raw_row(day="2025-02-04", hour=9)]))
-    materialize(m, str(tmp_path / "db"), database="toll_marts")
-    assert spark.table("toll_marts.kpi_congestion").count() == 2
-    assert spark.table("toll_marts.dim_time").count() == 2
-    assert {r["borough"] for r in spark.table("toll_marts.dim_locations").collect()} == {"Brooklyn"}
+def test_rows_without_a_date_are_kept_by_every_layout(spark, tmp_path):
+    rows = make_raw(spark, [raw_row(day=None), raw_row(day="2025-02-01")])
+    landing, raw_path = str(tmp_path / "landing"), str(tmp_path / "raw")
+    files.write_daily(rows, landing)
+    files.write_raw(files.read_daily(spark, landing).where(files.daily_folders([None, "2025-02-01"])), raw_path)
+    assert files.read_raw(spark, raw_path).count() == 2
+    assert files.read_raw(spark, raw_path, dates=[None]).count() == 1
+    days = {r["day"] for r in files.fingerprint(spark, raw_path, files.RAW_DAY_IN_PATH).collect()}
+    assert days == {None, dt.date(2025, 2, 1)}
+
+
+def test_marts_round_trip_and_catalog(spark, tmp_path):
+    raw_path, path = str(tmp_path / "raw"), str(tmp_path / "marts")
+    raw = load_raw(spark, SF_SMALL)
+    files.write_raw(raw, raw_path)
+    marts.build(spark, raw_path, path)
+    m = TrafficModels(raw)
+    for name in marts.TABLES:
+        assert bag(marts.read_table(spark, path, name)) == bag(getattr(m, name)), name
+    assert spark.table("stg_entries").count() == 1000
+    marts.register(spark, path, "toll_marts")
+    assert spark.table("toll_marts.kpi_congestion").count() == 240
+    assert spark.table("toll_marts.dim_time").count() == 30
+    assert spark.table("toll_marts.dashboard_traffic").count() == 8385

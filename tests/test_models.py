@@ -156,27 +156,47 @@ def test_join_free_fact_equals_joined_fact(spark):
         assert bag(inline) == bag(joined)
 
 
-def test_dim_filters_two_aggregations_equal_union_form(spark):
-    from tollflow.operators import dims
-    rows = [raw_row(), raw_row(day="2025-02-02", region="Manhattan CBD"), raw_row(region=None),
-            raw_row(vclass=None, day="2025-03-04"), raw_row(region="East 60th St", hour=23),
-            raw_row(day=None, region="Manhattan Bridge")]
-    for raw in (make_raw(spark, rows), load_raw(spark, SF_MID)):
-        for dedupe in (False, True):
-            m = TrafficModels(raw, dedupe_filters=dedupe)
-            union = dims.dim_filters(m.vehicle_classes, m.dim_locations, m.dim_time, m.hours,
-                                     dedupe=dedupe)
-            assert bag(m.dim_filters) == bag(union)
-
-
-def test_domain_rebuilt_from_days_equals_direct_domain(spark):
-    from tollflow.operators import staging
-    rows = [raw_row(), raw_row(day=None), raw_row(region=None), raw_row(vclass=None),
-            raw_row(day="2025-03-01", hour=23), raw_row(day="2025-01-02", region="Manhattan CBD")]
-    for raw in (make_raw(spark, rows), load_raw(spark, SF_MID)):
-        stg = TrafficModels(raw).stg_entries
-        assert bag(staging.domain_from_days(staging.staging_domain_by_day(stg))) == \
-            bag(staging.staging_domain(stg))
+def test_filter_bag_by_hand(spark):
+    """Two regions of one borough, a NULL region, two months: the bag counted by hand (Q2)."""
+    rows = [raw_row(day="2025-01-30"), raw_row(day="2025-02-02", region="Brooklyn CBD", hour=23),
+            raw_row(day=None, region=None, vclass=None)]
+    want = sorted([("vehicle_class", "Cars, Pickups and Vans"), ("vehicle_class", None),
+                   ("borough", "Brooklyn"), ("borough", "Brooklyn"), ("location", "Brooklyn Bridge"),
+                   ("location", "Brooklyn CBD"), ("location", None), ("hour", "8"), ("hour", "23"),
+                   ("hour", None), ("month", "1"), ("month", "1"), ("month", "2"), ("month", "2"),
+                   ("day_of_week", "Thursday"), ("day_of_week", "Friday"),
+                   ("day_of_week", "Saturday"), ("day_of_week", "Sunday")], key=str)
+    got = TrafficModels(make_raw(spark, rows)).dim_filters.collect()
+    assert sorted([(r["filter_type"], r["filter_value"]) for r in got], key=str) == want
+    assert all(r["filter_display"] == r["filter_value"] for r in got)
+    unique = TrafficModels(make_raw(spark, rows), dedupe_filters=True).dim_filters
+    assert unique.count() == len(set(want))
+
+
+def test_building_models_starts_no_job(spark):
+    raw = load_raw(spark, SF_SMALL)
+    spark.sparkContext.setJobGroup("build-only", "model building")
+    try:
+        m = TrafficModels(raw)
+        frames = [*m.tables().values(), m.day_of_week_matches, m.final_metrics]
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup("build-only") == []
+        assert len(frames) == 10
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_a_region_landed_later_reaches_every_model(spark, tmp_path):
+    """The same folder read again after another writer added to it: no model is stale."""
+    from tollflow.sources import files
+    path = str(tmp_path / "raw")
+    files.write_raw(make_raw(spark, [raw_row(day="2025-02-01")]), path)
+    TrafficModels(files.read_raw(spark, path)).dashboard_traffic.collect()
+    files.write_raw(make_raw(spark, [raw_row(day="2025-02-02", region="Queens Gate")]), path)
+    m = TrafficModels(files.read_raw(spark, path))
+    assert {r[0] for r in m.dim_locations.select("detection_region").collect()} == {
+        "Brooklyn Bridge", "Queens Gate"}
+    kinds = {(r["filter_type"], r["filter_value"]) for r in m.dashboard_traffic.collect()}
+    assert ("location", "Queens Gate") in kinds
 
 
 def test_null_counts_and_zero_denominators(spark):

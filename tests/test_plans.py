@@ -11,28 +11,50 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_dashboard_has_no_nested_loop_or_cartesian(spark):
-    p = plan(QUERIES["dashboard_traffic"](spark, SF_SMALL))
+def final_plan(df):
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+def test_dashboard_scans_once_and_has_no_nested_loop(spark):
+    p = final_plan(QUERIES["dashboard_traffic"](spark, SF_SMALL))
     assert "NestedLoopJoin" not in p and "Cartesian" not in p
-    assert "BroadcastHashJoin" in p
+    assert p.count("FileScan") == 1 and "ReusedExchange" in p
 
 
 def test_fact_joins_are_broadcast_and_scan_is_pruned(spark):
-    df = TrafficModels(load_raw(spark, SF_SMALL), join_dims=True).fact_traffic
-    p = plan(df)
+    p = final_plan(TrafficModels(load_raw(spark, SF_SMALL), join_dims=True).fact_traffic)
     assert p.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in p
     assert "event_type" not in p.split("FileScan")[1].split("\n")[0]
 
 
-def test_over_budget_dimension_is_not_broadcast(spark):
-    df = TrafficModels(load_raw(spark, SF_SMALL), broadcast_bytes=64, join_dims=True).fact_traffic
+def test_broadcasts_off_gives_shuffle_joins_and_the_same_rows(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        p = plan(df)
-        assert "BroadcastHashJoin" not in p
+        df = QUERIES["dashboard_traffic"](spark, SF_SMALL)
+        assert "Broadcast" not in final_plan(df) and df.count() == 8385
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert df.count() == 1000
+
+
+def test_day_and_range_filters_prune_raw_folders(spark, tmp_path):
+    from tollflow.sources import files
+    raw, path = load_raw(spark, SF_SMALL), str(tmp_path / "raw")
+    files.write_raw(raw, path)
+    stored = files.read_raw(spark, path, keep_day=True)
+    for df, same in ((pages.day_filter(stored, "2024-01-15"), pages.day_filter(raw, "2024-01-15")),
+                     (pages.range_filter(stored, "2024-01-03", "2024-01-27"),
+                      pages.range_filter(raw, "2024-01-03", "2024-01-27"))):
+        assert "PartitionFilters: [isnotnull(toll_day" in plan(df)
+        assert df.columns == raw.columns and df.count() == same.count()
+
+
+def test_all_checks_read_the_fact_once(spark):
+    m = TrafficModels(load_raw(spark, SF_SMALL))
+    from tollflow.operators import quality
+    p = plan(quality.table_checks("fact_traffic", m.fact_traffic,
+                                  quality.NOT_NULL_COLUMNS["fact_traffic"], singular=True))
+    assert p.split("== Initial Plan ==")[0].count("FileScan") == 1
 
 
 def test_day_filter_reaches_the_scan(spark, tmp_path):
@@ -72,20 +94,3 @@ def test_left_join_peak_reads_the_fact_once(spark):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("FileScan") == 1 and "ReusedExchange" in final
-
-
-def test_broadcasts_off_still_one_domain_pass_and_no_broadcast(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        m = TrafficModels(load_raw(spark, SF_SMALL))
-        assert m.domain_rows is not None                      # cached under its own budget
-        df = m.dashboard_traffic
-        df.collect()
-        p = plan(df)
-        assert "BroadcastHashJoin" not in p and "BroadcastNestedLoopJoin" not in p
-        # dimensions come from the cached domain (its own plan is printed under
-        # InMemoryRelation), so the query itself scans raw only for the fact
-        assert "InMemoryTableScan" in p
-        assert df.count() == 8385
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -3,11 +3,13 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL, bag, make_raw, raw_row
 from tollflow.schema import RAW_FIELDS
-from tollflow.sources import pages
+from tollflow.plans import daily
+from tollflow.sources import files, pages
 from tollflow.sources.fixture import load_raw
 
 
@@ -49,19 +51,30 @@ def test_day_filter_and_latest(spark):
     assert pages.latest_available(raw).first()["latest_date"] == dt.date(2025, 2, 2)
 
 
-def test_page_window_paths_agree(spark, monkeypatch):
-    raw = load_raw(spark, SF_SMALL)
-    small = bag(pages.page_window(raw, 150, 100))
-    monkeypatch.setattr(pages, "MAX_TOP_K_ROWS", 10)       # force the ranked path
-    ranked = bag(pages.page_window(raw, 150, 100))
-    assert len(small) == 100 and small == ranked
+def _sorted_rows(raw):
+    key = lambda t: tuple((x is not None, x) for x in t)  # noqa: E731  (NULLs first)
+    return sorted((tuple(r) for r in raw.collect()), key=key)
 
 
-def test_global_rank_is_a_permutation(spark):
-    raw = load_raw(spark, SF_SMALL)
-    order = pages._total_order(raw, ("toll_date", "toll_hour"))
-    ranks = sorted(r["_rank"] for r in pages.global_rank(raw, order).select("_rank").collect())
-    assert ranks == list(range(raw.count()))
+@pytest.mark.parametrize("skip,top", [(0, 5), (150, 100), (990, 50), (2000, 10), (0, 1000)])
+def test_page_window_equals_a_python_sort(spark, skip, top):
+    raw = load_raw(spark, SF_SMALL).unionByName(make_raw(spark, [raw_row(day=None)] * 3))
+    raw = raw.unionByName(make_raw(spark, [raw_row(day="2024-01-05")] * 40))   # full ties
+    got = [tuple(r) for r in pages.page_window(raw, skip, top).collect()]
+    assert got == _sorted_rows(raw)[skip:skip + top]
+
+
+def test_page_window_without_exchange_reuse_over_a_shuffled_input(spark):
+    raw = load_raw(spark, SF_SMALL).repartition(13)
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    spark.sparkContext.setJobGroup("window", "planning")
+    try:
+        df = pages.page_window(raw, 150, 100)
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup("window") == []
+        assert [tuple(r) for r in df.collect()] == _sorted_rows(raw)[150:250]
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+        spark.sparkContext._jsc.clearJobGroup()
 
 
 def test_checked_pages_route_bad_records_and_skip_their_day(spark, tmp_path):
@@ -95,16 +108,49 @@ def test_ordered_range_partitions_on_tie_breakers_too(spark):
     assert [r["crz_entries"] for r in df.collect()] == list(range(50))
 
 
-def test_global_rank_across_many_partitions_matches_python_sort(spark):
-    raw = load_raw(spark, SF_SMALL)
-    order = pages._total_order(raw, ("toll_date", "toll_hour"))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        ranked = pages.global_rank(raw, order)
-        parts = ranked.select(F.spark_partition_id().alias("p")).distinct().count()
-        got = [tuple(r) for r in ranked.orderBy("_rank").select(*raw.columns).collect()]
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert parts > 1
-    key = lambda t: tuple((x is not None, x) for x in t)  # noqa: E731  (NULLs first)
-    assert got == sorted((tuple(r) for r in raw.collect()), key=key)
+GOOD = {"toll_date": "2025-01-05T00:00:00.000", "toll_hour": "2025-01-05T09:00:00.000",
+        "vehicle_class": "TLC Taxi/FHV", "detection_region": "Brooklyn Bridge",
+        "crz_entries": 7, "excluded_roadway_entries": 1}
+
+
+def test_cut_off_page_is_a_reject_and_stops_the_landing(spark, tmp_path):
+    """A page that does not parse, and one without ``value``, lose no record silently."""
+    good, cut = json.dumps({"value": [GOOD]}), json.dumps({"value": [GOOD] * 50})[:900]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "p.json").write_text("\n".join([good, cut, '{"value": null}', '{"value": []}']) + "\n")
+    records, rejects = pages.read_pages_checked(spark, str(tmp_path / "in"))
+    assert records.count() == 1
+    bad = rejects.collect()
+    assert [(r["toll_date"], r["failed_fields"]) for r in bad] == [(None, pages.BAD_PAGE)] * 2
+    assert all(r["file_path"].endswith("p.json") for r in bad) and cut in {r["source"] for r in bad}
+    with pytest.raises(daily.PageError):
+        daily.land_daily_pages(spark, str(tmp_path / "in"), str(tmp_path / "landing"))
+    assert not (tmp_path / "landing").exists()
+    for text in (cut, '{"value": null}'):
+        (tmp_path / "in" / "p.json").write_text(good + "\n" + text + "\n")
+        with pytest.raises(Exception):
+            pages.read_pages(spark, str(tmp_path / "in")).collect()
+
+
+def test_file_schema_is_checked(spark, tmp_path):
+    """Parquet without a declared column fails instead of reading NULLs."""
+    raw = make_raw(spark, [raw_row()])
+    files.write_raw(raw, str(tmp_path / "ok"))
+    assert files.read_raw(spark, str(tmp_path / "ok")).count() == 1
+    raw.drop("crz_entries").withColumn("toll_day", F.lit("2025-02-03")).write.partitionBy("toll_day") \
+        .parquet(str(tmp_path / "bad"))
+    with pytest.raises(ValueError, match="crz_entries"):
+        files.read_raw(spark, str(tmp_path / "bad"))
+    files.with_daily_parts(raw).drop("crz_entries").write.partitionBy("year", "month", "day") \
+        .parquet(str(tmp_path / "landing"))
+    with pytest.raises(ValueError, match="crz_entries"):
+        files.read_daily(spark, str(tmp_path / "landing"))
+
+
+def test_daily_files_are_found_by_the_date_in_their_name(spark, tmp_path):
+    base = str(tmp_path / "named")
+    for day in ("2025-02-01", "2025-02-02"):
+        y, m, d = day.split("-")
+        make_raw(spark, [raw_row(day=day)]).write.parquet(f"{base}/x_day_{d}_toll_entries_{y}{m}{d}.parquet")
+    rows = files.read_named_day(spark, base + "/*", "2025-02-02").collect()
+    assert [r["toll_date"].date() for r in rows] == [dt.date(2025, 2, 2)]

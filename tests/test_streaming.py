@@ -40,3 +40,47 @@ def test_page_stream_resumes_and_loads_each_record_once(spark, tmp_path):
     run_page_load(spark, f"{pages_dir}/*", out, ckpt)        # resumes: only the new pages
     run_page_load(spark, f"{pages_dir}/*", out, ckpt)        # nothing new
     assert bag(read_page_load(spark, out)) == bag(raw)
+
+
+def test_bad_pages_and_values_are_rejected_beside_the_batch(spark, tmp_path):
+    """A cut-off page and a bad count leave no NULLs and lose no record."""
+    import json
+
+    import pytest
+
+    from tollflow.plans import daily
+    from tollflow.sources import pages
+    from tollflow.streaming.landing import read_page_load, read_page_rejects, run_page_load
+    good = {"toll_date": "2025-01-05T00:00:00.000", "crz_entries": 7}
+    lines = [json.dumps({"value": [good, {**good, "crz_entries": "lots"}, {**good, "toll_date": None}]}),
+             json.dumps({"value": [good] * 50})[:500]]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "p.json").write_text("\n".join(lines) + "\n")
+    out = str(tmp_path / "out")
+    run_page_load(spark, str(tmp_path / "in"), out, str(tmp_path / "ckpt"))
+    assert [r["crz_entries"] for r in read_page_load(spark, out).collect()] == [7]
+    assert sorted(r["failed_fields"] for r in read_page_rejects(spark, out).collect()) == [
+        "crz_entries", pages.BAD_PAGE, "toll_date"]
+    with pytest.raises(daily.PageError):
+        daily.finish_page_load(spark, out, str(tmp_path / "full"))
+
+
+def test_stream_of_pages_becomes_a_run_folder(spark, tmp_path):
+    from tollflow.plans import daily
+    from tollflow.sources import pages
+    from tollflow.streaming.landing import run_page_load
+    raw = load_raw(spark, SF_SMALL)
+    pages.land_pages(raw, str(tmp_path / "pages"), page_rows=100)
+    run_page_load(spark, str(tmp_path / "pages"), str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    daily.finish_page_load(spark, str(tmp_path / "out"), str(tmp_path / "full"), "2024-01-03", "2024-01-27")
+    daily.load_full(spark, str(tmp_path / "full"), str(tmp_path / "raw"))
+    assert bag(files.read_raw(spark, str(tmp_path / "raw"))) == bag(
+        pages.range_filter(raw, "2024-01-03", "2024-01-27"))
+
+
+def test_stream_keeps_rows_without_a_date(spark, tmp_path):
+    """The batch and the stream treat NULL dates alike."""
+    landing, raw_path, ckpt = (str(tmp_path / n) for n in ("landing", "raw", "ckpt"))
+    files.write_daily(make_raw(spark, [raw_row(day=None), raw_row(day="2025-02-01")]), landing)
+    run_landing_load(spark, landing, raw_path, ckpt)
+    assert files.read_raw(spark, raw_path).count() == 2

@@ -7,6 +7,6 @@ bridge.  Everything is expressed with the DataFrame API so Catalyst plans
 the work and executors do it.
 """
 
-from tollflow.plans.models import TrafficModels, build_models
+from tollflow.plans.models import TrafficModels
 
-__all__ = ["TrafficModels", "build_models"]
+__all__ = ["TrafficModels", ]

@@ -2,19 +2,18 @@
 
 Plan shape (SURVEY §4.3):
 
-* one scan of the fact, rolled up once to hourly grain (map-side partial
-  sums, one shuffle); the daily grain is rolled up from the hourly rows
-  instead of re-reading the fact;
+* one scan of the raw records, rolled up once to hourly grain (map-side partial
+  sums, one shuffle); daily metrics, peaks and the filter table all come from
+  that rollup, whose exchange Spark reuses;
 * the peak hour is a top-1 per date.  The production path marks the rn = 1
   hourly row with a window partitioned by date and folds it into the daily
   aggregate: the window's date partitioning already satisfies the daily
-  grouping, so the fact is read once and shuffled twice (hourly keys, then
-  date), with no self-join of the hourly rollup.  ``final_metrics`` keeps
-  the reference's explicit left join (J3) for the standalone operator;
+  grouping, so there is no self-join of the hourly rollup.  ``final_metrics``
+  keeps the reference's explicit left join (J3) for the standalone operator;
   there Catalyst turns rn = 1 into WindowGroupLimit around the exchange;
 * the reference's cross join with six OR'ed predicates is replaced by an
   explode of six (filter_type, filter_value) pairs per metric row and an
-  equi join with the broadcast filter table.  Each OR branch fixes its own
+  equi join with the filter table.  Each OR branch fixes its own
   filter_type, so at most one branch holds per pair; duplicates in the
   filter table keep their multiplicity and NULL values never match, exactly
   as in the OR form.
@@ -35,23 +34,24 @@ PEAK_JOIN_KEYS = ["toll_date", "vehicle_class", "detection_region"]
 PEAK_TIE_BREAK = ["hour", "vehicle_class", "detection_region"]
 
 
-def traffic_data(fact: DataFrame) -> DataFrame:
-    """Fact rows with NULL counts as 0; dims come from the fact's own columns (Q5)."""
-    return fact.select(
-        "toll_date", "hour", "vehicle_class", "detection_group", "detection_region",
-        F.coalesce("entries", F.lit(0)).alias("entries"),
-        F.coalesce("excluded_entries", F.lit(0)).alias("excluded_entries"),
-        "day_of_week_name", "month", "borough",
-        F.col("congestion_zone").alias("location_name"),
-    )
+def hourly_all(rolled: DataFrame) -> DataFrame:
+    """Hourly grain of the staging rollup with the attributes of the fact (A3).
 
+    ``in_fact`` is false for rows that the fact drops (NULL date or region).
+    NULL counts are 0, as in the dashboard.
+    """
+    return rolled.select(
+        "toll_date", "hour", "vehicle_class", "detection_region",
+        C.borough_of("detection_region").alias("borough"),
+        F.col("detection_region").alias("location_name"),
+        F.coalesce("entries", F.lit(0)).alias("hourly_entries"),
+        F.coalesce("excluded", F.lit(0)).alias("hourly_excluded"),
+        (F.col("toll_date").isNotNull() & F.col("detection_region").isNotNull()).alias("in_fact"))
 
-def hourly_rollup(traffic: DataFrame) -> DataFrame:
-    """Entries and exempt entries per hour-grain group (A3 plus the exempt sum)."""
-    return traffic.groupBy(*HOURLY_KEYS).agg(
-        F.sum("entries").alias("hourly_entries"),
-        F.sum("excluded_entries").alias("hourly_excluded"),
-    )
+
+def hourly_rollup(rolled: DataFrame) -> DataFrame:
+    """Entries and exempt entries per hour-grain group of the fact."""
+    return hourly_all(rolled).where("in_fact").drop("in_fact")
 
 
 def hourly_metrics(hourly: DataFrame) -> DataFrame:
@@ -70,14 +70,15 @@ def daily_metrics(hourly: DataFrame) -> DataFrame:
     )
 
 
-def _peak_window(scope: str, share_rollup: bool = False) -> Window:
+def _peak_window(scope: str, share_rollup: bool = False, last=None) -> Window:
     if scope == "date":
         parts = ["toll_date"]
     elif scope == "group":
         parts = PEAK_JOIN_KEYS
     else:
         raise ValueError(f"peak_scope must be 'date' or 'group', not {scope!r}")
-    order = [F.col("hourly_entries").desc_nulls_last()] + [
+    order = ([last.asc()] if last is not None else []) + [
+        F.col("hourly_entries").desc_nulls_last()] + [
         F.col(c).asc_nulls_first() for c in PEAK_TIE_BREAK]
     if share_rollup:
         # Never reached: (date, hour, class, region) is unique in the hourly
@@ -110,23 +111,26 @@ def peak_hours_top1(hourly: DataFrame, scope: str = "date",
 
 
 def daily_with_peak(hourly: DataFrame, scope: str = "date") -> DataFrame:
-    """Daily metrics with the peak hour attached, in one pass over the hourly grain.
-
-    Same result as ``final_metrics(daily_metrics(h), peak_hours_top1(h))``:
-    the rn = 1 row of a date carries its hour and entries into the daily
-    group it belongs to; every other daily group gets NULL.  A peak row with
-    a NULL key would not match in the left join, so it is not carried either.
+    """Daily metrics with the peak hour attached, in one pass over ``hourly_all``.
+
+    Same result as ``final_metrics(daily_metrics(h), peak_hours_top1(h))`` over
+    the rows in the fact: the rn = 1 row of a date carries its hour and entries
+    into the daily group it belongs to; every other daily group gets NULL.  A
+    peak row with a NULL class would not match in the left join, so it is not
+    carried either.  Rows outside the fact rank last and leave after the
+    aggregate: dropped before it, they would make the rollup below differ from
+    the one that the dimensions read.
     """
-    is_peak = F.row_number().over(_peak_window(scope)) == 1
-    marked = hourly.withColumn("_peak", is_peak & F.col("toll_date").isNotNull()
-                               & F.col("vehicle_class").isNotNull()
-                               & F.col("detection_region").isNotNull())
+    is_peak = F.row_number().over(_peak_window(scope, last=~F.col("in_fact"))) == 1
+    marked = hourly.withColumn("_peak", is_peak & F.col("in_fact")
+                               & F.col("vehicle_class").isNotNull())
     sums = marked.groupBy(*DAILY_KEYS).agg(
         F.sum("hourly_entries").alias("total_entries"),
         F.sum("hourly_excluded").alias("total_excluded"),
         F.max(F.when(F.col("_peak"), F.col("hour"))).alias("peak_hour"),
         F.max(F.when(F.col("_peak"), F.col("hourly_entries"))).alias("peak_hour_entries"),
-    )
+        F.max("in_fact").alias("in_fact"),
+    ).where("in_fact")
     return sums.select(
         *DAILY_KEYS, "total_entries", "total_excluded",
         C.percent_2dp("total_excluded", "total_entries").alias("exempt_ratio"),
@@ -136,8 +140,7 @@ def daily_with_peak(hourly: DataFrame, scope: str = "date") -> DataFrame:
 def final_metrics(daily: DataFrame, peak_top1: DataFrame) -> DataFrame:
     """Daily rows with the peak hour attached by a 3-key left join.
 
-    With the date scope the right side has one row per date, so it is small
-    by construction; the caller passes it through ``broadcast_if_small``.
+    With the date scope the right side has one row per date.
     """
     ph = peak_top1.select(*PEAK_JOIN_KEYS, F.col("hour").alias("peak_hour"),
                           F.col("hourly_entries").alias("peak_hour_entries"))
@@ -174,8 +177,7 @@ def dashboard_traffic(final: DataFrame, filters: DataFrame) -> DataFrame:
         "peak_hour", "peak_hour_entries", "filter_type", "filter_value", "filter_display")
 
 
-def day_of_week_matches(final: DataFrame, filters: DataFrame, dim_t: DataFrame,
-                        small=lambda df: df) -> DataFrame:
+def day_of_week_matches(final: DataFrame, filters: DataFrame, dim_t: DataFrame) -> DataFrame:
     """The day_of_week branch alone, with the EXISTS kept as a join.
 
     EXISTS (SELECT 1 FROM dim_time t WHERE t.toll_date = f.toll_date AND
@@ -186,7 +188,7 @@ def day_of_week_matches(final: DataFrame, filters: DataFrame, dim_t: DataFrame,
     """
     dow = filters.where(F.col("filter_type") == "day_of_week")
     days = dim_t.select("toll_date", F.col("day_of_week_name").alias("filter_value"))
-    dated = small(dow.join(days, "filter_value", "inner"))
+    dated = dow.join(days, "filter_value", "inner")
     return final.join(dated, "toll_date", "inner").select(
         *DAILY_KEYS, "total_entries", "total_excluded", "exempt_ratio",
         "peak_hour", "peak_hour_entries", "filter_type", "filter_value", "filter_display")

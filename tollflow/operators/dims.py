@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,46 +49,20 @@ def time_periods(dim_t: DataFrame) -> DataFrame:
     return dim_t.select("month", "day_of_week_name").distinct()
 
 
-def dim_filters(vehicle_classes: DataFrame, locations: DataFrame, dim_t: DataFrame,
-                hours: DataFrame, dedupe: bool = False) -> DataFrame:
+def dim_filters(domain: DataFrame, dim_t: DataFrame,
+                            dedupe: bool = False) -> DataFrame:
     """Filter bridge rows (filter_type, filter_value, filter_display).
 
-    Bag semantics as in the reference (Q2): a month appears once per weekday
-    it has, a weekday once per month, a borough once per region.  Pass
-    ``dedupe=True`` to get a set instead.
-    """
-    locs = locations.select("borough", F.col("full_name").alias("location_name"),
-                            "detection_region").distinct()
-    periods = time_periods(dim_t)
-
-    def branch(frame, kind, value, display):
-        return frame.select(F.lit(kind).alias("filter_type"),
-                            value.alias("filter_value"), display.alias("filter_display"))
-
-    parts = [
-        branch(vehicle_classes, "vehicle_class", F.col("vehicle_class"), F.col("vehicle_class")),
-        branch(locs.where(F.col("borough").isNotNull()), "borough",
-               F.col("borough"), F.col("borough")),
-        branch(locs, "location", F.col("detection_region"), F.col("location_name")),
-        branch(periods, "month", C.to_text("month"), C.to_text("month")),
-        branch(periods, "day_of_week", F.col("day_of_week_name"), F.col("day_of_week_name")),
-        branch(hours, "hour", C.to_text("hour"), C.to_text("hour")),
-    ]
-    out = reduce(DataFrame.unionByName, parts)
-    return out.distinct() if dedupe else out
-
-
-def dim_filters_from_domain(domain: DataFrame, dim_t: DataFrame,
-                            dedupe: bool = False) -> DataFrame:
-    """dim_filters in two aggregations instead of six DISTINCT branches.
+    Bag semantics as in the reference (Q2): a month appears once per weekday it
+    has, a weekday once per month, a borough once per region; ``dedupe=True``
+    gives a set instead.  Two aggregations instead of six DISTINCT branches.
 
     ``domain`` holds the staging keys (detection_region, vehicle_class, hour).
     Four branches come from one explode of each domain row into tagged
     (type, value, display, key) rows and one DISTINCT: the key is the region
     for the borough and location branches, so a borough is kept once per
     region (the reference's bag, Q2), and NULL otherwise.  The two calendar
-    branches come from the distinct (month, weekday) pairs.  Same bag as
-    ``dim_filters(...)`` over the dimensions built from the same domain.
+    branches come from the distinct (month, weekday) pairs.
     """
     region = F.col("detection_region")
     borough = C.borough_of(region)

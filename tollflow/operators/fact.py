@@ -22,8 +22,8 @@ def fact_traffic(stg: DataFrame, dim_t: DataFrame, dim_l: DataFrame) -> DataFram
     """One row per staging row that survives both joins.
 
     The declared key (date, hour, class, region) is *not* unique (Q3): every
-    row is kept.  Pass the dimensions through ``broadcast_if_small`` so both
-    joins run map-side with no shuffle of the fact.
+    row is kept.  Adaptive execution broadcasts the dimensions when their real
+    sizes allow it.
     """
     t = dim_t.select("toll_date", "day_of_week_name", "month")
     l = dim_l.select("detection_region", "borough", F.col("full_name").alias("congestion_zone"))

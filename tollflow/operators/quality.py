@@ -1,16 +1,16 @@
 """Data-quality checks.
 
-A check is a query that returns the violating rows; empty means pass.  The
-summary functions return one row per check so a passing run still says
-what was checked.  Null counts for all columns of a table come from a
-single aggregate pass.
+A check counts violations; zero everywhere means the build passes.  All checks
+of a table that need no grouping -- NULL counts and the four singular tests on
+the fact -- are conditional aggregates of one pass over it.  The row-returning
+forms of the singular tests are kept for looking at the violating rows.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollflow.functions.columns import VALID_VEHICLE_CLASSES
@@ -28,53 +28,41 @@ NOT_NULL_COLUMNS = {
 UNIQUE_COLUMNS = {"dim_locations": ["detection_region"], "dim_time": ["toll_date"]}
 
 
-def null_counts(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
-    """(table_name, column_name, violations) for each column, in one pass."""
-    counts = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in columns])
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("violations"))
-                      for c in columns])
-    return counts.select(F.lit(table).alias("table_name"), F.inline(pairs))
+# ---- the singular tests as conditions on a row of the fact ---------------------
+def _bad_hour() -> Column:
+    return (F.col("hour") < 0) | (F.col("hour") > 23)
 
 
-def not_null_summary(tables: dict[str, DataFrame],
-                     spec: dict[str, list[str]] = NOT_NULL_COLUMNS) -> DataFrame:
-    parts = [null_counts(tables[t], t, cols) for t, cols in spec.items()]
-    return reduce(DataFrame.unionByName, parts)
+def _bad_class() -> Column:
+    return ~F.col("vehicle_class").isin(*VALID_VEHICLE_CLASSES)
 
 
-def duplicate_keys(df: DataFrame, column: str) -> DataFrame:
-    """Values of ``column`` held by more than one row; NULLs are ignored."""
-    return (df.where(F.col(column).isNotNull()).groupBy(column).count()
-            .where(F.col("count") > 1))
+def _negative() -> Column:
+    return (F.col("entries") < 0) | (F.col("excluded_entries") < 0)
 
 
-def unique_summary(tables: dict[str, DataFrame],
-                   spec: dict[str, list[str]] = UNIQUE_COLUMNS) -> DataFrame:
-    parts = [duplicate_keys(tables[t], c).agg(F.count(F.lit(1)).alias("violations"))
-             .select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), "violations")
-             for t, cols in spec.items() for c in cols]
-    return reduce(DataFrame.unionByName, parts)
+def _future() -> Column:
+    return F.col("toll_date") > F.current_date()
 
 
 def bad_hours(fact: DataFrame) -> DataFrame:
     """Rows whose hour is outside 0..23 (D3)."""
-    return fact.where((F.col("hour") < 0) | (F.col("hour") > 23))
+    return fact.where(_bad_hour())
 
 
 def bad_vehicle_classes(fact: DataFrame) -> DataFrame:
     """Distinct classes not in the valid list; NULL is not returned."""
-    return fact.select("vehicle_class").distinct().where(
-        ~F.col("vehicle_class").isin(*VALID_VEHICLE_CLASSES))
+    return fact.select("vehicle_class").distinct().where(_bad_class())
 
 
 def negative_counts(fact: DataFrame) -> DataFrame:
     """Rows with a negative entry or exempt count."""
-    return fact.where((F.col("entries") < 0) | (F.col("excluded_entries") < 0))
+    return fact.where(_negative())
 
 
 def future_dates(fact: DataFrame) -> DataFrame:
     """Rows dated after today."""
-    return fact.where(F.col("toll_date") > F.current_date())
+    return fact.where(_future())
 
 
 def violation_count(check: str, violating: DataFrame) -> DataFrame:
@@ -83,26 +71,67 @@ def violation_count(check: str, violating: DataFrame) -> DataFrame:
         F.lit(check).alias("check_name"), "violations")
 
 
-# The four singular tests, each on the fact table.
-SINGULAR_CHECKS = {
-    "peak_hours": bad_hours,
-    "vehicle_classes": bad_vehicle_classes,
-    "non_negative": negative_counts,
-    "valid_dates": future_dates,
-}
+def _rows(condition: Column) -> Column:
+    return F.count(F.when(condition, 1))
+
+
+def singular_counts() -> dict[str, Column]:
+    """The four singular tests as aggregates; classes count distinct bad values."""
+    return {"peak_hours": _rows(_bad_hour()),
+            "vehicle_classes": F.count_distinct(F.when(_bad_class(), F.col("vehicle_class"))),
+            "non_negative": _rows(_negative()), "valid_dates": _rows(_future())}
+
+
+# ---- one pass per table -----------------------------------------------------------
+def table_checks(table: str, df: DataFrame, columns: list[str], singular: bool = False,
+                 weight: str | None = None) -> DataFrame:
+    """(check_name, table_name, column_name, violations) of one table, in one pass.
+
+    ``weight``: a column saying how many rows a row of ``df`` stands for.
+    """
+    counts = {("not_null", c): F.sum(F.when(F.col(c).isNull(), F.col(weight)).otherwise(0)) if weight
+              else _rows(F.col(c).isNull()) for c in columns}
+    if singular:
+        counts.update({(name, None): c for name, c in singular_counts().items()})
+    row = df.agg(*[F.coalesce(c, F.lit(0)).cast("long").alias(f"v{i}")
+                   for i, c in enumerate(counts.values())])
+    return row.select(F.inline(F.array(*[
+        F.struct(F.lit(check).alias("check_name"), F.lit(table).alias("table_name"),
+                 F.lit(column).cast("string").alias("column_name"), F.col(f"v{i}").alias("violations"))
+        for i, (check, column) in enumerate(counts)])))
+
+
+def not_null_summary(tables: dict[str, DataFrame],
+                     spec: dict[str, list[str]] = NOT_NULL_COLUMNS) -> DataFrame:
+    """(table_name, column_name, violations) for each declared column."""
+    return reduce(DataFrame.unionByName, [
+        table_checks(t, tables[t], cols).drop("check_name") for t, cols in spec.items()])
+
+
+def duplicate_keys(df: DataFrame, column: str) -> DataFrame:
+    """Values of ``column`` held by more than one row; NULLs are ignored."""
+    return (df.where(F.col(column).isNotNull()).groupBy(column).count()
+            .where(F.col("count") > 1))
+
+
+def unique_summary(tables: dict[str, DataFrame],
+                   spec: dict[str, list[str]] = UNIQUE_COLUMNS) -> DataFrame:
+    parts = [duplicate_keys(tables[t], c).agg(F.count(F.lit(1)).alias("violations"))
+             .select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), "violations")
+             for t, cols in spec.items() for c in cols]
+    return reduce(DataFrame.unionByName, parts)
 
 
-def all_checks(tables: dict[str, DataFrame]) -> DataFrame:
-    """Every declared test in one frame (check_name, table_name, column_name,
-    violations): 17 not_null, 2 unique and the 4 singular checks on the fact.
-    Empty violations everywhere means the build passes, as after the
-    reference's test step."""
-    nn = not_null_summary(tables).select(F.lit("not_null").alias("check_name"), "table_name",
-                                         "column_name", "violations")
-    un = unique_summary(tables).select(F.lit("unique").alias("check_name"), "table_name",
-                                       "column_name", "violations")
-    singular = [violation_count(name, fn(tables["fact_traffic"])).select(
-        "check_name", F.lit("fact_traffic").alias("table_name"),
-        F.lit(None).cast("string").alias("column_name"), "violations")
-        for name, fn in SINGULAR_CHECKS.items()]
-    return reduce(DataFrame.unionByName, [nn, un, *singular])
+def all_checks(tables: dict[str, DataFrame], staging_rollup: DataFrame | None = None) -> DataFrame:
+    """Every declared test in one frame (check_name, table_name, column_name, violations):
+    17 not_null, 2 unique and the 4 singular checks, with one pass over each table.
+    ``staging_rollup`` stands in for staging, which is a view and not written."""
+    parts = []
+    for t, cols in NOT_NULL_COLUMNS.items():
+        if t == "stg_entries" and staging_rollup is not None:
+            parts.append(table_checks(t, staging_rollup, cols, weight="records"))
+        else:
+            parts.append(table_checks(t, tables[t], cols, singular=t == "fact_traffic"))
+    unique = unique_summary(tables).select(F.lit("unique").alias("check_name"), "table_name",
+                                           "column_name", "violations")
+    return reduce(DataFrame.unionByName, [*parts, unique])

@@ -43,28 +43,31 @@ def distinct_hours(stg: DataFrame) -> DataFrame:
     return stg.select("hour").distinct()
 
 
-def staging_domain(stg: DataFrame) -> DataFrame:
-    """One pass over staging that feeds every dimension.
-
-    Groups by (region, class, hour) and keeps the date range of each group.
-    Partial aggregation runs before the shuffle, so each task emits at most
-    one row per group it saw whatever the skew; the result is as small as
-    the product of the three domains (about 16k rows for the real source).
-    """
-    return (stg.groupBy("detection_region", "vehicle_class", "hour")
-            .agg(F.min("toll_date").alias("min_date"), F.max("toll_date").alias("max_date")))
+ROLLUP_KEYS = ["toll_date", "hour", "vehicle_class", "detection_region"]
 
 
-def staging_domain_by_day(stg: DataFrame) -> DataFrame:
-    """The staging domain kept per date: (toll_date, region, class, hour).
+def rollup(stg: DataFrame) -> DataFrame:
+    """Staging summed to (date, hour, class, region), NULL keys kept.
 
-    Stored partitioned by date, it can be replaced date by date like the
-    fact, and ``domain_from_days`` rebuilds the global domain from it
-    exactly (MIN/MAX of the dates per key), without reading raw records.
+    One pass and one shuffle of partial sums.  It holds all that the daily and
+    hourly metrics, the dimensions and the staging checks need: ``records`` is
+    the number of rows behind a group, and sums of NULLs only stay NULL.
     """
-    return stg.select("toll_date", "detection_region", "vehicle_class", "hour").distinct()
+    return stg.groupBy(*ROLLUP_KEYS).agg(
+        F.sum("crz_entries").alias("entries"),
+        F.sum("excluded_roadway_entries").alias("excluded"),
+        F.count(F.lit(1)).alias("records"))
 
 
-def domain_from_days(by_day: DataFrame) -> DataFrame:
-    return (by_day.groupBy("detection_region", "vehicle_class", "hour")
-            .agg(F.min("toll_date").alias("min_date"), F.max("toll_date").alias("max_date")))
+def domain(rolled: DataFrame) -> DataFrame:
+    """Distinct (region, class, hour) with their date range, from the rollup.
+
+    The filter is always true.  It keeps the sums in use, so a plan that also
+    reads them (the dashboard) has the very same rollup on both sides and
+    Spark runs it once (ReusedExchange).
+    """
+    least = F.lit(-(1 << 63))
+    same = (F.coalesce(F.col("entries") >= least, F.col("entries").isNull())
+            & F.coalesce(F.col("excluded") >= least, F.col("excluded").isNull()))
+    return rolled.where(same).groupBy("detection_region", "vehicle_class", "hour").agg(
+        F.min("toll_date").alias("min_date"), F.max("toll_date").alias("max_date"))

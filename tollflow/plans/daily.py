@@ -3,16 +3,16 @@
 Daily run (T+1), one Spark application instead of three clock-coupled jobs:
 
 1. gate: the fact must hold at least ``min_history_rows`` rows (C6);
-2. watermark: greatest of the latest raw and fact dates, default if none (C1, C2);
-3. latest available date in the landing (S7);
-4. backfill dates in (watermark, latest], keeping those with landed rows (C3, C4);
+2. watermark: greatest of the latest raw and built dates, default if none (C1, C2);
+3. latest landed date (S7);
+4. dates to load: the landed ones after the watermark (C3, C4), and those whose
+   landing files changed since they were loaded;
 5. load exactly those dates into raw by partition overwrite (S13, S17);
-6. rebuild fact and KPI for those dates only, then the dashboard in full
-   (its filter bag depends on every date, SURVEY §4.2).
+6. rebuild every mart for every raw date that is new or changed;
+7. run the declared tests over the written marts and fail on violations.
 
-Only the per-date report (one row per loaded date) is materialized before
-the writes, in the shared checkpoint folder, so the writes never read the
-paths they overwrite.
+All dates come from file listings and from the small records of earlier loads
+and builds; no data and no footers of the history are read for them.
 """
 
 from __future__ import annotations
@@ -22,37 +22,57 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollflow.operators import audits, staging
-from tollflow.operators import dashboard as D
-from tollflow.operators.kpi import kpi_congestion
+from tollflow.operators import audits
 from tollflow.plans import incremental as inc
-from tollflow.plans.models import TrafficModels
+from tollflow.plans import marts as M
 from tollflow.sources import files, pages
 
+LOADS = "_load_record"
+
 
 class HistoryGateError(RuntimeError):
     pass
 
 
+class PageError(RuntimeError):
+    """A landed page cannot be read; nothing is loaded, since its records have no known date."""
+
+
 def land_history(spark: SparkSession, pages_path: str, full_base: str,
                  start=pages.HISTORY_START, end=pages.HISTORY_END,
                  run_id: str | None = None) -> str:
     """Entry point A, first half: landed history pages -> one full-load run
-    folder, keeping toll_date > start and date <= end (S1, S3, S9).
-    Returns the run id."""
+    folder, keeping toll_date > start and date <= end (S1, S3, S9).  A page that
+    cannot be read stops the load.  Returns the run id."""
     records = pages.range_filter(pages.read_pages(spark, pages_path), start, end)
     return files.write_full(records, full_base, run_id)
 
 
+def finish_page_load(spark: SparkSession, out_path: str, full_base: str,
+                     start=pages.HISTORY_START, end=pages.HISTORY_END,
+                     run_id: str | None = None) -> str:
+    """The records landed by the resumable page stream -> a full-load run folder.
+    Refused while any page or record was rejected."""
+    from tollflow.streaming import landing
+    rejected = landing.read_page_rejects(spark, out_path).count()
+    if rejected:
+        raise PageError(f"{rejected} rejected pages or records under {out_path}")
+    records = pages.range_filter(landing.read_page_load(spark, out_path), start, end)
+    return files.write_full(records, full_base, run_id)
+
+
 def land_daily_pages(spark: SparkSession, pages_path: str, landing_path: str) -> DataFrame:
     """Daily pages -> daily landing folders, one folder per date.
 
-    Records that fail their declared types go to a rejects frame; a day with
-    any reject is not landed (the others are), as one failed day does not
-    stop the rest.  Returns the per-day report (toll_date, records,
-    rejected, loaded), materialized before the write.
+    The pages are parsed once.  A day with a rejected record is not landed (the
+    others are), as one failed day does not stop the rest.  A page that cannot
+    be read fails the landing before anything is written: which days it holds
+    is unknown.  Returns the per-day report (toll_date, records, rejected, loaded).
     """
     records, rejects = pages.read_pages_checked(spark, pages_path)
+    broken = rejects.where(F.col("failed_fields") == pages.BAD_PAGE).select("file_path").take(5)
+    if broken:
+        raise PageError(f"pages that cannot be read in {sorted({r[0] for r in broken})}")
     healthy, report = pages.split_healthy_days(records, rejects)
     report = report.checkpoint(eager=True)
     files.write_daily(healthy, landing_path)
@@ -60,157 +80,73 @@ def land_daily_pages(spark: SparkSession, pages_path: str, landing_path: str) ->
 
 
 def load_full(spark: SparkSession, full_base: str, raw_path: str) -> DataFrame:
-    """Entry point A: replace the raw table with the newest full-load run.
-    Source and target are different folders, so the run is read once and
-    written straight into the raw table."""
+    """Entry point A: replace the raw table with the newest complete full-load run."""
     files.replace_raw(files.read_newest_run(spark, full_base), raw_path)
     return audits.row_count(files.read_raw(spark, raw_path), "raw")
 
 
-def _fact_path(marts: str) -> str:
-    return f"{marts}/fact_traffic"
-
-
-def _kpi_path(marts: str) -> str:
-    return f"{marts}/kpi_congestion"
-
-
-def _dashboard_path(marts: str) -> str:
-    return f"{marts}/dashboard_traffic"
-
-
-def _domain_path(marts: str) -> str:
-    return f"{marts}/_domain_by_day"
-
-
-def _metrics_path(marts: str) -> str:
-    return f"{marts}/_metrics_with_peak"
+def build_marts(spark: SparkSession, raw_path: str, marts: str, peak_scope: str = "date",
+                dedupe_filters: bool = False, check: bool = True) -> None:
+    """Full rebuild of every mart from the raw table, then the declared tests."""
+    M.build(spark, raw_path, marts, peak_scope, dedupe_filters)
+    if check:
+        M.require_checks(spark, marts)
 
 
-def write_date_tables(m: TrafficModels, marts: str, dates=None) -> None:
-    """Per-date tables of the marts: each date depends on its own rows only.
-
-    The fact is written from raw; KPI and the daily metrics with their peak
-    hour (ranked within a date) are then built from the fact folders just
-    written, as the marts read the fact; the staging domain per date comes
-    from the raw rows (it also sees rows that the fact drops).  Dynamic
-    partition overwrite replaces exactly the dates present.  ``dates``
-    limits the fact read-back to those folders (None: all).
-    """
-    spark = m.spark
-    inc.write_partitioned(m.fact_traffic, _fact_path(marts))
-    fact = inc.read_partitioned(spark, _fact_path(marts), dates)
-    inc.write_partitioned(kpi_congestion(fact), _kpi_path(marts))
-    inc.write_partitioned(staging.staging_domain_by_day(m.stg_entries), _domain_path(marts))
-    metrics = D.daily_with_peak(D.hourly_rollup(D.traffic_data(fact)), m.peak_scope)
-    inc.write_partitioned(metrics, _metrics_path(marts))
-
-
-def rebuild_dashboard(spark: SparkSession, marts: str, peak_scope: str = "date",
-                      dedupe_filters: bool = False) -> None:
-    """Global part of the dashboard: filter bag from the per-date domain,
-    joined to the per-date metrics.  Reads two small tables, no raw data."""
-    domain = staging.domain_from_days(inc.read_partitioned(spark, _domain_path(marts)))
-    empty = spark.createDataFrame([], files.RAW_SCHEMA)
-    m = TrafficModels(empty, domain=domain, peak_scope=peak_scope,
-                      dedupe_filters=dedupe_filters)
-    metrics = inc.read_partitioned(spark, _metrics_path(marts))
-    dash = D.dashboard_traffic(metrics, m.dim_filters_small)
-    dash.write.mode("overwrite").parquet(_dashboard_path(marts))
+def check_marts(spark: SparkSession, marts: str) -> DataFrame:
+    """Entry point C's test step over the written tables: one row per check."""
+    return M.checks(spark, marts)
 
 
-def build_marts(spark: SparkSession, raw_path: str, marts: str) -> None:
-    """Full rebuild of every mart from the raw table."""
-    write_date_tables(TrafficModels(files.read_raw(spark, raw_path)), marts)
-    rebuild_dashboard(spark, marts)
-
-
-def _max_day(df: DataFrame):
-    return df.agg(F.max("toll_date")).first()[0]
+def _dates_to_load(spark: SparkSession, landing_path: str, marts: str, wm: dt.date) -> list:
+    """Landed dates after the watermark, and landed dates whose files changed since their load."""
+    landed = files.fingerprint(spark, landing_path, files.LANDING_DAY_IN_PATH)
+    path = M.path_of(marts, LOADS)
+    if files.exists(spark, path):
+        loads = spark.read.schema("day date, mark string, loaded_at timestamp").parquet(path) \
+            .groupBy("day").agg(F.max_by("mark", "loaded_at").alias("mark"))
+    else:
+        loads = spark.createDataFrame([], "day date, mark string")
+    known = loads.select(F.col("day").alias("d"), "mark", F.lit(True).alias("known"))
+    both = landed.join(known, F.col("day").eqNullSafe(F.col("d")), "left")
+    new = F.col("known").isNull() & (F.col("day").isNull() | (F.col("day") > F.lit(wm)))
+    late = F.col("known") & (F.col("mark") != files.mark())
+    return both.where(F.coalesce(new | late, F.lit(False))).select(
+        "day", files.mark().alias("mark")).collect()
 
 
 def run_daily(spark: SparkSession, landing_path: str, raw_path: str, marts: str,
-              min_history_rows: int = audits.MIN_HISTORY_ROWS,
-              require_history: bool = True) -> DataFrame:
+              min_history_rows: int = audits.MIN_HISTORY_ROWS, require_history: bool = True,
+              peak_scope: str = "date", dedupe_filters: bool = False) -> DataFrame:
     """Entry point B.  Returns (toll_date, records) for every date loaded.
 
-    Work grows with the new dates, not with the history: the gate, the
-    watermark and the latest landed date come from partition values (file
-    footers, no data pages); only the landing folders after the watermark
-    are counted and loaded; fact and KPI are rebuilt from those raw folders.
-    The dashboard's filter bag depends on every date (SURVEY §4.2), so its
-    last step is global, but it reads only the small per-date domain and
-    metrics tables, never the history of raw records or facts.
+    Ends with complete marts or with an error: whatever date is in raw and not
+    finished in the marts -- left by an earlier run that stopped, reloaded by a
+    stream, or new -- is rebuilt, also when no new date has landed.
     """
-    landing = files.read_daily(spark, landing_path)
-    fact_days = None
-    if inc.files_exist(spark, _fact_path(marts)):
-        fact_days = spark.read.parquet(_fact_path(marts)).select(
-            F.to_date("_day").alias("toll_date"))
-    if require_history:
-        gate = audits.history_gate(fact_days, min_history_rows).first() \
-            if fact_days is not None else None
-        if gate is None or not gate["passed"]:
-            raise HistoryGateError(f"history gate failed: {gate}")
-    marks = [_max_day(files.raw_days(spark, raw_path))] \
-        if inc.files_exist(spark, raw_path) else []
-    if fact_days is not None:
-        marks.append(_max_day(fact_days))
-    marks = [m for m in marks if m is not None]
-    wm = max(marks) if marks else dt.date.fromisoformat(inc.DEFAULT_WATERMARK)
-    folder_day = files.daily_date()
-    latest = landing.select(folder_day.alias("toll_date")).agg(F.max("toll_date")).first()[0]
-    if latest is None or wm >= latest:
-        return spark.createDataFrame([], "toll_date date, records bigint")
-    # (wm, latest] on folder dates: a partition filter, so old folders are not read.
-    new = landing.where((folder_day > F.lit(wm)) & (folder_day <= F.lit(latest)))
-    report = audits.loaded_dates(new).checkpoint(eager=True)
-    loaded = [r["toll_date"] for r in report.select("toll_date").collect()]  # <= one per day
-    if not loaded:
-        return report
-    files.write_raw(landing.where(files.daily_folders(loaded)), raw_path)
-    # Rebuild every raw date newer than the marts: the dates just loaded plus
-    # any that a failed earlier run loaded into raw but never built.
-    fact_max = _max_day(fact_days) if fact_days is not None else None
-    days = files.raw_days(spark, raw_path)
-    if fact_max is not None:
-        days = days.where(F.col("toll_date") > F.lit(fact_max))
-    pending = [r[0] for r in days.where(F.col("toll_date").isNotNull()).distinct().collect()]
-    rebuild_date_tables(spark, raw_path, marts, pending)
-    rebuild_dashboard(spark, marts)
+    M.check_options(spark, marts, peak_scope, dedupe_filters)
+    built = M.build_record(spark, marts).agg(
+        F.sum("fact_rows").alias("n"), F.max(F.when(F.col("fact_rows") > 0, F.col("day"))).alias("d")).first()
+    if require_history and (built["n"] or 0) < min_history_rows:
+        raise HistoryGateError(f"the fact holds {built['n'] or 0} rows, {min_history_rows} are needed")
+    in_raw = files.fingerprint(spark, raw_path, files.RAW_DAY_IN_PATH).agg(F.max("day")).first()[0]
+    wm = max([d for d in (in_raw, built["d"]) if d is not None],
+             default=dt.date.fromisoformat(inc.DEFAULT_WATERMARK))
+    rows = _dates_to_load(spark, landing_path, marts, wm)            # at most one per day
+    loaded = [r["day"] for r in rows]
+    report = spark.createDataFrame([], "toll_date date, records bigint")
+    if loaded:
+        batch = files.read_daily(spark, landing_path).where(files.daily_folders(loaded))
+        report = audits.loaded_dates(batch).checkpoint(eager=True)
+        files.write_raw(batch, raw_path)
+        spark.createDataFrame([(r["day"], r["mark"]) for r in rows], "day date, mark string") \
+            .withColumn("loaded_at", F.current_timestamp()).coalesce(1) \
+            .write.mode("append").parquet(M.path_of(marts, LOADS))
+    pending = M.pending_dates(spark, raw_path, marts)                # at most one per day
+    if pending and files.exists(spark, M.path_of(marts, "dim_filters")):
+        M.update(spark, raw_path, marts, pending, peak_scope, dedupe_filters)
+    elif pending:
+        M.build(spark, raw_path, marts, peak_scope, dedupe_filters)
+    if pending:
+        M.require_checks(spark, marts)
     return report
-
-
-def rebuild_date_tables(spark: SparkSession, raw_path: str, marts: str, dates) -> None:
-    """Drop and rewrite the per-date mart folders of ``dates`` from raw.
-
-    Dropping first means a date whose raw rows now yield nothing leaves no
-    stale folder; if the rewrite fails, the dates are older than nothing in
-    the fact, so the next run finds them pending again.
-    """
-    if not dates:
-        return
-    for path in (_fact_path(marts), _kpi_path(marts), _domain_path(marts), _metrics_path(marts)):
-        inc.drop_date_folders(spark, path, dates)
-    write_date_tables(TrafficModels(files.read_raw(spark, raw_path, dates=dates)), marts,
-                      dates=dates)
-
-
-def check_marts(spark: SparkSession, raw_path: str, marts: str) -> DataFrame:
-    """Entry point C's test step over the written tables: one row per check.
-
-    Staging and the dimensions are rebuilt lazily from the per-date domain
-    and raw; fact, KPI and dashboard are read from the marts.
-    """
-    from tollflow.operators import quality
-    domain = staging.domain_from_days(inc.read_partitioned(spark, _domain_path(marts)))
-    m = TrafficModels(files.read_raw(spark, raw_path), domain=domain)
-    tables = {
-        "stg_entries": m.stg_entries,
-        "fact_traffic": inc.read_partitioned(spark, _fact_path(marts)),
-        "dim_locations": m.dim_locations,
-        "dim_time": m.dim_time,
-        "kpi_congestion": inc.read_partitioned(spark, _kpi_path(marts)),
-        "dashboard_traffic": spark.read.parquet(_dashboard_path(marts)),
-    }
-    return quality.all_checks(tables)

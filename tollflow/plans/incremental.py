@@ -1,7 +1,7 @@
-"""Incremental control: watermark, backfill dates, idempotent loads.
+"""Incremental control: watermark, backfill dates, new dates.
 
-Only scalars (a watermark, a latest date) ever reach the driver, and even
-those stay inside the plan as scalar subqueries where possible.
+Only scalars (a watermark, a latest date) are involved, and they stay inside
+the plan as scalar subqueries.  The load itself is ``plans.daily.run_daily``.
 """
 
 from __future__ import annotations
@@ -10,8 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollflow.operators import audits
-from tollflow.plans.models import TrafficModels
-from tollflow.sources import files
 
 DEFAULT_WATERMARK = "2025-01-01"   # fixed value: start when nothing is loaded yet
 
@@ -50,81 +48,3 @@ def new_dates(landing: DataFrame, wm: Column) -> DataFrame:
     d = F.to_date("toll_date")
     keep = wm.isNull() | (d > wm)
     return landing.where(keep).select(d.alias("toll_date")).distinct().orderBy("toll_date")
-
-
-def load_incremental(spark: SparkSession, landing_path: str, raw_path: str,
-                     fact: DataFrame | None = None) -> DataFrame:
-    """Load landed dates after the watermark into the raw table.
-
-    All files of each new date are read and the date is overwritten as a
-    whole, so a second run with the same files changes nothing (Q6, Q7).
-    Returns the per-date load report (C8).
-    """
-    landing = files.read_daily(spark, landing_path)
-    if files_exist(spark, raw_path):
-        raw = files.read_raw(spark, raw_path)
-        wm = watermark(spark, raw, fact, default=None).first()["watermark"]
-    else:
-        wm = None
-    # Filter on the folder date (partition columns): pruned when listing files.
-    batch = landing if wm is None else landing.where(files.daily_date() > F.lit(wm))
-    files.write_raw(batch, raw_path)
-    return audits.loaded_dates(batch)
-
-
-def reload_dates(spark: SparkSession, landing_path: str, raw_path: str, dates: list) -> None:
-    """Re-read whole landing folders of ``dates`` and overwrite them (late files)."""
-    landing = files.read_daily(spark, landing_path)
-    files.write_raw(landing.where(files.daily_folders(dates)), raw_path)
-
-
-def rebuild_dates(raw: DataFrame, dates_df: DataFrame, fact_path: str, kpi_path: str) -> None:
-    """Rebuild fact and KPI for the given dates only, by partition overwrite.
-
-    Fact rows of a date depend only on that date's staging rows (its date
-    is inside the calendar, its regions inside the location dimension), and
-    KPI groups include the date, so a per-date rebuild equals a full one.
-    """
-    subset = raw.join(F.broadcast(dates_df.select(F.col("toll_date").alias("_d"))),
-                      F.to_date(raw["toll_date"]) == F.col("_d"), "left_semi")
-    m = TrafficModels(subset)
-    write_partitioned(m.fact_traffic, fact_path)
-    write_partitioned(m.kpi_congestion, kpi_path)
-
-
-def write_partitioned(df: DataFrame, path: str) -> None:
-    """Date-partitioned table write that replaces only the dates present."""
-    (df.withColumn("_day", F.date_format("toll_date", "yyyy-MM-dd")).hint("rebalance", "_day")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("_day").parquet(path))
-
-
-def read_partitioned(spark: SparkSession, path: str, dates=None) -> DataFrame:
-    """A date-partitioned table; with ``dates``, only those folders are read."""
-    df = spark.read.parquet(path)
-    if dates is not None:
-        df = df.where(F.col("_day").isin(sorted({str(d)[:10] for d in dates})))
-    return df.drop("_day")
-
-
-def files_exist(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
-
-
-def drop_date_folders(spark: SparkSession, path: str, dates) -> None:
-    """Delete the ``_day=`` folders of ``dates`` (a few, one per day) under ``path``.
-
-    Used before a per-date rebuild so that a date whose new input yields no
-    rows does not keep its old folder (dynamic overwrite only replaces the
-    folders it writes).
-    """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for d in sorted({str(x)[:10] for x in dates}):
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/_day={d}")
-        fs = folder.getFileSystem(conf)
-        if fs.exists(folder):
-            fs.delete(folder, True)

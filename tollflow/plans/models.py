@@ -1,18 +1,14 @@
 """The model DAG as lazily built DataFrames.
 
 ``TrafficModels(raw)`` exposes every model of the reference as a property;
-nothing runs until a property is used, and each property is built once per
-instance.
-
-Broadcasts: every dimension derives from the staging *domain* (distinct
-region, class, hour with their date range), which is persisted and counted
-once with a bounded count.  That count bounds regions, classes and hours;
-the calendar span (two scalars from the same job) bounds dim_time and any
-per-date frame.  A frame is broadcast only when its bound times its row
-width fits the broadcast budget; otherwise it is joined by shuffle.
-
-Scan budget: the join-free fact, the KPI and the reports read staging once;
-anything that needs dimensions adds one column-pruned pass for the domain.
+nothing runs until an action, and each property is built once per instance.
+
+Two frames carry everything: staging, and its rollup to (date, hour, class,
+region).  The fact and the KPI read staging; the dimensions, the daily and
+hourly metrics and the dashboard read the rollup, whose exchange Spark reuses
+within a plan, so a dashboard scans the raw records once.  Nothing is cached
+and nothing is broadcast by hand: adaptive execution picks the joins from the
+real sizes of the sides.
 """
 
 from __future__ import annotations
@@ -20,40 +16,22 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tollflow.operators import dashboard as D
 from tollflow.operators import dims, fact, kpi, staging
-from tollflow.operators.joins import broadcast_budget_rows, broadcast_if_small, persist_small
-
-
-# Largest staging domain kept cached for the dimensions (about 400k rows).
-DOMAIN_CACHE_BYTES = 64 << 20
 
 
 class TrafficModels:
-    def __init__(self, raw: DataFrame, *, peak_scope: str = "date",
-                 dedupe_filters: bool = False, broadcast_bytes: int | None = None,
-                 join_dims: bool = False, domain: DataFrame | None = None):
-        """``domain``: a precomputed staging domain (e.g. rebuilt from the
-        per-date domain table) used instead of a pass over ``raw``."""
+    def __init__(self, raw: DataFrame | None, *, peak_scope: str = "date",
+                 dedupe_filters: bool = False, join_dims: bool = False,
+                 rollup: DataFrame | None = None):
+        """``rollup``: a written staging rollup, used instead of a pass over ``raw``."""
         self.raw = raw
-        self.spark = raw.sparkSession
+        self.spark = (raw if raw is not None else rollup).sparkSession
         self.peak_scope = peak_scope
         self.dedupe_filters = dedupe_filters
-        self.broadcast_bytes = broadcast_bytes
         self.join_dims = join_dims
-        self._given_domain = domain
-
-    def _small(self, df: DataFrame) -> DataFrame:
-        """Broadcast after a bounded count (for frames with no bound known yet)."""
-        return broadcast_if_small(df, self.broadcast_bytes)
-
-    def _bounded(self, df: DataFrame, max_rows: int | None) -> DataFrame:
-        """Broadcast ``df`` when a proven upper bound on its rows fits the budget."""
-        if max_rows is not None and max_rows <= broadcast_budget_rows(df, self.broadcast_bytes):
-            return F.broadcast(df)
-        return df
+        self._given_rollup = rollup
 
     # -- staging ------------------------------------------------------------
     @cached_property
@@ -65,94 +43,36 @@ class TrafficModels:
         return staging.stg_interval(self.raw)
 
     @cached_property
-    def _domain_sized(self) -> tuple[DataFrame, int | None, tuple | None]:
-        """Persist the domain and size it in one bounded job.
-
-        ``limit(budget + 1)`` caps the rows the check reads; when the count
-        stays within the budget, every row was seen, so MIN/MAX of the date
-        range are exact too.  Over the budget the domain is unpersisted and
-        the dimensions fall back to shuffle joins.  The budget for keeping the
-        domain cached is its own (``DOMAIN_CACHE_BYTES``, or the broadcast
-        budget if larger): a session that turns broadcasts off still reads
-        raw once for all of its dimensions.
-        """
-        dom = (self._given_domain if self._given_domain is not None
-               else staging.staging_domain(self.stg_entries))
-        budget = max(broadcast_budget_rows(dom, self.broadcast_bytes),
-                     broadcast_budget_rows(dom, DOMAIN_CACHE_BYTES))
-        cached = persist_small(dom)
-        r = cached.limit(budget + 1).agg(F.count(F.lit(1)).alias("n"),
-                                         F.min("min_date").alias("lo"),
-                                         F.max("max_date").alias("hi")).first()
-        if r["n"] > budget:
-            cached.unpersist()
-            return dom, None, None
-        return cached, r["n"], (r["lo"], r["hi"])
+    def rollup(self) -> DataFrame:
+        if self._given_rollup is not None:
+            return self._given_rollup
+        return staging.rollup(self.stg_entries)
 
     @cached_property
     def domain(self) -> DataFrame:
-        """(region, class, hour, min_date, max_date): one pass over staging,
-        persisted when its size fits the broadcast budget."""
-        return self._domain_sized[0]
-
-    @cached_property
-    def domain_rows(self) -> int | None:
-        """Rows of the domain, or None when it is over the budget.  It bounds
-        the distinct regions, classes and hours."""
-        return self._domain_sized[1]
-
-    @cached_property
-    def calendar_days(self) -> int:
-        """Days from the first to the last date (two scalars reach the driver).
-        Bounds dim_time and any frame with one row per date."""
-        bounds = self._domain_sized[2]
-        if bounds is None:
-            b = dims.date_bounds(self.domain, "min_date", "max_date").first()
-            bounds = (b["lo"], b["hi"])
-        lo, hi = bounds
-        return 0 if lo is None else (hi - lo).days + 1
+        """(region, class, hour, min_date, max_date)."""
+        return staging.domain(self.rollup)
 
     # -- dimensions ---------------------------------------------------------
     @cached_property
     def dim_time(self) -> DataFrame:
-        bounds = dims.date_bounds(self.domain, "min_date", "max_date")
-        return dims.dim_time(bounds)
-
-    @cached_property
-    def dim_time_small(self) -> DataFrame:
-        return self._bounded(self.dim_time, self.calendar_days)
+        return dims.dim_time(dims.date_bounds(self.domain, "min_date", "max_date"))
 
     @cached_property
     def dim_locations(self) -> DataFrame:
         return dims.dim_locations(self.domain)
 
-    @cached_property
-    def dim_locations_small(self) -> DataFrame:
-        return self._bounded(self.dim_locations, self.domain_rows)
-
     @cached_property
     def vehicle_classes(self) -> DataFrame:
-        return staging.distinct_vehicle_classes(self.domain)
+        return staging.distinct_vehicle_classes(self.stg_entries)
 
     @cached_property
     def hours(self) -> DataFrame:
-        return staging.distinct_hours(self.domain)
+        return staging.distinct_hours(self.stg_entries)
 
     @cached_property
     def dim_filters(self) -> DataFrame:
-        """Filter bridge rows; same bag as the six-branch UNION ALL
-        (``dims.dim_filters``) but in two aggregations over the domain."""
-        return dims.dim_filters_from_domain(self.domain, self.dim_time,
-                                            dedupe=self.dedupe_filters)
-
-    @cached_property
-    def dim_filters_small(self) -> DataFrame:
-        # classes + 2 x regions + hours <= 4 x domain rows; the two calendar
-        # branches have one row per distinct (month, weekday) <= days each.
-        bound = None
-        if self.domain_rows is not None:
-            bound = 4 * self.domain_rows + 2 * self.calendar_days
-        return self._bounded(self.dim_filters, bound)
+        return dims.dim_filters(self.domain, self.dim_time, dedupe=self.dedupe_filters)
 
     # -- fact and marts -----------------------------------------------------
     @cached_property
@@ -161,24 +81,19 @@ class TrafficModels:
 
         Default: the join-free form (``fact.fact_traffic_inline``), valid
         because both dimensions are built from this same staging frame.
-        ``join_dims=True``: broadcast joins to the size-checked dimensions.
+        ``join_dims=True``: joins to the dimensions.
         """
         if self.join_dims:
-            return fact.fact_traffic(self.stg_entries, self.dim_time_small,
-                                     self.dim_locations_small)
+            return fact.fact_traffic(self.stg_entries, self.dim_time, self.dim_locations)
         return fact.fact_traffic_inline(self.stg_entries)
 
     @cached_property
     def kpi_congestion(self) -> DataFrame:
         return kpi.kpi_congestion(self.fact_traffic)
 
-    @cached_property
-    def traffic_data(self) -> DataFrame:
-        return D.traffic_data(self.fact_traffic)
-
     @cached_property
     def hourly_rollup(self) -> DataFrame:
-        return D.hourly_rollup(self.traffic_data)
+        return D.hourly_rollup(self.rollup)
 
     @cached_property
     def hourly_metrics(self) -> DataFrame:
@@ -199,46 +114,23 @@ class TrafficModels:
     @cached_property
     def final_metrics(self) -> DataFrame:
         peak = D.peak_hours_top1(self.hourly_rollup, self.peak_scope, share_rollup=True)
-        if self.peak_scope == "date":
-            # rn = 1 leaves at most one row per date, so the calendar's day
-            # count bounds this side without running it; broadcast only when
-            # that bound fits the budget, otherwise a shuffle join.
-            if self.calendar_days <= broadcast_budget_rows(peak, self.broadcast_bytes):
-                peak = F.broadcast(peak)
         return D.final_metrics(self.daily_metrics, peak)
 
     @cached_property
     def metrics_with_peak(self) -> DataFrame:
         """final_metrics computed in a single pass (production path)."""
-        return D.daily_with_peak(self.hourly_rollup, self.peak_scope)
+        return D.daily_with_peak(D.hourly_all(self.rollup), self.peak_scope)
 
     @cached_property
     def dashboard_traffic(self) -> DataFrame:
-        return D.dashboard_traffic(self.metrics_with_peak, self.dim_filters_small)
+        return D.dashboard_traffic(self.metrics_with_peak, self.dim_filters)
 
     @cached_property
     def day_of_week_matches(self) -> DataFrame:
-        # (weekday filter row, day) pairs: at most one weekday row per
-        # (month, weekday) <= days, each matching <= days // 7 + 1 days.
-        days = self.calendar_days
-        bound = days * (days // 7 + 1)
-        return D.day_of_week_matches(self.metrics_with_peak, self.dim_filters_small,
-                                     self.dim_time_small,
-                                     small=lambda df: self._bounded(df, bound))
+        return D.day_of_week_matches(self.metrics_with_peak, self.dim_filters, self.dim_time)
 
     def tables(self) -> dict[str, DataFrame]:
         """Every materialized model of the reference, by name."""
-        return {
-            "stg_entries": self.stg_entries,
-            "stg_interval": self.stg_interval,
-            "dim_time": self.dim_time,
-            "dim_locations": self.dim_locations,
-            "dim_filters": self.dim_filters,
-            "fact_traffic": self.fact_traffic,
-            "kpi_congestion": self.kpi_congestion,
-            "dashboard_traffic": self.dashboard_traffic,
-        }
-
-
-def build_models(raw: DataFrame, **options) -> TrafficModels:
-    return TrafficModels(raw, **options)
+        return {name: getattr(self, name) for name in (
+            "stg_entries", "stg_interval", "dim_time", "dim_locations", "dim_filters",
+            "fact_traffic", "kpi_congestion", "dashboard_traffic")}

@@ -17,6 +17,7 @@ from tollflow.functions import columns as C
 from tollflow.operators import audits, quality, reports
 from tollflow.operators.dims import time_periods
 from tollflow.operators.fact import join_location, join_time
+from tollflow.plans import daily, marts
 from tollflow.plans import incremental as inc
 from tollflow.plans.models import TrafficModels
 from tollflow.session import scratch_path
@@ -79,21 +80,87 @@ def fn_partition_path(spark, sf_dir):
 
 
 def fn_file_date(spark, sf_dir):
+    """Files with the date in their name are written, listed by ``_metadata`` and parsed."""
     d = F.col("toll_date")
-    days = models(spark, sf_dir).stg_entries.select("toll_date").distinct()
-    names = days.select(F.concat(
-        F.lit(O.FILE_PREFIX), F.date_format(d, "yyyy"), F.lit("_month_"), F.date_format(d, "MM"),
+    days = models(spark, sf_dir).stg_entries.groupBy("toll_date").agg(F.count("*").alias("records"))
+    name = F.concat(
+        F.lit("year_"), F.date_format(d, "yyyy"), F.lit("_month_"), F.date_format(d, "MM"),
         F.lit("_day_"), F.date_format(d, "dd"), F.lit("_toll_entries_"),
-        F.date_format(d, "yyyyMMdd"), F.lit(".parquet")).alias("file_path"))
-    return files.file_dates(names)
+        F.date_format(d, "yyyyMMdd"), F.lit(".parquet"))
+    path = scratch_path(spark, "named-days")
+    days.withColumn("file", name).write.partitionBy("file").parquet(path)
+    listed = files.file_dates(files.source_files(spark.read.parquet(path)))
+    return listed.select(
+        F.concat(F.lit("landing/"), F.regexp_extract("file_path", r"/file=([^/]+)/", 1)).alias("file_path"),
+        "file_date")
+
+
+# ---- round trips through the written layouts -----------------------------------
+def src_pages_rejects(spark, sf_dir):
+    """Pages of one record each, some cut off and some with a bad count; what is read and rejected."""
+    raw = load_raw(spark, sf_dir)
+    record = F.struct(*[(F.when(F.col("minute_of_hour") == O.BAD_COUNT_MINUTE, "lots")
+                         .otherwise(F.col(n).cast("string")) if n == "crz_entries" else F.col(n)).alias(n)
+                        for n in raw.columns])
+    line = F.to_json(F.struct(F.array(record).alias("value")))
+    cut = F.when(F.col("hour_of_day") == O.CUT_PAGE_HOUR, F.left(line, F.lit(60))).otherwise(line)
+    path = scratch_path(spark, "pages-rejects")
+    raw.select(cut.alias("value")).write.text(path)
+    records, rejects = pages.read_pages_checked(spark, path)
+    good = records.select(F.to_date("toll_date").alias("toll_date"), F.lit("").alias("failed_fields"))
+    return good.unionByName(rejects.select("toll_date", "failed_fields")) \
+        .groupBy("toll_date", "failed_fields").agg(F.count("*").alias("records"))
+
+
+def sink_full(spark, sf_dir):
+    base = scratch_path(spark, "sink-full")
+    files.write_full(load_raw(spark, sf_dir), base, run_id="20250101000000")
+    return files.read_newest_run(spark, base)
+
+
+def sink_daily(spark, sf_dir):
+    landing = scratch_path(spark, "sink-daily")
+    files.write_daily(load_raw(spark, sf_dir), landing)
+    return files.read_daily(spark, landing)
+
+
+def load_full(spark, sf_dir):
+    base, raw_path = scratch_path(spark, "full-runs"), scratch_path(spark, "full-raw")
+    raw = load_raw(spark, sf_dir)
+    files.write_full(_loaded_part(raw), base, run_id="20250101000000")
+    files.write_full(raw, base, run_id="20250102000000")
+    daily.load_full(spark, base, raw_path)
+    return files.read_raw(spark, raw_path)
+
+
+def _daily_run(spark, sf_dir) -> tuple[str, str]:
+    """Marts built over the loaded part, then one daily run over a landing with everything."""
+    landing, raw_path, marts_path = (scratch_path(spark, f"daily-{n}") for n in ("landing", "raw", "marts"))
+    raw = load_raw(spark, sf_dir)
+    files.write_daily(raw, landing)
+    files.write_raw(_loaded_part(raw), raw_path)
+    daily.build_marts(spark, raw_path, marts_path)
+    daily.run_daily(spark, landing, raw_path, marts_path)
+    return raw_path, marts_path
+
+
+def load_incremental(spark, sf_dir):
+    return files.read_raw(spark, _daily_run(spark, sf_dir)[0])
+
+
+def daily_run_dashboard(spark, sf_dir):
+    return marts.read_table(spark, _daily_run(spark, sf_dir)[1], "dashboard_traffic")
 
 
 # ---- incremental control ------------------------------------------------------
+def _loaded_part(raw):
+    return raw.where(F.to_date("toll_date") <= F.lit(O.LOADED_THROUGH).cast("date"))
+
+
 def _loaded_state(spark, sf_dir):
     """Landing = every raw record; loaded = the part up to LOADED_THROUGH."""
     raw = load_raw(spark, sf_dir)
-    cut = F.to_date("toll_date") <= F.lit(O.LOADED_THROUGH).cast("date")
-    loaded = raw.where(cut)
+    loaded = _loaded_part(raw)
     fact = TrafficModels(loaded).fact_traffic
     return raw, loaded, fact
 
@@ -146,12 +213,12 @@ def audit_row_count(spark, sf_dir):
 # ---- models -------------------------------------------------------------------
 def join_inner_time(spark, sf_dir):
     m = models(spark, sf_dir)
-    return join_time(m.stg_entries, m.dim_time_small)
+    return join_time(m.stg_entries, m.dim_time)
 
 
 def join_inner_location(spark, sf_dir):
     m = models(spark, sf_dir)
-    return join_location(m.stg_entries, m.dim_locations_small)
+    return join_location(m.stg_entries, m.dim_locations)
 
 
 def peak_hours_top1(spark, sf_dir):
@@ -171,6 +238,10 @@ def dq_unique(spark, sf_dir):
     return quality.unique_summary(models(spark, sf_dir).tables())
 
 
+def dq_all(spark, sf_dir):
+    return quality.all_checks(models(spark, sf_dir).tables())
+
+
 def _dq(check: str, fn) -> Query:
     def run(spark, sf_dir):
         return quality.violation_count(check, fn(models(spark, sf_dir).fact_traffic))
@@ -240,6 +311,12 @@ QUERIES: dict[str, Query] = {
     "fn_iso_date": fn_iso_date,
     "fn_partition_path": fn_partition_path,
     "fn_file_date": fn_file_date,
+    "src_pages_rejects": src_pages_rejects,
+    "sink_full": sink_full,
+    "sink_daily": sink_daily,
+    "load_full": load_full,
+    "load_incremental": load_incremental,
+    "daily_run_dashboard": daily_run_dashboard,
     "inc_watermark": inc_watermark,
     "inc_new_dates": inc_new_dates,
     "inc_backfill_dates": inc_backfill_dates,
@@ -268,6 +345,7 @@ QUERIES: dict[str, Query] = {
     "dashboard_dedup_filters": _model("dashboard_traffic", dedupe_filters=True),
     "distinct_vehicle_classes": _model("vehicle_classes"),
     "distinct_time_periods": distinct_time_periods,
+    "dq_all": dq_all,
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
     "dq_peak_hours": _dq("peak_hours", quality.bad_hours),

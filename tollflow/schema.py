@@ -15,12 +15,6 @@ RAW_FIELDS = [
     "crz_entries", "excluded_roadway_entries",
 ]
 
-# The 7-field subset the marts consume (sample loader config).
-STAGING_SOURCE_FIELDS = [
-    "toll_date", "toll_hour", "vehicle_class", "detection_group",
-    "detection_region", "crz_entries", "excluded_roadway_entries",
-]
-
 _NTZ = T.TimestampNTZType()
 
 RAW_SCHEMA = T.StructType([
@@ -46,17 +40,6 @@ PAGE_SCHEMA = T.StructType([
     T.StructField("@odata.nextLink", T.StringType()),
 ])
 
-STG_SCHEMA = T.StructType([
-    T.StructField("toll_date", T.DateType()),
-    T.StructField("hour", T.IntegerType()),
-    T.StructField("vehicle_class", T.StringType()),
-    T.StructField("detection_group", T.StringType()),
-    T.StructField("detection_region", T.StringType()),
-    T.StructField("crz_entries", T.LongType()),
-    T.StructField("excluded_roadway_entries", T.LongType()),
-])
-
-
 def check_schema(df, expected: T.StructType, what: str) -> None:
     """Fail fast when a frame does not carry the declared columns and types."""
     got = {f.name: f.dataType for f in df.schema.fields}

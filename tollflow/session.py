@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -16,8 +15,6 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # let AQE coalesce partitions of cached plans (the cached dims are tiny)
-    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
 }
 
 
@@ -75,7 +72,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) do we pick one ourselves.
+    as is.  Only when it is unset and the master is local do we pick one
+    ourselves; elsewhere a folder of one machine would lose data.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -84,6 +82,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tollflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -93,11 +93,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tollflow/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def strip_file_scheme(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def exists_local(path: str) -> bool:
-    return os.path.exists(strip_file_scheme(path))

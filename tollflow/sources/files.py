@@ -3,28 +3,102 @@
 Layouts
 -------
 * full load:  ``{base}/run_id=<UTC yyyyMMddHHmmss>/part-*.parquet`` (S9); the
-  raw table is replaced from the newest run folder, all of its files (S12, Q7).
+  raw table is replaced from the newest complete run folder, all of its files (S12, Q7).
 * daily load: ``{landing}/year=YYYY/month=MM/day=DD/part-*.parquet``, each day
   replaced by itself through dynamic partition overwrite (S10, S11).
 * raw table:  ``{raw}/toll_day=YYYY-MM-DD/part-*.parquet``; loads overwrite only
   the dates they carry, so running a load twice equals running it once (Q6).
+
+Rows without a date keep a folder of their own (the NULL partition) in every
+layout.  The files' own schema is checked before a read: Spark would fill a
+missing column with NULL.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tollflow.functions import columns as C
-from tollflow.schema import RAW_FIELDS, RAW_SCHEMA
+from tollflow.schema import RAW_FIELDS, RAW_SCHEMA, check_schema
 
 DAILY_PARTS = ["year", "month", "day"]
 RAW_PART = "toll_day"
 
 
+# Date of a file's folder, as a regular expression with one group per date part.
+RAW_DAY_IN_PATH = r"/toll_day=(\d{4}-\d{2}-\d{2})/"
+LANDING_DAY_IN_PATH = r"/year=(\d{4})/month=(\d{2})/day=(\d{2})/"
+
+
+# ---- folders ---------------------------------------------------------------
+def _fs(spark: SparkSession, path: str):
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _fs(spark, path)
+    return fs.exists(jpath)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, jpath = _fs(spark, path)
+    fs.delete(jpath, True)
+
+
+def subfolders(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Partition values of ``column`` right under ``path``, from one listing."""
+    fs, jpath = _fs(spark, path)
+    if not fs.exists(jpath):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(jpath)]
+    return [n.split("=", 1)[1] for n in names if n.startswith(column + "=")]
+
+
+def drop_folders(spark: SparkSession, path: str, dates) -> None:
+    """Delete the ``_day=`` folders of ``dates`` that exist: one listing, then one call per folder.
+
+    A date whose new input yields no rows must not keep its old folder
+    (dynamic overwrite replaces only the folders that it writes).
+    """
+    gone = {"__HIVE_DEFAULT_PARTITION__" if d is None else str(d)[:10] for d in dates}
+    for value in set(subfolders(spark, path, "_day")) & gone:
+        delete(spark, f"{path}/_day={value}")
+
+
+def fingerprint(spark: SparkSession, path: str, day_in_path: str) -> DataFrame:
+    """(day, n_files, n_bytes, modified) per date folder, from file listings only.
+
+    The binary source lists the files; their content is not read, since the
+    column that holds it is not used.
+    """
+    if not exists(spark, path):
+        return spark.createDataFrame([], "day date, n_files long, n_bytes long, modified timestamp")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
+        .option("pathGlobFilter", "*.parquet").load(path)
+    groups = day_in_path.count("(")
+    text = F.concat_ws("-", *[F.regexp_extract("path", day_in_path, i + 1) for i in range(groups)])
+    return listed.groupBy(F.try_to_date(text, "yyyy-MM-dd").alias("day")).agg(
+        F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"),
+        F.max("modificationTime").alias("modified"))
+
+
+def mark() -> Column:
+    """The fingerprint as one text."""
+    return F.concat_ws("/", F.col("n_files").cast("string"), F.col("n_bytes").cast("string"),
+                       F.unix_micros("modified").cast("string"))
+
+
+def _checked(spark: SparkSession, path: str, what: str, extra: list[str] = ()) -> DataFrame:
+    """Parquet under the declared schema, after checking the files' own schema."""
+    check_schema(spark.read.parquet(path), RAW_SCHEMA, f"{what} at {path}")
+    return spark.read.schema(_with_fields(RAW_SCHEMA, list(extra))).parquet(path)
+
+
 def _with_fields(schema: T.StructType, names: list[str]) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(n, T.StringType()) for n in names])
 
@@ -38,11 +112,16 @@ def write_full(raw: DataFrame, base: str, run_id: str | None = None) -> str:
 
 
 def read_newest_run(spark: SparkSession, base: str) -> DataFrame:
-    """All files of the newest run folder (S12).  Only the partition column is
-    read to find it, and the run filter prunes the other folders."""
-    runs = spark.read.schema(_with_fields(RAW_SCHEMA, ["run_id"])).parquet(base)
-    newest = runs.agg(F.max("run_id")).scalar()
-    return runs.where(F.col("run_id") == newest).select(*RAW_FIELDS)
+    """All files of the newest run folder that was written to its end.
+
+    A run without its ``_SUCCESS`` marker stopped while it was written; it is
+    passed over, whatever its id.
+    """
+    runs = [r for r in subfolders(spark, base, "run_id")
+            if exists(spark, f"{base}/run_id={r}/_SUCCESS")]
+    if not runs:
+        raise FileNotFoundError(f"no complete run under {base}")
+    return _checked(spark, f"{base}/run_id={max(runs)}", "full load").select(*RAW_FIELDS)
 
 
 # ---- daily landing -----------------------------------------------------------
@@ -60,7 +139,7 @@ def write_daily(raw: DataFrame, landing: str) -> None:
 
 def read_daily(spark: SparkSession, landing: str) -> DataFrame:
     """Daily landing with its zero-padded partition values kept as strings."""
-    return spark.read.schema(_with_fields(RAW_SCHEMA, DAILY_PARTS)).parquet(landing)
+    return _checked(spark, landing, "daily landing", DAILY_PARTS)
 
 
 def daily_date(year="year", month="month", day="day"):
@@ -68,11 +147,12 @@ def daily_date(year="year", month="month", day="day"):
     return F.to_date(F.concat_ws("-", C.as_col(year), C.as_col(month), C.as_col(day)))
 
 
-def daily_folders(dates) -> "Column":
-    """Partition filter selecting the landing folders of ``dates`` (a few
-    thousand at most: one per calendar day)."""
-    wanted = sorted({str(d)[:10] for d in dates})
-    return F.concat_ws("-", *DAILY_PARTS).isin(wanted)
+def daily_folders(dates) -> Column:
+    """Partition filter selecting the landing folders of ``dates`` (one per
+    calendar day at most); None selects the rows without a date."""
+    dates = list(dates)
+    wanted = F.concat_ws("-", *DAILY_PARTS).isin(sorted({str(d)[:10] for d in dates if d is not None}))
+    return wanted | F.col("year").isNull() if None in dates else wanted
 
 
 # ---- raw table ---------------------------------------------------------------
@@ -84,18 +164,19 @@ def write_raw(records: DataFrame, raw_path: str) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy(RAW_PART).parquet(raw_path))
 
 
-def read_raw(spark: SparkSession, raw_path: str, dates=None) -> DataFrame:
-    """The raw table; with ``dates``, only those date folders are listed and read."""
-    df = spark.read.schema(_with_fields(RAW_SCHEMA, [RAW_PART])).parquet(raw_path)
-    if dates is not None:
-        df = df.where(F.col(RAW_PART).isin(sorted({str(d)[:10] for d in dates})))
-    return df.select(*RAW_FIELDS)
-
+def read_raw(spark: SparkSession, raw_path: str, dates=None, keep_day: bool = False) -> DataFrame:
+    """The raw table; with ``dates``, only those date folders are listed and read.
 
-def raw_days(spark: SparkSession, raw_path: str) -> DataFrame:
-    """The raw table's partition date only: reading it touches file footers, no data."""
-    return spark.read.schema(_with_fields(RAW_SCHEMA, [RAW_PART])).parquet(raw_path) \
-        .select(F.to_date(RAW_PART).alias("toll_date"))
+    ``keep_day`` keeps the partition column, with which ``pages.day_filter`` and
+    ``pages.range_filter`` prune folders.
+    """
+    df = _checked(spark, raw_path, "raw table", [RAW_PART])
+    if dates is not None:
+        dates = list(dates)
+        day = F.col(RAW_PART)
+        wanted = day.isin(sorted({str(d)[:10] for d in dates if d is not None}))
+        df = df.where(wanted | day.isNull() if None in dates else wanted)
+    return df.select(*RAW_FIELDS, *([RAW_PART] if keep_day else []))
 
 
 def replace_raw(records: DataFrame, raw_path: str) -> None:
@@ -107,12 +188,21 @@ def replace_raw(records: DataFrame, raw_path: str) -> None:
      .option("partitionOverwriteMode", "static").partitionBy(RAW_PART).parquet(raw_path))
 
 
-def file_dates(files: DataFrame, path_col: str = "file_path") -> DataFrame:
+# ---- files by the date in their name ---------------------------------------------
+def source_files(df: DataFrame) -> DataFrame:
+    """The files that a frame read from files comes from (file_path), each once."""
+    return df.select(F.col("_metadata.file_path").alias("file_path")).distinct()
+
+
+def file_dates(listed: DataFrame, path_col: str = "file_path") -> DataFrame:
     """(file_path, file_date) with the date parsed from the name; no match -> dropped."""
-    return files.select(path_col, C.date_from_file_name(path_col).alias("file_date")) \
+    return listed.select(path_col, C.date_from_file_name(path_col).alias("file_date")) \
         .where(F.col("file_date").isNotNull())
 
 
-def with_source_file(df: DataFrame) -> DataFrame:
-    """Attach each row's source file path from the hidden _metadata column."""
-    return df.select("*", F.col("_metadata.file_path").alias("file_path"))
+def read_named_day(spark: SparkSession, base: str, day) -> DataFrame:
+    """Raw records of the files whose name carries ``day`` (S14); the file filter is on
+    ``_metadata``, so files of other days are not opened."""
+    df = _checked(spark, base, "daily files")
+    return df.where(C.date_from_file_name(F.col("_metadata.file_path")) == F.lit(str(day)[:10])
+                    .cast("date")).select(*RAW_FIELDS)

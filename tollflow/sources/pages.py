@@ -9,14 +9,18 @@ followed by ``inline(value)``.  An empty page contributes no rows.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-
 from pyspark.sql import types as T
 
 from tollflow.functions import columns as C
-from tollflow.schema import PAGE_SCHEMA, RAW_FIELDS, RAW_SCHEMA, STAGING_SOURCE_FIELDS
+from tollflow.schema import PAGE_SCHEMA, RAW_FIELDS, RAW_SCHEMA
+from tollflow.session import scratch_path
+from tollflow.sources.files import RAW_PART
 
 # Envelope with every record field as text: nothing fails while parsing, and
 # each value is then cast with try_cast so bad values can be routed aside.
@@ -29,43 +33,72 @@ PAGE_TEXT_SCHEMA = T.StructType([
 # The history window of the full load (strict start, inclusive end).
 HISTORY_START = "2025-01-01"
 HISTORY_END = "2025-04-12"
-# A top-k sends k rows from every input partition to one merging task; it is
-# used only while k x partitions stays under this many rows, else global ranks.
-MAX_TOP_K_ROWS = 5_000_000
+BAD_PAGE = "page"          # failed_fields of a page that cannot be read at all
+_CORRUPT = "_corrupt_record"
 
 
 def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Raw records from landed pages under ``path`` (S1), explicit schema.
 
     ``multi_line=True`` reads one pretty-printed page per file; the default
-    reads JSON Lines (one page per line), which also splits across tasks.
+    reads JSON Lines (one page per line), which also splits across tasks.  A
+    page that does not parse, or whose ``value`` is missing, fails the read;
+    only ``[]`` is an empty page.
     """
     pages = spark.read.schema(PAGE_SCHEMA).option("mode", "FAILFAST").json(
         path, multiLine=multi_line)
-    return pages.select(F.inline("value")).select(*RAW_FIELDS)
+    value = F.coalesce("value", F.raise_error(F.lit("landed page without records")))
+    return pages.select(F.inline(value.cast(PAGE_SCHEMA["value"].dataType))).select(*RAW_FIELDS)
+
+
+def tagged_records(pages: DataFrame) -> DataFrame:
+    """Page envelopes read as text -> one row per record, and one per unreadable page.
+
+    Columns: the typed fields, file_path, source (the text), failed_fields ('' for
+    a good record, ``BAD_PAGE`` for a page, else the fields that do not cast).
+    """
+    nothing = F.lit(None).cast(PAGE_TEXT_SCHEMA["value"].dataType.elementType)
+    broken = F.col(_CORRUPT).isNotNull() | F.col("value").isNull()
+    rows = pages.select(
+        F.col("file_path"), broken.alias("broken"), F.col(_CORRUPT).alias("page_text"),
+        F.explode(F.when(broken, F.array(nothing)).otherwise(F.col("value"))).alias("r"))
+    fields = [F.col(f"r.{n}").try_cast(RAW_SCHEMA[n].dataType).alias(n) for n in RAW_FIELDS]
+    failed = [F.when(F.col(f"r.{n}").isNotNull()
+                     & F.col(f"r.{n}").try_cast(RAW_SCHEMA[n].dataType).isNull()
+                     | ((F.lit(n) == "toll_date") & F.col(f"r.{n}").isNull()), F.lit(n))
+              for n in RAW_FIELDS]
+    return rows.select(
+        *fields, "file_path", F.coalesce("page_text", F.to_json("r")).alias("source"),
+        F.when(F.col("broken"), BAD_PAGE).otherwise(F.concat_ws(",", *failed)).alias("failed_fields"))
+
+
+def text_envelopes(reader):
+    """A JSON reader (batch or stream) set to keep what it cannot parse."""
+    schema = T.StructType([*PAGE_TEXT_SCHEMA.fields, T.StructField(_CORRUPT, T.StringType())])
+    return reader.schema(schema).option("columnNameOfCorruptRecord", _CORRUPT)
+
+
+def split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records, rejects) of ``tagged_records``; rejects: toll_date, failed_fields, file_path, source."""
+    return (tagged.where(F.col("failed_fields") == "").select(*RAW_FIELDS),
+            tagged.where(F.col("failed_fields") != "").select(
+                F.to_date("toll_date").alias("toll_date"), "failed_fields", "file_path", "source"))
 
 
 def read_pages_checked(spark: SparkSession, path: str,
                        multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
     """Landed pages split into (records, rejects) instead of failing the read.
 
-    A record is rejected when any present value does not cast to its
-    declared type, or when it has no readable date.  Rejects keep the
-    source text, the date part of ``toll_date`` (NULL if unreadable) and the
-    names of the failing fields, so they can be counted per date (C4).
+    A record is rejected when any present value does not cast to its declared
+    type, or when it has no readable date; a page that does not parse or has no
+    ``value`` is a reject of its own, without a date.  The pages are parsed once,
+    into a typed table in the shared scratch folder that both frames read.
     """
-    text = spark.read.schema(PAGE_TEXT_SCHEMA).json(path, multiLine=multi_line) \
-        .select(F.inline("value"))
-    typed = [F.col(n).try_cast(RAW_SCHEMA[n].dataType).alias(n) for n in RAW_FIELDS]
-    failed = [F.when(F.col(n).isNotNull() & F.col(n).try_cast(RAW_SCHEMA[n].dataType).isNull()
-                     | ((F.lit(n) == "toll_date") & F.col(n).isNull()), F.lit(n))
-              for n in RAW_FIELDS]
-    tagged = text.select(*typed, F.struct(*[F.col(n) for n in RAW_FIELDS]).alias("source"),
-                         F.concat_ws(",", *failed).alias("failed_fields"))
-    records = tagged.where(F.col("failed_fields") == "").select(*RAW_FIELDS)
-    rejects = tagged.where(F.col("failed_fields") != "").select(
-        F.to_date("toll_date").alias("toll_date"), "failed_fields", "source")
-    return records, rejects
+    tagged = tagged_records(text_envelopes(spark.read).json(path, multiLine=multi_line)
+                            .withColumn("file_path", F.col("_metadata.file_path")))
+    kept = scratch_path(spark, "page-records")
+    tagged.write.parquet(kept)
+    return split_tagged(spark.read.schema(tagged.schema).parquet(kept))
 
 
 def split_healthy_days(records: DataFrame, rejects: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -74,6 +107,7 @@ def split_healthy_days(records: DataFrame, rejects: DataFrame) -> tuple[DataFram
     Mirrors the per-day error handling of the daily fetch: a day with a bad
     record is skipped whole and reported, the other days load.  Returns
     (records of healthy days, per-day report with records, rejected, loaded).
+    The bad days are one value per calendar day at most, so they become a filter.
     """
     day = F.to_date("toll_date")
     good = records.groupBy(day.alias("toll_date")).agg(F.count(F.lit(1)).alias("records"))
@@ -82,32 +116,35 @@ def split_healthy_days(records: DataFrame, rejects: DataFrame) -> tuple[DataFram
         "toll_date", F.coalesce("records", F.lit(0)).alias("records"),
         F.coalesce("rejected", F.lit(0)).alias("rejected"),
         (F.coalesce("rejected", F.lit(0)) == 0).alias("loaded"))
-    skipped = bad.select(F.col("toll_date").alias("_bad"))
-    healthy = records.join(skipped, day == F.col("_bad"), "left_anti")
-    return healthy, report
+    skipped = [r[0] for r in bad.where(F.col("toll_date").isNotNull()).select("toll_date").collect()]
+    return records.where(~F.coalesce(day.isin(skipped), F.lit(False))), report
 
 
 def land_pages(raw: DataFrame, path: str, page_rows: int = 1000) -> None:
     """Write records as page envelopes of at most ``page_rows`` rows each.
 
-    Pages are cut per input partition (partition id, row index // page_rows),
-    so a page never holds more than ``page_rows`` records whatever the skew.
-    Each page links to the next one of its partition, the last has no link.
+    Pages are cut within each input partition, from its Arrow batches: no
+    shuffle, whatever the skew.  Each page links to the next one of its
+    partition, the last has no link.
     """
-    rid = F.monotonically_increasing_id()
-    keyed = raw.select(
-        F.spark_partition_id().alias("_part"),
-        F.floor((rid - F.shiftleft(F.spark_partition_id().cast("long"), 33)) / page_rows)
-        .alias("_page"),
-        F.struct(*RAW_FIELDS).alias("_rec"))
-    pages = keyed.groupBy("_part", "_page").agg(F.collect_list("_rec").alias("value"))
-    w = Window.partitionBy("_part").orderBy("_page")
-    nxt = F.lead("_page").over(w)
-    linked = pages.select(
-        "value",
-        F.when(nxt.isNotNull(), F.format_string("page?part=%d&page=%d", F.col("_part"), nxt))
-        .alias("@odata.nextLink"))
-    linked.write.mode("overwrite").json(path)
+    def cut(batches):
+        part, number, waiting = TaskContext.get().partitionId(), 0, None
+        for batch in batches:
+            for at in range(0, batch.num_rows, page_rows):
+                if waiting is not None:
+                    number += 1
+                    yield page(waiting, f"page?part={part}&page={number}")
+                waiting = batch.slice(at, page_rows)
+        if waiting is not None:
+            yield page(waiting, None)
+
+    def page(batch, link):
+        records = pa.StructArray.from_arrays(batch.columns, fields=list(batch.schema))
+        value = pa.ListArray.from_arrays(pa.array([0, len(records)], pa.int32()), records)
+        return pa.RecordBatch.from_arrays([value, pa.array([link], pa.string())],
+                                          ["value", "@odata.nextLink"])
+
+    raw.select(*RAW_FIELDS).mapInArrow(cut, PAGE_SCHEMA).write.mode("overwrite").json(path)
 
 
 def select_fields(raw: DataFrame, fields: list[str] = RAW_FIELDS) -> DataFrame:
@@ -115,10 +152,6 @@ def select_fields(raw: DataFrame, fields: list[str] = RAW_FIELDS) -> DataFrame:
     return raw.select(*fields)
 
 
-def select_staging_fields(raw: DataFrame) -> DataFrame:
-    return select_fields(raw, STAGING_SOURCE_FIELDS)
-
-
 def _as_date(d) -> Column:
     if isinstance(d, Column):
         return d
@@ -127,20 +160,33 @@ def _as_date(d) -> Column:
     return F.lit(d).cast("date")
 
 
+def _prune(raw: DataFrame, low=None, high=None) -> DataFrame:
+    """Folder filter on the raw table's partition column, where the frame carries it."""
+    if RAW_PART in raw.columns:
+        for bound, keep in ((low, lambda b: F.col(RAW_PART) >= b), (high, lambda b: F.col(RAW_PART) <= b)):
+            if bound is not None:
+                raw = raw.where(keep(_as_date(bound).cast("string")))
+        raw = raw.drop(RAW_PART)
+    return raw
+
+
 def range_filter(raw: DataFrame, start=HISTORY_START, end=HISTORY_END,
                  col: str = "toll_date") -> DataFrame:
-    """toll_date > start (strict, Q9) and its date part <= end (S3)."""
+    """toll_date > start (strict, Q9) and its date part <= end (S3).  On a frame from
+    ``read_raw(keep_day=True)`` only the folders of those dates are read."""
     c = F.col(col)
-    return raw.where((c > _as_date(start).cast("timestamp_ntz")) & (F.to_date(c) <= _as_date(end)))
+    return _prune(raw, start, end).where(
+        (c > _as_date(start).cast("timestamp_ntz")) & (F.to_date(c) <= _as_date(end)))
 
 
 def day_filter(raw: DataFrame, day, col: str = "toll_date") -> DataFrame:
     """Rows of one calendar day (S4).  Written as a half-open timestamp range
-    so that it reaches the Parquet scan as a pushed filter."""
+    so that it reaches the Parquet scan as a pushed filter; on a frame from
+    ``read_raw(keep_day=True)`` only that day's folder is read."""
     start = _as_date(day).cast("timestamp_ntz")
     end = F.date_add(_as_date(day), 1).cast("timestamp_ntz")
     c = F.col(col)
-    return raw.where((c >= start) & (c < end))
+    return _prune(raw, day, day).where((c >= start) & (c < end))
 
 
 def ordered(raw: DataFrame, keys=("toll_date", "toll_hour")) -> DataFrame:
@@ -162,36 +208,35 @@ def page_window(raw: DataFrame, skip: int, top: int,
                 keys=("toll_date", "toll_hour")) -> DataFrame:
     """Rows skip .. skip+top-1 of the source order ($skip/$top, S6).
 
-    The order is made total by appending every other column (Q10), so a
-    page is well defined; fully equal rows are interchangeable.  A top-k
-    keeps skip+top rows per input partition and merges them all in one
-    task, so it is used only while (skip+top) x partitions stays under
-    ``MAX_TOP_K_ROWS``.  Beyond that the rows are ranked globally: a range
-    partitioned sort, per-partition counts (one row per partition), their
-    running sum as offsets, and a filter on the resulting rank.
+    The order is made total by appending every other column (Q10), so a page
+    is well defined; fully equal rows are interchangeable.  One plan for all
+    sizes: count the rows per key, add the counts up, keep only the groups that
+    cover the window, and do the same within them for the next columns; only
+    the rows of the few groups left are sorted.  Positions depend on counts
+    alone, so lost tasks and any partitioning give the same rows.
     """
-    order = _total_order(raw, keys)
-    partitions = raw.rdd.getNumPartitions()      # planning only, no job
-    if (skip + top) * partitions <= MAX_TOP_K_ROWS:
-        return raw.orderBy(*order).offset(skip).limit(top)
-    ranked = global_rank(raw, order)
-    return ranked.where((F.col("_rank") >= skip) & (F.col("_rank") < skip + top)).drop("_rank")
-
-
-def global_rank(df: DataFrame, order: list[Column]) -> DataFrame:
-    """0-based position of each row in ``order`` without one-task sorting."""
-    sorted_df = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    tagged = sorted_df.select("*", F.spark_partition_id().alias("_pid"),
-                              F.monotonically_increasing_id().alias("_mid"))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"),
-                                        F.min("_mid").alias("_first"))
-    # One row per partition: a single-partition running sum is bounded.
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", "_first",
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    out = tagged.join(F.broadcast(offsets), "_pid")
-    return out.select(*df.columns,
-                      (F.col("_start") + F.col("_mid") - F.col("_first")).alias("_rank"))
+    rest = [c for c in raw.columns if c not in keys]
+    cut = max(len(rest) - 2, 0)          # the last two columns (the counts) only order ties
+    levels = [list(keys), rest[:cut]] if cut else [list(keys)]
+    rows, done = raw.withColumn("_base", F.lit(0).cast("long")), []
+    for level in levels:
+        # _base: rows of the order before the group that the previous levels chose
+        sizes = rows.groupBy(*done, *level, "_base").agg(F.count(F.lit(1)).alias("_n"))
+        before = Window.partitionBy(*done, "_base").orderBy(*_total_order(sizes.select(*level), level)) \
+            .rowsBetween(Window.unboundedPreceding, -1)
+        sizes = sizes.withColumn("_start", F.col("_base") + F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        done += level
+        cover = sizes.where((F.col("_start") < skip + top) & (F.col("_start") + F.col("_n") > skip)) \
+            .select(*[F.col(c).alias("_k_" + c) for c in done], "_start")
+        on = functools.reduce(lambda a, b: a & b,
+                              [F.col(c).eqNullSafe(F.col("_k_" + c)) for c in done])
+        rows = rows.drop("_base").join(cover, on).select(*raw.columns, F.col("_start").alias("_base"))
+    left = [c for c in raw.columns if c not in done]
+    inside = Window.partitionBy(*done, "_base").orderBy(*(_total_order(raw.select(*left), left)
+                                                          if left else [F.lit(0)]))
+    rank = F.col("_base") + F.row_number().over(inside) - 1
+    return rows.withColumn("_rank", rank).where(
+        (F.col("_rank") >= skip) & (F.col("_rank") < skip + top)).orderBy("_rank").select(*raw.columns)
 
 
 def latest_available(raw: DataFrame, col: str = "toll_date") -> DataFrame:

@@ -10,9 +10,10 @@ Each micro-batch only tells us *which dates* were touched.  The batch
 callback re-reads those dates' whole landing folders and overwrites them
 in the raw table (dynamic partition overwrite); otherwise a late file
 would replace its date with itself alone.  Only the touched (year, month,
-day) triples reach the driver (at most one per calendar day, capped); they
-become a static partition filter, so the scan lists only those folders.
-Beyond the cap the dates stay distributed and a left-semi join selects them.
+day) triples reach the driver, at most one per calendar day; they become a
+static partition filter, so the scan lists only those folders.  The rewritten
+raw files differ from the marts' build record, so the next daily run rebuilds
+these dates in every mart.
 """
 
 from __future__ import annotations
@@ -22,9 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tollflow.operators.joins import broadcast_if_small
-from tollflow.schema import PAGE_SCHEMA, RAW_FIELDS, RAW_SCHEMA
-from tollflow.sources import files
+from tollflow.schema import RAW_FIELDS, RAW_SCHEMA
+from tollflow.sources import files, pages
 
 DAILY_PARTS = files.DAILY_PARTS
 
@@ -34,23 +34,14 @@ def landing_stream(spark: SparkSession, landing_path: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(landing_path)
 
 
-MAX_LISTED_DATES = 100_000
-
-
 def reload_touched(spark: SparkSession, batch: DataFrame, landing_path: str,
                    raw_path: str) -> None:
-    touched = batch.select(*DAILY_PARTS).distinct()
-    keys = touched.limit(MAX_LISTED_DATES + 1).collect()
+    keys = batch.select(*DAILY_PARTS).distinct().collect()      # one per calendar day at most
     if not keys:
         return
-    landing = files.read_daily(spark, landing_path)
-    if len(keys) <= MAX_LISTED_DATES:
-        # An expression over partition columns only: pruned at listing time.
-        whole = landing.where(files.daily_folders(
-            f"{k['year']}-{k['month']}-{k['day']}" for k in keys))
-    else:
-        whole = landing.join(broadcast_if_small(touched), DAILY_PARTS, "left_semi")
-    files.write_raw(whole, raw_path)
+    dates = [None if k["year"] is None else f"{k['year']}-{k['month']}-{k['day']}" for k in keys]
+    # an expression over partition columns only: pruned at listing time
+    files.write_raw(files.read_daily(spark, landing_path).where(files.daily_folders(dates)), raw_path)
 
 
 def start_landing_load(spark: SparkSession, landing_path: str, raw_path: str,
@@ -78,22 +69,24 @@ def run_landing_load(spark: SparkSession, landing_path: str, raw_path: str,
 # ---- history pages: resumable load ---------------------------------------------
 
 def page_stream(spark: SparkSession, pages_path: str) -> DataFrame:
-    """Landed JSON page files as a stream of raw records (S1 under C5)."""
-    return (spark.readStream.schema(PAGE_SCHEMA).json(pages_path)
-            .select(F.inline("value")).select(*RAW_FIELDS))
+    """Landed JSON page files as a stream of tagged records (S1 under C5)."""
+    return pages.tagged_records(pages.text_envelopes(spark.readStream).json(pages_path)
+                                .withColumn("file_path", F.col("_metadata.file_path")))
 
 
 def start_page_load(spark: SparkSession, pages_path: str, out_path: str,
                     checkpoint_path: str) -> StreamingQuery:
-    """Each micro-batch's records go to ``out_path/batch_id=N``.
+    """Each micro-batch's records go to ``out_path/batch_id=N``, in a folder of
+    their own beside what cannot be loaded: pages that do not parse, values of a wrong type.
 
-    A batch that is re-run after a failure has the same id and overwrites
-    its own folder, and the checkpoint records which page files were taken,
-    so every record lands exactly once and a rerun resumes after the last
-    committed batch.  This replaces the reference's hand-kept skip offset.
+    A batch that is re-run after a failure has the same id and overwrites its
+    own folders, and the checkpoint records which page files were taken, so
+    every record lands exactly once, in one of the two, and a rerun resumes
+    after the last committed batch.
     """
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={epoch_id}")
+        batch.withColumn("_good", F.col("failed_fields") == "").write.mode("overwrite") \
+            .partitionBy("_good").parquet(f"{out_path}/batch_id={epoch_id}")
 
     return (page_stream(spark, pages_path).writeStream
             .foreachBatch(apply)
@@ -110,7 +103,17 @@ def run_page_load(spark: SparkSession, pages_path: str, out_path: str,
         raise q.exception()
 
 
+def _page_load(spark: SparkSession, out_path: str) -> DataFrame:
+    text = [T.StructField(n, T.StringType()) for n in ("file_path", "source", "failed_fields")]
+    parts = [T.StructField("batch_id", T.LongType()), T.StructField("_good", T.BooleanType())]
+    return spark.read.schema(T.StructType([*RAW_SCHEMA.fields, *text, *parts])).parquet(out_path)
+
+
 def read_page_load(spark: SparkSession, out_path: str) -> DataFrame:
     """All records loaded so far by ``run_page_load``."""
-    schema = T.StructType(list(RAW_SCHEMA.fields) + [T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(schema).parquet(out_path).select(*RAW_FIELDS)
+    return _page_load(spark, out_path).where("_good").select(*RAW_FIELDS)
+
+
+def read_page_rejects(spark: SparkSession, out_path: str) -> DataFrame:
+    """What ``run_page_load`` could not load (toll_date, failed_fields, file_path, source)."""
+    return pages.split_tagged(_page_load(spark, out_path).where("not _good"))[1]
