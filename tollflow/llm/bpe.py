@@ -21,14 +21,16 @@ import mmap
 import re
 import uuid
 from collections import Counter
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tollflow.llm.common import packed, read_table, sha256_hex, text_or_empty
@@ -280,7 +282,7 @@ def word_counts(docs: DataFrame, config: str) -> DataFrame:
 
 
 class Codec:
-    """Encoder and decoder columns for one vocabulary and one corpus lexicon."""
+    """Encoder and decoder for one vocabulary and one corpus lexicon."""
 
     def __init__(self, spark: SparkSession, vocabulary: str, docs: DataFrame,
                  lexicon_words: int = LEXICON_WORDS):
@@ -297,23 +299,31 @@ class Codec:
         self.file = share_file(spark, compile_lexicon(
             {w: self.merges.encode(w) for w in words if w}))
 
-    def encode(self, text: Column) -> Column:
-        """binary: token ids as little-endian unsigned 32-bit integers."""
-        config, merges, file = self.config, self.merges, self.file
+    def apply(self, docs: DataFrame) -> DataFrame:
+        """doc -> doc, ids, decoded, in one pass.
 
-        @F.pandas_udf("binary")
-        def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        The results leave the worker ROWS rows at a time, and the words of a
+        worker's earlier batches stay remembered.
+        """
+        config, merges, names, file = self.config, self.merges, self.names, self.file
+
+        def run(batches):
             tool, lexicon, memo = Words(config), Lexicon.mapped(SparkFiles.get(file)), {}
             special = {s: i.to_bytes(4, "little") for s, i in tool.special.items()}
+            table = np.array(names, dtype=object)
             for batch in batches:
-                out = []
-                for lo in range(0, len(batch), ROWS):
-                    chunks = [tool.chunks(t or "") for t in batch.iloc[lo:lo + ROWS]]
+                for lo in range(0, batch.num_rows, ROWS):
+                    part = batch.slice(lo, ROWS)
+                    doc = part.column(0)
+                    chunks = [tool.chunks(t or "") for t in pc.struct_field(doc, "text").to_pylist()]
                     if len(memo) > MEMO:
                         memo = {}
                     learn(tool, lexicon, memo, set().union(*chunks) - memo.keys(), special)
-                    out += [b"".join(map(memo.__getitem__, c)) for c in chunks]
-                yield pd.Series(out, dtype=object)
+                    ids = [b"".join(map(memo.__getitem__, c)) for c in chunks]
+                    texts = [decode_ids(table, b) for b in ids]
+                    yield pa.RecordBatch.from_arrays(
+                        [doc, pa.array(ids, pa.binary()), pa.array(texts, pa.string())],
+                        ["doc", "ids", "decoded"])
 
         def learn(tool, lexicon, memo, new, special):
             memo.update(special)
@@ -326,19 +336,26 @@ class Codec:
                     ids[w] = np.array(merges.encode(w), "<u4").tobytes()
             memo.update((c, b"".join([ids[w] for w in ws])) for c, ws in zip(new, split))
 
-        return encoded(text)
+        return docs.mapInArrow(run, T.StructType([
+            *docs.schema.fields, T.StructField("ids", T.BinaryType()),
+            T.StructField("decoded", T.StringType())]))
 
     def decode(self, ids: Column) -> Column:
-        """Text of the ids: their names joined by spaces, as the vocabulary has no decoder."""
+        """Text of a binary column of ids from anywhere."""
         names = self.names
 
         @F.pandas_udf("string")
         def decoded(batch: pd.Series) -> pd.Series:
             table = np.array(names, dtype=object)
-            return pd.Series([" ".join(table[np.frombuffer(b, "<u4")]) for b in batch], dtype=object)
+            return pd.Series([decode_ids(table, b) for b in batch], dtype=object)
         return decoded(ids)
 
 
+def decode_ids(table: np.ndarray, ids: bytes) -> str:
+    """Names of the ids joined by spaces, as the vocabulary has no decoder."""
+    return " ".join(table[np.frombuffer(ids, "<u4")])
+
+
 def share_file(spark: SparkSession, data: bytes) -> str:
     """Write bytes to the shared folder and let Spark bring the file to every executor."""
     sc, name = spark.sparkContext, f"lexicon-{uuid.uuid4().hex}.bin"
@@ -357,8 +374,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, **options) -> DataFrame:
     the library.  Texts and words may be of any length.
     """
     codec = Codec(docs.sparkSession, vocabulary, docs.select("text"), **options)
-    return packed(docs).withColumn("ids", codec.encode(text_or_empty("doc.text"))) \
-        .withColumn("decoded", codec.decode(F.col("ids")))
+    return codec.apply(packed(docs))
 
 
 def digests(encoded: DataFrame) -> DataFrame:
