@@ -63,7 +63,7 @@ def test_run_that_stops_after_the_raw_load_heals(spark, at, everything, monkeypa
     complete(spark, at, everything)
 
 
-@pytest.mark.parametrize("stop_at", ["kpi_congestion", "_metrics", "dashboard_traffic", "dim_time", "dim_filters"])
+@pytest.mark.parametrize("stop_at", ["kpi_congestion", "dashboard_traffic", "dim_filters"])
 def test_run_that_stops_between_two_marts_heals(spark, at, everything, monkeypatch, stop_at):
     """More days land before the next run."""
     files.write_daily(everything.where("toll_date <= timestamp_ntz'2024-01-25'"), at["landing"])

@@ -152,5 +152,7 @@ def test_daily_files_are_found_by_the_date_in_their_name(spark, tmp_path):
     for day in ("2025-02-01", "2025-02-02"):
         y, m, d = day.split("-")
         make_raw(spark, [raw_row(day=day)]).write.parquet(f"{base}/x_day_{d}_toll_entries_{y}{m}{d}.parquet")
-    rows = files.read_named_day(spark, base + "/*", "2025-02-02").collect()
+    report = daily.load_named_day(spark, base + "/*", str(tmp_path / "raw"), "2025-02-02").collect()
+    assert [tuple(r) for r in report] == [(dt.date(2025, 2, 2), 1)]
+    rows = files.read_raw(spark, str(tmp_path / "raw")).collect()
     assert [r["toll_date"].date() for r in rows] == [dt.date(2025, 2, 2)]

@@ -85,6 +85,13 @@ def load_full(spark: SparkSession, full_base: str, raw_path: str) -> DataFrame:
     return audits.row_count(files.read_raw(spark, raw_path), "raw")
 
 
+def load_named_day(spark: SparkSession, base: str, raw_path: str, day) -> DataFrame:
+    """Replace one date in raw from the daily files whose name carries it."""
+    batch = files.read_named_day(spark, base, day)
+    files.write_raw(batch, raw_path)
+    return audits.loaded_dates(batch)
+
+
 def build_marts(spark: SparkSession, raw_path: str, marts: str, peak_scope: str = "date",
                 dedupe_filters: bool = False, check: bool = True) -> None:
     """Full rebuild of every mart from the raw table, then the declared tests."""
