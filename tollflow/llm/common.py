@@ -49,12 +49,13 @@ def ascii_lower(c: Column) -> Column:
         F.translate(c, UPPER, LOWER))
 
 
-def sha256_hex(c: Column) -> Column:
-    return F.sha2(c.cast("binary"), 256)
+def hash_share(*columns: str) -> Column:
+    """A number in [0, 1) that depends on the columns only, for samples that reruns repeat."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 53)) / float(1 << 53)
 
 
-def all_of(conditions) -> Column:
-    return functools.reduce(lambda a, b: a & b, conditions)
+def sha256_hex(c: Column) -> Column:
+    return F.sha2(c.cast("binary"), 256)
 
 
 def any_of(conditions) -> Column:

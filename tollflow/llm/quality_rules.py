@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollflow.llm.common import WORD, any_of, read_table, stored, text_or_empty
+from tollflow.llm.common import WORD, any_of, hash_share, read_table, stored, text_or_empty
 
 SYMBOLS = r"[#*$%&|<>]"
 STRATA = (100, 300, 1000)          # word counts at which a new stratum begins
@@ -105,8 +105,7 @@ def certified_cutoffs(stats: DataFrame, labels: DataFrame, max_risk: float = MAX
     marks = labels.where("quality is not null and doc_id is not null") \
         .groupBy("doc_id").agg(F.min("quality").alias("quality"))
     part = min(1.0, max_labels / max(marks.count(), 1))
-    chosen = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(part * 1_000_000)) \
-        .withColumnRenamed("doc_id", "_id")
+    chosen = marks.where(hash_share("doc_id") < part).withColumnRenamed("doc_id", "_id")
     held = stored(stats.join(chosen, F.col("doc_id") == F.col("_id")).select(
         stratum(F.col("n_words")).alias("stratum"), "quality", *_rules()), "rule-holdout")
     good = held.where("quality = 1").groupBy("stratum").count().collect()

@@ -14,12 +14,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollflow.llm.common import ascii_lower, read_table, stored
+from tollflow.llm.common import ascii_lower, hash_share, read_table, stored
 
 # (verdict, host, path): a rule fits its host and all subdomains, and paths that start with its own
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
          ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 MAX_LABELLED = 20_000      # labelled URLs used for fitting, chosen by hash
+MAX_SAMPLE = 60_000        # URLs, labelled or not, used for the suffix statistics, chosen by hash
 MIN_SUFFIX = 20            # a suffix needs this many sampled URLs to have statistics of its own
 FEATURES = ("length", "host_length", "path_length", "depth", "labels", "digit_share", "hyphens",
             "entropy", "params", "query_length", "has_fragment", "secure", "suffix_share",
@@ -74,7 +75,7 @@ def lexical(urls: DataFrame) -> DataFrame:
 def _statistics(sample: DataFrame, column: str) -> DataFrame:
     """Per suffix: its share of the sample and the share of it that rules block (smoothed).
 
-    At most sample rows / MIN_SUFFIX rows, which is the bound for the broadcast.
+    At most MAX_SAMPLE / MIN_SUFFIX rows or so, which is the bound for the broadcast.
     """
     total = sample.count()
     return sample.groupBy(F.col(column).alias(f"_{column}")).agg(
@@ -103,14 +104,21 @@ def judge(pages: DataFrame, rules=RULES, max_labelled: int = MAX_LABELLED,
     rule, verdict = rule_of(rules)
     known = split_url(pages).withColumns({"rule": rule, "verdict": verdict})
     urls = lexical(known)
-    usable = known if hold_out is None else known.where(~hold_out)
-    # a bounded sample, the same in every run: the smallest hashes of the url
-    part = min(1.0, max_labelled / max(usable.where("verdict is not null").count(), 1))
-    chosen = F.pmod(F.xxhash64("url", "page_id"), F.lit(1_000_000)) < int(part * 1_000_000)
-    sample = stored((urls if hold_out is None else urls.where(~hold_out)).where(chosen), "url-sample")
-    tables = {c: stored(_statistics(sample, c), f"url-{c}") for c in ("suffix", "ending")}
+    usable = F.lit(True) if hold_out is None else ~hold_out
+    # bounded samples, the same in every run: URLs with the smallest hashes
+    counts = known.where(usable).agg(F.count("*").alias("all"), F.count("verdict").alias("labelled")).first()
+
+    def chosen(bound: int, count: int) -> Column:
+        return hash_share("url", "page_id") < min(1.0, bound / max(count, 1))
+
+    for_fit = F.col("verdict").isNotNull() & chosen(max_labelled, counts["labelled"])
+    sample = stored(urls.where(usable).withColumns({
+        "for_fit": for_fit, "for_suffix": chosen(MAX_SAMPLE, counts["all"])})
+        .where("for_fit or for_suffix"), "url-sample")
+    tables = {c: stored(_statistics(sample.where("for_suffix"), c), f"url-{c}")
+              for c in ("suffix", "ending")}
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
-    train = stored(vectors.transform(_with_statistics(sample.where("verdict is not null"), tables))
+    train = stored(vectors.transform(_with_statistics(sample.where("for_fit"), tables))
                    .select("_features", (F.col("verdict") == "block").cast("double").alias("_block")),
                    "url-train")
     marks = {r["_block"]: r["count"] for r in train.groupBy("_block").count().collect()}
