@@ -1,7 +1,7 @@
 """Print the final (post-AQE) physical plan of registered queries, compactly.
 
 Usage: python tools/show_plans.py [sf_dir] key [key ...]
-Cached sub-plans (InMemoryRelation) are shown as one line.
+The final plan only, without expression ids.
 """
 
 from __future__ import annotations
