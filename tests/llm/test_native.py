@@ -127,11 +127,32 @@ def test_mix_serves_each_source_to_its_target(edge_docs, edge_rows):
     assert again == {r["doc_id"]: r["times"] for r in got}
 
 
-def test_mix_equals_a_plain_queue(edge_docs, edge_rows):
-    """The same order of finish times, served one by one."""
-    rows = mixing.mix(edge_docs.select("doc_id", "source", "text"), ranges=7, slots=13).collect()
-    full = mixing.mix(edge_docs.select("doc_id", "source", "text"), ranges=7, slots=50).collect()
-    assert {r["doc_id"]: r["times"] for r in rows} == {r["doc_id"]: r["times"] for r in full}
+@pytest.mark.parametrize("slots", [3, 13, 4096])
+def test_mix_equals_a_plain_queue(edge_docs, slots):
+    """Finish times of all queue entries in one sorted list, served until the budget ends."""
+    docs = edge_docs.select("doc_id", "source", "text")
+    rows = mixing.mix(docs, ranges=7, slots=slots).withColumn(
+        "u", F.xxhash64(F.lit(mixing.SEED), "doc_id", "size")).collect()
+    queues = defaultdict(list)
+    for r in rows:
+        queues[r["source"]].append(((r["u"] >> 20) % 7, r["u"], r["doc_id"], r["size"], r))
+    entries = []
+    for queue in queues.values():
+        upto = 0
+        for _, u, i, size, r in sorted(queue, key=lambda x: x[:4]):
+            upto += size
+            if size:
+                entries += [((e * r["source_size"] + upto) / r["target"], r["source"] is not None,
+                             r["source"] or "", u, i, size) for e in (0, 1)]
+    budget = math.floor(sum(brute.mix_targets({s: q[0][4]["source_size"] for s, q in queues.items()})
+                            .values()) + 0.5)
+    want, served = Counter(), 0
+    for _, _, _, _, i, size in sorted(entries):
+        served += size
+        if served > budget:
+            break
+        want[i] += 1
+    assert {r["doc_id"]: r["times"] for r in rows if r["times"]} == dict(want)
 
 
 def test_mix_odd_and_empty_tables(odd_docs, no_docs):
