@@ -9,4 +9,4 @@ the work and executors do it.
 
 from tollflow.plans.models import TrafficModels
 
-__all__ = ["TrafficModels", ]
+__all__ = ["TrafficModels"]
