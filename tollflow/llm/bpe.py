@@ -19,6 +19,7 @@ import heapq
 import json
 import mmap
 import re
+import struct
 import uuid
 from collections import Counter
 
@@ -36,7 +37,7 @@ from tokenizers import Tokenizer
 from tollflow.llm.common import packed, read_table, sha256_hex, text_or_empty
 from tollflow.session import scratch_path
 
-LEXICON_WORDS = 100_000    # most frequent words that are compiled
+LEXICON_WORDS = 200_000    # most frequent words that are compiled
 MEMO = 300_000             # chunks remembered per worker at a time
 ROWS = 500                 # texts handled together in a worker
 # plain: below U+0250, where lower() and the NFC form are the library's own, and without the
@@ -94,62 +95,74 @@ class Words:
     def words(self, chunk: str) -> list[bytes]:
         if chunk.startswith("\x1c"):
             return [chunk[1:].encode()]
+        if chunk.isalpha():                            # the common cases, without the pattern
+            return [chunk.encode()]
+        if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
+            return [chunk[:-1].encode(), chunk[-1].encode()]
         return [w.encode() for w in self.pattern.findall(chunk)]
 
 
 class Merges:
-    """Exact BPE of single words from the vocabulary."""
+    """Exact BPE of single words from the vocabulary.
 
-    def __init__(self, first: dict, last: dict, pairs: dict):
-        self.first, self.last, self.pairs = first, last, pairs
+    ``ranks`` gives the rank of a pair of ids (packed into one number), ``merged``
+    the id that the merge of that rank makes.
+    """
+
+    def __init__(self, first: list, last: list, ranks: dict, merged: list):
+        self.first, self.last, self.ranks, self.merged = first, last, ranks, merged
 
     @classmethod
     def of(cls, model: dict) -> Merges:
         vocab, end, symbols = model["vocab"], model["end_of_word_suffix"] or "", byte_symbols()
-        pairs = {}
-        for rank, (a, b) in enumerate(model["merges"]):
-            pairs[vocab[a] << 32 | vocab[b]] = (rank, vocab[a + b])
-        return cls({b: vocab[s] for b, s in enumerate(symbols) if s in vocab},
-                   {b: vocab[s + end] for b, s in enumerate(symbols) if s + end in vocab}, pairs)
+        ranks = {vocab[a] << 32 | vocab[b]: rank for rank, (a, b) in enumerate(model["merges"])}
+        return cls([vocab.get(s) for s in symbols], [vocab.get(s + end) for s in symbols], ranks,
+                   [vocab[a + b] for a, b in model["merges"]])
 
     def encode(self, word: bytes) -> list[int]:
-        ids = [self.first[b] for b in word[:-1] if b in self.first]
-        if word[-1] in self.last:
-            ids.append(self.last[word[-1]])
+        first = self.first
+        ids = [first[b] for b in word[:-1]]
+        ids.append(self.last[word[-1]])
+        if None in ids:                  # a byte that the vocabulary lacks has no id
+            ids = [x for x in ids if x is not None]
         return self._short(ids) if len(ids) <= 48 else self._long(ids)
 
     def _short(self, ids: list[int]) -> list[int]:
-        get = self.pairs.get
-        while len(ids) > 1:
-            best, at = None, 0
-            for i in range(len(ids) - 1):
-                found = get(ids[i] << 32 | ids[i + 1])
-                if found is not None and (best is None or found < best):
-                    best, at = found, i
-            if best is None:
+        """Lowest rank first, leftmost among equals; only the pairs beside a merge change."""
+        get, none = self.ranks.get, len(self.merged)
+        ranks = [get(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
+        while ranks:
+            rank = min(ranks)
+            if rank == none:
                 break
-            ids[at:at + 2] = [best[1]]
+            i = ranks.index(rank)
+            ids[i:i + 2] = [self.merged[rank]]
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = get(ids[i] << 32 | ids[i + 1], none)
+            if i:
+                ranks[i - 1] = get(ids[i - 1] << 32 | ids[i], none)
         return ids
 
     def _long(self, ids: list[int]) -> list[int]:
         """The same order of merges with a heap over (rank, place)."""
-        n, get = len(ids), self.pairs.get
+        n, ranks = len(ids), self.ranks
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = []
 
         def push(i: int) -> None:
             if i >= 0 and after[i] < n:
                 key = ids[i] << 32 | ids[after[i]]
-                if key in self.pairs:
-                    heapq.heappush(heap, (get(key)[0], i, key))
+                if key in ranks:
+                    heapq.heappush(heap, (ranks[key], i, key))
         for i in range(n - 1):
             push(i)
         while heap:
-            _, i, key = heapq.heappop(heap)
+            rank, i, key = heapq.heappop(heap)
             j = after[i]
             if ids[i] < 0 or j >= n or ids[i] << 32 | ids[j] != key:
                 continue
-            ids[i], ids[j] = get(key)[1], -1
+            ids[i], ids[j] = self.merged[rank], -1
             after[i] = after[j]
             if after[j] < n:
                 before[after[j]] = i
@@ -333,7 +346,8 @@ class Codec:
             ids = dict(zip(words, lexicon.find(words)))
             for w, found in ids.items():
                 if found is None:
-                    ids[w] = np.array(merges.encode(w), "<u4").tobytes()
+                    new_ids = merges.encode(w)
+                    ids[w] = struct.pack(f"<{len(new_ids)}I", *new_ids)
             memo.update((c, b"".join([ids[w] for w in ws])) for c, ws in zip(new, split))
 
         return docs.mapInArrow(run, T.StructType([
