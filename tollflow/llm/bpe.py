@@ -271,27 +271,25 @@ class Lexicon:
 
 
 def word_counts(docs: DataFrame, config: str) -> DataFrame:
-    """(word, n) of the whole corpus; counted per partition first."""
-    def count(batches):
-        tool, seen = Words(config), Counter()
+    """(word, n) of the whole corpus.
+
+    White-space separated chunks are counted by Spark first; only the distinct
+    ones are split into words.  Chunks outside the plain characters are split as
+    they stand, which can only put a word into the lexicon that is never asked for.
+    """
+    def split(batches):
+        tool = Words(config)
         for batch in batches:
-            for text in batch["_t"]:
-                seen.update(tool.chunks(text))
-                if len(seen) > MEMO:
-                    yield emitted(tool, seen)
-                    seen = Counter()
-        yield emitted(tool, seen)
-
-    def emitted(tool, seen):
-        words = Counter()
-        for chunk, n in seen.items():
-            if chunk not in tool.special:
-                for w in tool.words(chunk):
-                    words[w] += n
-        return pd.DataFrame({"word": list(words), "n": list(words.values())})
-
-    return docs.select(text_or_empty().alias("_t")).mapInPandas(count, "word binary, n long") \
-        .groupBy("word").agg(F.sum("n").alias("n"))
+            words = Counter()
+            for chunk, n in zip(batch["chunk"], batch["n"]):
+                if chunk and chunk not in tool.special:
+                    for w in tool.words(chunk):
+                        words[w] += n
+            yield pd.DataFrame({"word": list(words), "n": list(words.values())})
+
+    chunks = docs.select(F.explode(F.split(F.lower(text_or_empty()), r"\s+")).alias("chunk")) \
+        .groupBy("chunk").agg(F.count("*").alias("n"))
+    return chunks.mapInPandas(split, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 class Codec:
