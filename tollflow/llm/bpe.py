@@ -34,10 +34,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from tollflow.llm.common import packed, read_table, sha256_hex, text_or_empty
+from tollflow.llm.common import packed, read_table, sha256_hex, stored, text_or_empty
 from tollflow.session import scratch_path
 
-LEXICON_WORDS = 200_000    # most frequent words that are compiled
+LEXICON_WORDS = 200_000    # bound on the frequent words that are compiled
 MEMO = 300_000             # chunks remembered per worker at a time
 ROWS = 500                 # texts handled together in a worker
 # plain: below U+0250, where lower() and the NFC form are the library's own, and without the
@@ -292,6 +292,26 @@ def word_counts(docs: DataFrame, config: str) -> DataFrame:
     return chunks.mapInPandas(split, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(docs: DataFrame, config: str, most: int) -> list[bytes]:
+    """At most ``most`` words: the longest run of the highest count classes that fits.
+
+    Counts fall into classes of an eighth of a power of two.  Only the sizes of
+    the classes and the chosen words leave the executors; no task gathers more.
+    """
+    rank = F.floor(F.log2("n") * 8).cast("int")
+    counts = stored(word_counts(docs, config).select("word", rank.alias("rank")), "word-counts")
+    room, least = most, None
+    for r in sorted(counts.groupBy("rank").count().collect(), key=lambda r: -r["rank"]):
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["rank"]
+    if least is None:
+        return []
+    chosen = counts.where(F.col("rank") >= least).select("word")
+    return [bytes(r["word"]) for r in chosen.collect() if r["word"]]       # at most ``most`` rows
+
+
 class Codec:
     """Encoder and decoder for one vocabulary and one corpus lexicon."""
 
@@ -304,11 +324,9 @@ class Codec:
         names = {i: t for t, i in spec["model"]["vocab"].items()}
         names.update({t["id"]: t["content"] for t in spec["added_tokens"]})
         self.names = [names.get(i, "") for i in range(max(names) + 1)]
-        # a bounded table: the lexicon_words most frequent words, ties by word
-        top = word_counts(docs, self.config).orderBy(F.desc("n"), "word").limit(lexicon_words)
-        words = [bytes(r[0]) for r in top.select("word").toLocalIterator()]
+        words = frequent_words(docs, self.config, lexicon_words)
         self.file = share_file(spark, compile_lexicon(
-            {w: self.merges.encode(w) for w in words if w}))
+            {w: self.merges.encode(w) for w in words}))
 
     def apply(self, docs: DataFrame) -> DataFrame:
         """doc -> doc, ids, decoded, in one pass.
