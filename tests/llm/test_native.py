@@ -78,6 +78,19 @@ def test_trees_judge_held_out_urls(spark):
     assert right > 0.7 and right > most + 0.05, (right, most)
 
 
+def test_rare_endings_of_a_large_table_count_whole(spark):
+    """100,000 URLs, 25 per ending: 24 that a rule decides and one that only the ending tells apart."""
+    rules = (("block", "bad.com", "/"), ("allow", "sun.com", "/"))
+    i, e = F.col("id"), F.floor(F.col("id") / 25)
+    host = F.when(i % 25 == 0, "vix.com").otherwise(F.when(e % 2 == 0, "bad.com").otherwise("sun.com"))
+    pages = spark.range(100_000).select(i.alias("page_id"), F.concat(
+        F.lit("http://"), host, F.lit("/p"), F.lpad((i * 7919 % 100_000).cast("string"), 5, "0"), F.lit("."),
+        F.when(e % 2 == 0, "e").otherwise("g"), F.lpad(e.cast("string"), 4, "0")).alias("url"))
+    got = urls.judge(pages, rules).where("rule is null").select(
+        "verdict", F.contains("path", F.lit(".e")).alias("bad")).collect()
+    assert len(got) == 4000 and all((r["verdict"] == "block") == r["bad"] for r in got)
+
+
 # ---- line dedup ----------------------------------------------------------------
 @pytest.mark.parametrize("options", [{}, {"batches": 9, "fanout": 3, "buckets": 5}, {"batches": 1}])
 def test_line_dedup_equals_brute_force(edge_docs, edge_rows, options):

@@ -20,8 +20,7 @@ from tollflow.llm.common import ascii_lower, hash_share, read_table, stored
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
          ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 MAX_LABELLED = 20_000      # labelled URLs used for fitting, chosen by hash
-MAX_SAMPLE = 60_000        # URLs, labelled or not, used for the suffix statistics, chosen by hash
-MIN_SUFFIX = 20            # a suffix needs this many sampled URLs to have statistics of its own
+MIN_SUFFIX = 20            # a suffix needs this many URLs to have a block rate of its own
 FEATURES = ("length", "host_length", "path_length", "depth", "labels", "digit_share", "hyphens",
             "entropy", "params", "query_length", "has_fragment", "secure", "suffix_share",
             "suffix_blocked", "ending_share", "ending_blocked")
@@ -72,23 +71,30 @@ def lexical(urls: DataFrame) -> DataFrame:
         F.regexp_extract("path", r"(/|\.[A-Za-z0-9]{1,8})$", 1).alias("ending"))
 
 
-def _statistics(sample: DataFrame, column: str) -> DataFrame:
-    """Per suffix: its share of the sample and the share of it that rules block (smoothed).
+def _counts(urls: DataFrame) -> DataFrame:
+    """kind (suffix, ending), value, n, labelled, b: whole counts of URLs, of labelled and of blocked ones."""
+    kinds = F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).alias("value")) for c in ("suffix", "ending")])
+    return urls.select("verdict", F.inline(kinds)).groupBy("kind", "value").agg(
+        F.count("*").alias("n"), F.count("verdict").alias("labelled"),
+        F.count(F.when(F.col("verdict") == "block", 1)).alias("b"))
 
-    At most MAX_SAMPLE / MIN_SUFFIX rows or so, which is the bound for the broadcast.
+
+def _statistics(counts: DataFrame, column: str, total: int, rate: float) -> DataFrame:
+    """Per suffix: its share of all URLs and the share of it that rules block (smoothed).
+
+    A suffix of fewer than MIN_SUFFIX URLs has the block rate of all URLs.
     """
-    total = sample.count()
-    return sample.groupBy(F.col(column).alias(f"_{column}")).agg(
-        F.count("*").alias("n"), F.sum((F.col("verdict") == "block").cast("int")).alias("b")) \
-        .where(F.col("n") >= MIN_SUFFIX).select(
-            f"_{column}", (F.col("n") / max(total, 1)).alias(f"{column}_share"),
-            ((F.coalesce("b", F.lit(0)) + 1) / (F.col("n") + 2)).alias(f"{column}_blocked"))
+    own = (F.col("b") + 1) / (F.col("n") + 2)
+    return counts.where(F.col("kind") == column).select(
+        F.col("value").alias(f"_{column}"), (F.col("n") / max(total, 1)).alias(f"{column}_share"),
+        F.when(F.col("n") >= MIN_SUFFIX, own).otherwise(rate).alias(f"{column}_blocked"))
 
 
-def _with_statistics(urls: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+def _with_statistics(urls: DataFrame, tables: dict[str, DataFrame], rate: float) -> DataFrame:
+    """Joins the tables, of any length; only a table whose files are small is broadcast."""
     for column, table in tables.items():
-        urls = urls.join(F.broadcast(table), F.col(column) == F.col(f"_{column}"), "left")
-    return urls.fillna(0.0, [f"{c}_{k}" for c in tables for k in ("share", "blocked")]) \
+        urls = urls.join(table, F.col(column) == F.col(f"_{column}"), "left")
+    return urls.fillna({**{f"{c}_share": 0.0 for c in tables}, **{f"{c}_blocked": rate for c in tables}}) \
         .drop(*[f"_{c}" for c in tables])
 
 
@@ -99,30 +105,27 @@ def judge(pages: DataFrame, rules=RULES, max_labelled: int = MAX_LABELLED,
     ``score`` is the trees' probability of block.  Only page_id and url are
     read.  A NULL or empty url is judged by the trees like any other.  Without
     labelled URLs of both verdicts the trees' place is taken by the only label
-    there is, or allow.  ``hold_out`` keeps rows from fitting.
+    there is, or allow.  Suffixes and endings are counted over all URLs; only
+    the trees are fitted on a sample.  ``hold_out`` keeps rows from both.
     """
     rule, verdict = rule_of(rules)
     known = split_url(pages).withColumns({"rule": rule, "verdict": verdict})
     urls = lexical(known)
     usable = F.lit(True) if hold_out is None else ~hold_out
-    # bounded samples, the same in every run: URLs with the smallest hashes
-    counts = known.where(usable).agg(F.count("*").alias("all"), F.count("verdict").alias("labelled")).first()
-
-    def chosen(bound: int, count: int) -> Column:
-        return hash_share("url", "page_id") < min(1.0, bound / max(count, 1))
-
-    for_fit = F.col("verdict").isNotNull() & chosen(max_labelled, counts["labelled"])
-    sample = stored(urls.where(usable).withColumns({
-        "for_fit": for_fit, "for_suffix": chosen(MAX_SAMPLE, counts["all"])})
-        .where("for_fit or for_suffix"), "url-sample")
-    tables = {c: stored(_statistics(sample.where("for_suffix"), c), f"url-{c}")
-              for c in ("suffix", "ending")}
+    counts = stored(_counts(urls.where(usable)), "url-counts")
+    whole = counts.where("kind = 'suffix'").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c)
+                                                  for c in ("n", "labelled", "b")]).first()
+    rate = whole["b"] / max(whole["n"], 1)
+    tables = {c: stored(_statistics(counts, c, whole["n"], rate), f"url-{c}") for c in ("suffix", "ending")}
+    # a bounded sample for the fit, the same in every run: labelled URLs with the smallest hashes
+    chosen = hash_share("url", "page_id") < min(1.0, max_labelled / max(whole["labelled"], 1))
+    sample = urls.where(usable & F.col("verdict").isNotNull() & chosen)
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
-    train = stored(vectors.transform(_with_statistics(sample.where("for_fit"), tables))
+    train = stored(vectors.transform(_with_statistics(sample, tables, rate))
                    .select("_features", (F.col("verdict") == "block").cast("double").alias("_block")),
                    "url-train")
     marks = {r["_block"]: r["count"] for r in train.groupBy("_block").count().collect()}
-    scored = _with_statistics(urls, tables)
+    scored = _with_statistics(urls, tables, rate)
     if len(marks) == 2:
         trees = GBTClassifier(labelCol="_block", featuresCol="_features", predictionCol="_says",
                               maxIter=20, maxDepth=4, stepSize=0.2, seed=11) \
