@@ -217,6 +217,24 @@ def test_certified_cutoffs_reject_junk_and_hold_the_risk(spark):
     assert all(r["kept"] for r in none.values())
 
 
+def test_cutoffs_use_every_label(spark):
+    """120,000 labelled documents: a stratum of 2,000 good ones is certified, cutoffs equal a plain sort."""
+    i = F.col("id")
+    stats = spark.range(120_000).select(
+        i.alias("doc_id"), F.when(i < 2000, 2000).otherwise(500).cast("long").alias("n_words"),
+        (F.lit(3000) + i * 31 % 997).alias("word_chars"), (i * 7 % 300).alias("n_symbols"),
+        F.lit(100).cast("long").alias("n_text_lines"), (i % 5).alias("n_dup_lines"),
+        (i * 13 % 50).alias("n_repeat_words"), (i * 17 % 1009).alias("n_capitals"), (i * i % 211).alias("n_punctuation"))
+    labels = stats.select("doc_id", F.lit(1).alias("quality"))
+    got = {c["stratum"]: c for c in quality_rules.certified_cutoffs(stats, labels)}
+    assert {s: c["n"] for s, c in got.items()} == {2: 118_000, 3: 2000}
+    plain = stats.select("n_words", *quality_rules._rules()).toPandas()
+    for s, c in got.items():
+        of = plain[(plain["n_words"] >= 1000) == (s == 3)]
+        for r in quality_rules.RULES:
+            assert c[r] == sorted(of[r], reverse=True)[c["k"]], (s, r)
+
+
 def test_quality_rules_odd_and_empty_tables(odd_docs, no_docs, spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert quality_rules.judge(odd_docs, labels).count() == 7

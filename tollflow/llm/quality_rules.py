@@ -15,15 +15,16 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tollflow.llm.common import WORD, any_of, hash_share, read_table, stored, text_or_empty
+from tollflow.llm.common import WORD, any_of, read_table, stored, text_or_empty
 
 SYMBOLS = r"[#*$%&|<>]"
 STRATA = (100, 300, 1000)          # word counts at which a new stratum begins
 MAX_RISK, ERROR = 0.02, 0.05
-MAX_LABELS = 100_000               # labelled rows used, chosen by hash of the doc_id
+RANGES = 1024                      # value ranges per unit of a statistic
+LAST_VALUE = 64                    # values from here on share the last range
 RULES = {
     "symbol_share": "n_symbols / word_chars",
     "dup_line_share": "n_dup_lines / n_text_lines",
@@ -95,32 +96,54 @@ def _rules() -> list[Column]:
             for r, e in RULES.items()]
 
 
+def _exceeded_by(good: DataFrame, ks: dict[int, int], ranges: int = RANGES) -> dict[int, dict]:
+    """{stratum: {rule: value}}: the value that exactly k good documents may exceed, the (k + 1)-th largest.
+
+    Equal values are counted first.  Running sums over fixed value ranges find
+    the range of the value, and only that range is summed value by value.
+    """
+    rules = F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("value")) for r in RULES])
+    k = F.lit(None).cast("long")
+    for s, allowed in ks.items():
+        k = F.when(F.col("stratum") == s, F.lit(allowed).cast("long")).otherwise(k)
+    counts = stored(good.where(F.col("stratum").isin(list(ks))).select("stratum", F.inline(rules))
+                    .groupBy("stratum", "rule", "value").agg(F.count("*").alias("n"))
+                    .withColumn("range", F.floor(F.least("value", F.lit(float(LAST_VALUE))) * ranges)),
+                    "rule-values")
+    by = ["stratum", "rule"]
+    down = lambda c: Window.partitionBy(*by).orderBy(F.col(c).desc()).rowsBetween(
+        Window.unboundedPreceding, 0)
+    reached = counts.groupBy(*by, "range").agg(F.sum("n").alias("n")) \
+        .withColumn("upto", F.sum("n").over(down("range"))).where(F.col("upto") > k) \
+        .groupBy(*by).agg(F.max(F.struct("range", (F.col("upto") - F.col("n")).alias("above"))).alias("m")) \
+        .select(*by, "m.range", "m.above")
+    found = counts.join(reached, [*by, "range"]) \
+        .withColumn("upto", F.col("above") + F.sum("n").over(down("value"))).where(F.col("upto") > k) \
+        .groupBy(*by).agg(F.max("value").alias("value")).collect()
+    return {s: {r["rule"]: r["value"] for r in found if r["stratum"] == s} for s in ks}
+
+
 def certified_cutoffs(stats: DataFrame, labels: DataFrame, max_risk: float = MAX_RISK,
-                      error: float = ERROR, max_labels: int = MAX_LABELS) -> list[dict]:
+                      error: float = ERROR) -> list[dict]:
     """[{stratum, n, k, <rule>: cutoff}] for the strata where a cutoff is certified.
 
-    Labels with quality NULL are ignored; a document labelled both ways counts
-    as bad.  At most about ``max_labels`` labelled documents are used.
+    Every labelled document is used.  Labels with quality NULL are ignored; a
+    document labelled both ways counts as bad.
     """
     marks = labels.where("quality is not null and doc_id is not null") \
-        .groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    part = min(1.0, max_labels / max(marks.count(), 1))
-    chosen = marks.where(hash_share("doc_id") < part).withColumnRenamed("doc_id", "_id")
-    held = stored(stats.join(chosen, F.col("doc_id") == F.col("_id")).select(
+        .groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("quality"))
+    held = stored(stats.join(marks, F.col("doc_id") == F.col("_id")).select(
         stratum(F.col("n_words")).alias("stratum"), "quality", *_rules()), "rule-holdout")
-    good = held.where("quality = 1").groupBy("stratum").count().collect()
+    good = held.where("quality = 1")
     tests = len(RULES) * (len(STRATA) + 1)
     ks = {r["stratum"]: (r["count"], allowed_failures(r["count"], max_risk / len(RULES),
-                                                      error / tests)) for r in good}
-    ks = {s: nk for s, nk in ks.items() if nk[1] >= 0}
-    out = []
-    for s, (n, k) in sorted(ks.items()):
-        of = held.where((F.col("stratum") == s) & (F.col("quality") == 1))
-        # the value that exactly k good documents may exceed: the (k + 1)-th largest
-        row = of.agg(*[F.get(F.sort_array(F.collect_list(r), asc=False), F.lit(k)).alias(r)
-                       for r in RULES]).first()
-        out.append({"stratum": s, "n": n, "k": k, **row.asDict()})
-    return out
+                                                      error / tests))
+          for r in good.groupBy("stratum").count().collect()}
+    ks = {s: nk for s, nk in sorted(ks.items()) if nk[1] >= 0}
+    if not ks:
+        return []
+    values = _exceeded_by(good, {s: k for s, (_, k) in ks.items()})
+    return [{"stratum": s, "n": n, "k": k, **values[s]} for s, (n, k) in ks.items()]
 
 
 def judge(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
