@@ -167,6 +167,11 @@ def test_simhash_odd_and_empty_tables(odd_docs, no_docs):
     ("a < b <3", "a < b <3"), ("<dl><dt>k<dd>v<dt>l<dd>w</dl>", "k\nv\nl\nw"),
     ("<div>" * 3000 + "deep" + "</div>" * 10, "deep"),
     ("<table><tr><td>" * 60 + "deep", "deep"), ("<p><!-- open", ""), ("x<script>never closed", "x"),
+    ("<table><colgroup><col><col><tr><td>A</table>", "A"),
+    ("<table><colgroup><col>\n<thead><tr><th>N<th>M<tbody><tr><td>a<td>b</table>z", "N  M\na  b\n\nz"),
+    ("<table><colgroup><col><colgroup><col></colgroup>loose<tr><td>A</table>", "loose\nA"),
+    ("<head><title>T</title>Hello world<p>x", "Hello world\n\nx"),
+    ("<head> <title>T</title>\n<meta>&nbsp;a</head><body>b", "\u00a0a\nb"),
 ])
 def test_render(source, text):
     assert html_text.render(source) == text

@@ -20,6 +20,8 @@ from tollflow.llm.common import read_table
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 IN_HEAD = frozenset("title meta link style script base noscript template".split())
+# open elements that end at the first tag they cannot hold, or at text other than spaces
+ONLY_HOLDS = {"head": IN_HEAD, "colgroup": frozenset(("col", "template"))}
 RAW = frozenset("script style textarea title".split())       # text up to the own end tag
 HIDDEN = frozenset("head script style template noscript iframe object svg math datalist "
                    "audio video canvas title input".split())
@@ -63,6 +65,8 @@ class TreeBuilder:
         self.stack, self.open = [self.root], Counter()
 
     def text(self, s: str) -> None:
+        if self.stack[-1].name in ONLY_HOLDS and SPACE.sub("", s):
+            self._cut(len(self.stack) - 1)
         top = self.stack[-1]
         if top.name == "pre" and not top.children and s.startswith("\n"):
             s = s[1:]
@@ -77,7 +81,7 @@ class TreeBuilder:
     def start(self, name: str, attrs: dict) -> None:
         if name == "html" or (name == "body" and self.open["body"]):
             return
-        if self.stack[-1].name == "head" and name not in IN_HEAD:
+        if name not in ONLY_HOLDS.get(self.stack[-1].name, (name,)):
             self._cut(len(self.stack) - 1)
         closes = [c for c in CLOSES.get(name, ()) if self.open[c]]
         if closes:
