@@ -170,6 +170,10 @@ def test_simhash_odd_and_empty_tables(odd_docs, no_docs):
     ("<table><colgroup><col><col><tr><td>A</table>", "A"),
     ("<table><colgroup><col>\n<thead><tr><th>N<th>M<tbody><tr><td>a<td>b</table>z", "N  M\na  b\n\nz"),
     ("<table><colgroup><col><colgroup><col></colgroup>loose<tr><td>A</table>", "loose\nA"),
+    ("a <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>tex</annotation></math> b", "a x=1 b"),
+    ("<svg><title>t</title><defs><text>d</text></defs><path d='M0'/><text>A</text><text>B</text></svg>z", "A B z"),
+    ("<svg viewBox='0'/>a<svg><title/><defs id='a=b'/><g fill=x/><defs /><text>b</text><style>s</style></svg>", "a b"),
+    ("<desc>a</desc><span aria-hidden='true'>b</span><i hidden>c</i>", "ab"),
     ("<head><title>T</title>Hello world<p>x", "Hello world\n\nx"),
     ("<head> <title>T</title>\n<meta>&nbsp;a</head><body>b", "\u00a0a\nb"),
 ])

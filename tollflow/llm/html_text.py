@@ -3,7 +3,8 @@
 A small tree builder opens and closes elements with the implied end tags of
 HTML, then a renderer walks the tree: hidden elements give nothing, block
 elements start on new lines, list items carry their marker, and table cells
-are padded so that columns line up.
+are padded so that columns line up.  Text of formulas and drawings is shown,
+and so is text that is hidden from screen readers only (aria-hidden).
 """
 
 from __future__ import annotations
@@ -23,8 +24,11 @@ IN_HEAD = frozenset("title meta link style script base noscript template".split(
 # open elements that end at the first tag they cannot hold, or at text other than spaces
 ONLY_HOLDS = {"head": IN_HEAD, "colgroup": frozenset(("col", "template"))}
 RAW = frozenset("script style textarea title".split())       # text up to the own end tag
-HIDDEN = frozenset("head script style template noscript iframe object svg math datalist "
+HIDDEN = frozenset("head script style template noscript iframe object datalist "
                    "audio video canvas title input".split())
+# what a drawing or a formula holds but does not show
+NOT_DRAWN = {"svg": frozenset("desc defs symbol metadata clippath mask marker pattern".split()),
+             "math": frozenset(("annotation", "annotation-xml"))}
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 header hgroup html legend li main menu nav ol p pre "
@@ -78,7 +82,8 @@ class TreeBuilder:
             self.open[node.name] -= 1
         del self.stack[at:]
 
-    def start(self, name: str, attrs: dict) -> None:
+    def start(self, name: str, attrs: dict, empty: bool = False) -> None:
+        """``empty``: the tag ends in a slash, which only counts in drawings and formulas."""
         if name == "html" or (name == "body" and self.open["body"]):
             return
         if name not in ONLY_HOLDS.get(self.stack[-1].name, (name,)):
@@ -93,9 +98,13 @@ class TreeBuilder:
                     break
             if cut:
                 self._cut(cut)
+        if any(self.open[k] and name in names for k, names in NOT_DRAWN.items()):
+            attrs = {**attrs, "hidden": ""}
         node = Node(name, attrs)
+        if name == "text" and self.open["svg"]:    # labels stand apart
+            self.stack[-1].children.append(" ")
         self.stack[-1].children.append(node)
-        if name not in VOID and name not in RAW:
+        if name not in VOID and name not in RAW and not (empty and self.foreign(name)):
             self.stack.append(node)
             self.open[name] += 1
 
@@ -107,6 +116,19 @@ class TreeBuilder:
             while self.stack[at].name != name:
                 at -= 1
             self._cut(at)
+            if name == "text" and self.open["svg"]:
+                self.stack[-1].children.append(" ")
+
+    def foreign(self, name: str) -> bool:
+        return name in NOT_DRAWN or any(self.open[k] for k in NOT_DRAWN)
+
+
+def _ends_itself(attrs: str) -> bool:
+    """The tag's last sign is a slash that does not belong to a value without quotes."""
+    if not attrs.endswith("/"):
+        return False
+    at = max(map(attrs.rfind, " \t\n\r\f\"'")) + 1
+    return "=" not in attrs[at:] and (attrs[at:] == "/" or not attrs[:at].rstrip().endswith("="))
 
 
 def parse(source: str) -> Node:
@@ -132,8 +154,9 @@ def parse(source: str) -> Node:
         if m["attrs"]:
             for k, v in ATTR.findall(m["attrs"]):
                 attrs.setdefault(k.lower(), v[1:-1] if v[:1] in ("'", '"') else v)
-        tree.start(name, attrs)
-        if name in RAW:                            # text up to the element's own end tag
+        empty = _ends_itself(m["attrs"])
+        tree.start(name, attrs, empty)
+        if name in RAW and not (empty and tree.foreign(name)):                            # text up to the element's own end tag
             stop = re.compile(f"</{name}(?=[\\s/>])", re.I).search(source, at)
             if name == "textarea":
                 tree.stack[-1].children[-1].children.append(
@@ -145,7 +168,7 @@ def parse(source: str) -> Node:
 
 def _hidden(node: Node) -> bool:
     a = node.attrs
-    return (node.name in HIDDEN or "hidden" in a or a.get("aria-hidden", "").lower() == "true"
+    return (node.name in HIDDEN or "hidden" in a
             or ("style" in a and GONE.search(html.unescape(a["style"])) is not None)
             or (node.name == "dialog" and "open" not in a))
 
