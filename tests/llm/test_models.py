@@ -50,6 +50,17 @@ def test_fit_uses_no_held_out_label(spark):
     assert ids and all(quality_rank.crc_class(i) == 2 for i in ids)
 
 
+def test_repeated_rows_of_a_document_weigh_once(spark):
+    """The model is the same when the rows of one id come many times."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    often = labels.where("quality is not null").where(~quality_rank.held_out(F.col("doc_id"))) \
+        .agg(F.min("doc_id")).first()[0]
+    again = docs.where(F.col("doc_id") == often).withColumn("_", F.explode(F.sequence(F.lit(1), F.lit(300)))).drop("_")
+    assert again.count() == 300
+    assert quality_rank.fit(docs.unionAll(again), labels) == quality_rank.fit(docs, labels)
+
+
 def test_scores_of_odd_and_empty_tables(spark, edge_docs, odd_docs, no_docs):
     labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
     model = quality_rank.fit(edge_docs, labels)

@@ -235,6 +235,16 @@ def test_cutoffs_use_every_label(spark):
             assert c[r] == sorted(of[r], reverse=True)[c["k"]], (s, r)
 
 
+def test_cutoffs_count_a_repeated_document_once(spark):
+    i = F.col("id")
+    names = {c: (i * 7 % 100 + 1).alias(c) for c in quality_rules.COUNTS}
+    stats = spark.range(3000).select(i.alias("doc_id"), *names.values())
+    labels = stats.select("doc_id", F.lit(1).alias("quality"))
+    again = stats.where("doc_id = 5").withColumn("_", F.explode(F.sequence(F.lit(1), F.lit(2000)))).drop("_")
+    once = quality_rules.certified_cutoffs(stats, labels)
+    assert once and quality_rules.certified_cutoffs(stats.unionAll(again), labels) == once
+
+
 def test_quality_rules_odd_and_empty_tables(odd_docs, no_docs, spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert quality_rules.judge(odd_docs, labels).count() == 7

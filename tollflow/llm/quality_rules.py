@@ -25,6 +25,8 @@ STRATA = (100, 300, 1000)          # word counts at which a new stratum begins
 MAX_RISK, ERROR = 0.02, 0.05
 RANGES = 1024                      # value ranges per unit of a statistic
 LAST_VALUE = 64                    # values from here on share the last range
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_text_lines", "n_dup_lines", "n_capitals",
+          "n_punctuation", "n_repeat_words")
 RULES = {
     "symbol_share": "n_symbols / word_chars",
     "dup_line_share": "n_dup_lines / n_text_lines",
@@ -128,11 +130,14 @@ def certified_cutoffs(stats: DataFrame, labels: DataFrame, max_risk: float = MAX
     """[{stratum, n, k, <rule>: cutoff}] for the strata where a cutoff is certified.
 
     Every labelled document is used.  Labels with quality NULL are ignored; a
-    document labelled both ways counts as bad.
+    document labelled both ways counts as bad.  Rows that share a doc_id count
+    as one document, the one with the smallest counts in the order of COUNTS.
     """
     marks = labels.where("quality is not null and doc_id is not null") \
         .groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("quality"))
-    held = stored(stats.join(marks, F.col("doc_id") == F.col("_id")).select(
+    once = stats.where("doc_id is not null").groupBy("doc_id") \
+        .agg(F.min(F.struct(*COUNTS)).alias("_least")).select("doc_id", "_least.*")
+    held = stored(once.join(marks, F.col("doc_id") == F.col("_id")).select(
         stratum(F.col("n_words")).alias("stratum"), "quality", *_rules()), "rule-holdout")
     good = held.where("quality = 1")
     tests = len(RULES) * (len(STRATA) + 1)
