@@ -49,6 +49,14 @@ def ascii_lower(c: Column) -> Column:
         F.translate(c, UPPER, LOWER))
 
 
+def finite_vector(name: str = "embedding") -> Column:
+    """The vector as doubles; NULL where it is NULL, empty or holds a NULL or non-finite component."""
+    value = F.col(name).cast("array<double>")
+    whole = (F.size(value) > 0) & F.forall(
+        value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return F.when(F.coalesce(whole, F.lit(False)), value)
+
+
 def hash_share(*columns: str) -> Column:
     """A number in [0, 1) that depends on the columns only, for samples that reruns repeat."""
     return F.pmod(F.xxhash64(*columns), F.lit(1 << 53)) / float(1 << 53)

@@ -12,6 +12,7 @@ from tollflow.llm.quality_rules import op10_quality_rules
 from tollflow.llm.secrets import op1_secret_scans
 from tollflow.llm.simhash import op6_simhash_near_dedup
 from tollflow.llm.urls import op2_url_filters
+from tollflow.llm.whitening import op11_embedding_whitening
 
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_bpe_encoding": op8_bpe_encoding,
     "op9_source_mixing": op9_source_mixing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_embedding_whitening": op11_embedding_whitening,
 }
 
 ORACLE_SQL = {"op3_line_dedup": OP3_SQL}
