@@ -7,6 +7,7 @@ from tollflow.llm.embed_dedup import op5_embedding_near_dedup
 from tollflow.llm.html_text import op7_html_extraction
 from tollflow.llm.line_dedup import OP3_SQL, op3_line_dedup
 from tollflow.llm.mixing import op9_source_mixing
+from tollflow.llm.neighbours import op12_nearest_neighbours
 from tollflow.llm.quality_rank import op4_quality_classifier
 from tollflow.llm.quality_rules import op10_quality_rules
 from tollflow.llm.secrets import op1_secret_scans
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_source_mixing": op9_source_mixing,
     "op10_quality_rules": op10_quality_rules,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_nearest_neighbours": op12_nearest_neighbours,
 }
 
 ORACLE_SQL = {"op3_line_dedup": OP3_SQL}
