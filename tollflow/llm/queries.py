@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tollflow.llm.bpe import op8_bpe_encoding
 from tollflow.llm.embed_dedup import op5_embedding_near_dedup
+from tollflow.llm.hard_negatives import op13_hard_negatives
 from tollflow.llm.html_text import op7_html_extraction
 from tollflow.llm.line_dedup import OP3_SQL, op3_line_dedup
 from tollflow.llm.mixing import op9_source_mixing
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_embedding_whitening": op11_embedding_whitening,
     "op12_nearest_neighbours": op12_nearest_neighbours,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE_SQL = {"op3_line_dedup": OP3_SQL}
