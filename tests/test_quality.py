@@ -80,3 +80,29 @@ def test_all_checks_reports_seeded_violations(spark):
     assert got[("valid_dates", "fact_traffic", None)] == 1
     assert got[("not_null", "fact_traffic", "vehicle_class")] == 1
     assert got[("unique", "dim_time", "toll_date")] == 0
+
+
+def test_violating_rows_carry_their_checks(spark):
+    from tests.conftest import make_raw, raw_row
+    from tollflow.operators import quality
+    from tollflow.plans.models import TrafficModels
+    rows = [raw_row(), raw_row(entries=-1, vclass=None), raw_row(vclass="9 - Sleds", excluded=-2),
+            raw_row(day="2999-01-01", entries=None)]
+    fact = TrafficModels(make_raw(spark, rows)).fact_traffic
+    sound, bad = quality.split(quality.tagged("fact_traffic", fact))
+    assert sound.columns == fact.columns and sound.count() == 1
+    assert sorted(tuple(sorted(r["broken"])) for r in bad.collect()) == [
+        ("non_negative", "not_null:vehicle_class"), ("non_negative", "vehicle_classes"),
+        ("not_null:entries", "valid_dates")]
+    plan = bad._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("Scan") == 1
+
+
+def test_repeated_keys_are_tagged_on_every_row(spark):
+    from tollflow.operators import quality
+    dim = spark.createDataFrame([("a", "x"), ("a", None), ("b", "y"), (None, "z"), (None, "z")],
+                                "detection_region string, full_name string")
+    got = sorted((str(r[0]), str(r[1]), r["broken"]) for r in quality.tagged("dim_locations", dim).collect())
+    assert got == [("None", "z", ["not_null:detection_region"])] * 2 + [
+        ("a", "None", ["not_null:full_name", "unique:detection_region"]),
+        ("a", "x", ["unique:detection_region"]), ("b", "y", [])]

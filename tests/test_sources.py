@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL, bag, make_raw, raw_row
-from tollflow.schema import RAW_FIELDS
+from tollflow.operators import audits
 from tollflow.plans import daily
+from tollflow.schema import RAW_FIELDS
 from tollflow.sources import files, pages
 from tollflow.sources.fixture import load_raw
 
@@ -156,3 +157,58 @@ def test_daily_files_are_found_by_the_date_in_their_name(spark, tmp_path):
     assert [tuple(r) for r in report] == [(dt.date(2025, 2, 2), 1)]
     rows = files.read_raw(spark, str(tmp_path / "raw")).collect()
     assert [r["toll_date"].date() for r in rows] == [dt.date(2025, 2, 2)]
+
+
+# ---- pages found one from the other, one page a file, statistics from footers -------------
+def test_walked_pages_hold_every_row_once_and_in_order(spark):
+    rows = [raw_row(day=d, hour=h, entries=e) for d in ("2025-02-01", None, "2025-02-03")
+            for h in (1, 5) for e in (3, 3, 3, 3, 3, 9)] + [raw_row(region=None), raw_row(region="A")]
+    raw = make_raw(spark, rows)
+    for top in (1, 4, 100):
+        walked = [[tuple(r) for r in p.orderBy(*pages._total_order(p, ("toll_date", "toll_hour"))).collect()]
+                  for p in pages.walk_pages(raw, top)]
+        assert [len(p) for p in walked[:-1]] == [top] * (len(walked) - 1)
+        assert [r for p in walked for r in p] == [tuple(r) for r in pages.ordered(raw).collect()]
+    assert list(pages.walk_pages(raw.limit(0), 5)) == []
+
+
+def test_next_page_pushes_its_key_to_the_scan(spark, tmp_path):
+    files.write_raw(make_raw(spark, [raw_row(day=f"2025-02-{d:02}") for d in range(1, 9)]), str(tmp_path / "raw"))
+    raw = files.read_raw(spark, str(tmp_path / "raw"))
+    _, token = pages.next_page(raw, 4)
+    rest = raw.where(pages._from_key(raw.columns, token["key"]))
+    plan = rest._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(toll_date,2025-02-04T00:00" in plan
+    page, token = pages.next_page(raw, 4, token)
+    assert sorted(r["toll_date"].day for r in page.collect()) == [5, 6, 7, 8]
+    assert pages.next_page(raw, 4, token)[1] is None
+
+
+def test_one_page_a_file(spark, tmp_path):
+    """Pretty-printed pages, a cut one, an empty one and one that is no page."""
+    import json
+    good = json.dumps({"value": [{"toll_date": "2025-01-05T00:00:00.000", "crz_entries": "7"}] * 3}, indent=2)
+    texts = {"a": good, "b": good[:60], "c": '{\n "value": []\n}', "d": "[1,\n2]", "e": '{"next": 1}'}
+    pages.land_page_files(spark.createDataFrame(list(texts.items()), "page_name string, text string"),
+                          str(tmp_path / "in"))
+    assert len(list((tmp_path / "in").glob("page_name=*/*.txt"))) == 5
+    records, rejects = pages.read_pages_checked(spark, str(tmp_path / "in"), multi_line=True)
+    assert records.count() == 3
+    bad = rejects.collect()
+    assert {r["failed_fields"] for r in bad} == {pages.BAD_PAGE}
+    assert {r["file_path"].split("page_name=")[1][0] for r in bad} == {"b", "d", "e"}
+
+
+def test_statistics_come_from_footers(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    rows = [raw_row(day="2025-02-01", entries=3), raw_row(day="2025-02-01", entries=None),
+            raw_row(day="2025-02-02", entries=None), raw_row(day=None, entries=8)]
+    files.write_raw(make_raw(spark, rows), path)
+    stats = files.raw_statistics(spark, path)
+    got = {r["toll_date"]: tuple(r)[1:] for r in stats.collect()}
+    assert got == {dt.date(2025, 2, 1): (2, 1), dt.date(2025, 2, 2): (1, 0), None: (1, 1)}
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), COUNT(crz_entries)]" in plan
+    whole = audits.completeness(make_raw(spark, rows)).first()
+    assert audits.completeness_of(stats).first() == whole
+    assert audits.completeness_of(stats.limit(0)).first() == audits.completeness(make_raw(spark, [])).first()

@@ -84,3 +84,22 @@ def test_stream_keeps_rows_without_a_date(spark, tmp_path):
     files.write_daily(make_raw(spark, [raw_row(day=None), raw_row(day="2025-02-01")]), landing)
     run_landing_load(spark, landing, raw_path, ckpt)
     assert files.read_raw(spark, raw_path).count() == 2
+
+
+def test_stopped_page_load_goes_on_and_adds_nothing_twice(spark, tmp_path):
+    """The run ends between a batch's write and its commit; that batch is written again."""
+    import pytest
+
+    from tollflow.sources import pages
+    from tollflow.streaming.landing import LoadStopped, read_page_load, run_page_load
+    raw = load_raw(spark, SF_SMALL)
+    pages_dir, out, ckpt = (str(tmp_path / n) for n in ("pages", "out", "ckpt"))
+    pages.land_pages(raw.repartition(5), pages_dir, page_rows=50)
+    with pytest.raises(LoadStopped):
+        run_page_load(spark, pages_dir, out, ckpt, files_per_batch=2, stop_after=1)
+    part = read_page_load(spark, out).count()
+    assert 0 < part < raw.count()
+    run_page_load(spark, pages_dir, out, ckpt, files_per_batch=2)
+    assert bag(read_page_load(spark, out)) == bag(raw)
+    run_page_load(spark, pages_dir, out, ckpt, files_per_batch=2)
+    assert bag(read_page_load(spark, out)) == bag(raw)

@@ -37,3 +37,11 @@ def loaded_dates(records: DataFrame, date_col: str = "toll_date") -> DataFrame:
 def row_count(df: DataFrame, table: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count")).select(
         F.lit(table).alias("table_name"), "row_count")
+
+
+def completeness_of(counts: DataFrame) -> DataFrame:
+    """``completeness`` from per-date counts (toll_date, records), such as ``files.raw_statistics``."""
+    return counts.agg(
+        F.coalesce(F.sum("records"), F.lit(0)).alias("total_records"),
+        F.count("toll_date").alias("unique_dates"),
+        F.min("toll_date").alias("min_date"), F.max("toll_date").alias("max_date"))

@@ -49,44 +49,50 @@ def time_periods(dim_t: DataFrame) -> DataFrame:
     return dim_t.select("month", "day_of_week_name").distinct()
 
 
-def dim_filters(domain: DataFrame, dim_t: DataFrame,
-                            dedupe: bool = False) -> DataFrame:
-    """Filter bridge rows (filter_type, filter_value, filter_display).
+def staging_filter_rows(frame: DataFrame, *keep) -> DataFrame:
+    """The ``keep`` columns with each of the four filter rows that a staging key offers.
 
-    Bag semantics as in the reference (Q2): a month appears once per weekday it
-    has, a weekday once per month, a borough once per region; ``dedupe=True``
-    gives a set instead.  Two aggregations instead of six DISTINCT branches.
-
-    ``domain`` holds the staging keys (detection_region, vehicle_class, hour).
-    Four branches come from one explode of each domain row into tagged
-    (type, value, display, key) rows and one DISTINCT: the key is the region
-    for the borough and location branches, so a borough is kept once per
-    region (the reference's bag, Q2), and NULL otherwise.  The two calendar
-    branches come from the distinct (month, weekday) pairs.
+    ``frame`` holds detection_region, vehicle_class and hour.  ``_key`` is the
+    region for the borough and location rows, so a borough is kept once per
+    region (the reference's bag, Q2), and NULL otherwise.
     """
     region = F.col("detection_region")
     borough = C.borough_of(region)
 
-    def tag(kind, value, display, key):
+    def tag(kind, value, key):
         return F.struct(F.lit(kind).alias("filter_type"), value.alias("filter_value"),
-                        display.alias("filter_display"), key.alias("_key"))
+                        value.alias("filter_display"), key.alias("_key"))
 
     none = F.lit(None).cast("string")
-    keyed = domain.select(F.inline(F.array(
-        tag("vehicle_class", F.col("vehicle_class"), F.col("vehicle_class"), none),
-        tag("borough", borough, borough, region),
-        tag("location", region, region, region),
-        tag("hour", C.to_text("hour"), C.to_text("hour"), none),
+    keyed = frame.select(*keep, F.inline(F.array(
+        tag("vehicle_class", F.col("vehicle_class"), none),
+        tag("borough", borough, region),
+        tag("location", region, region),
+        tag("hour", C.to_text("hour"), none),
     )))
-    keyed = keyed.where((F.col("filter_type") != "borough") | F.col("filter_value").isNotNull())
-    key_rows = keyed.distinct().drop("_key")
-    periods = time_periods(dim_t)
-    cal_rows = periods.select(F.inline(F.array(
+    return keyed.where((F.col("filter_type") != "borough") | F.col("filter_value").isNotNull())
+
+
+def calendar_filter_rows(dim_t: DataFrame) -> DataFrame:
+    """Month and weekday rows of each distinct (month, weekday) of the calendar."""
+    return time_periods(dim_t).select(F.inline(F.array(
         F.struct(F.lit("month").alias("filter_type"), C.to_text("month").alias("filter_value"),
                  C.to_text("month").alias("filter_display")),
         F.struct(F.lit("day_of_week").alias("filter_type"),
                  F.col("day_of_week_name").alias("filter_value"),
                  F.col("day_of_week_name").alias("filter_display")),
     )))
-    out = key_rows.unionByName(cal_rows)
+
+
+def dim_filters(domain: DataFrame, dim_t: DataFrame, dedupe: bool = False) -> DataFrame:
+    """Filter bridge rows (filter_type, filter_value, filter_display).
+
+    Bag semantics as in the reference (Q2): a month appears once per weekday it
+    has, a weekday once per month, a borough once per region; ``dedupe=True``
+    gives a set instead.  Two aggregations instead of six DISTINCT branches: the
+    four staging branches come from one explode of the ``domain`` rows and one
+    DISTINCT, the two calendar branches from the distinct (month, weekday) pairs.
+    """
+    key_rows = staging_filter_rows(domain).distinct().drop("_key")
+    out = key_rows.unionByName(calendar_filter_rows(dim_t))
     return out.distinct() if dedupe else out

@@ -82,6 +82,34 @@ def singular_counts() -> dict[str, Column]:
             "non_negative": _rows(_negative()), "valid_dates": _rows(_future())}
 
 
+# ---- violating rows ----------------------------------------------------------------
+def row_checks(table: str) -> dict[str, Column]:
+    """Check name -> condition under which a row of ``table`` violates it (``unique`` is not one row's)."""
+    checks = {f"not_null:{c}": F.col(c).isNull() for c in NOT_NULL_COLUMNS.get(table, ())}
+    if table == "fact_traffic":
+        checks |= {"peak_hours": _bad_hour(), "vehicle_classes": _bad_class(),
+                   "non_negative": _negative(), "valid_dates": _future()}
+    return checks
+
+
+def tagged(table: str, df: DataFrame, name: str = "broken") -> DataFrame:
+    """``df`` with the list of checks that each row violates, and for unique columns of ``table``
+    ``unique:<column>`` on every row of a repeated value; no shuffle where no column is unique."""
+    checks = row_checks(table)
+    found = [F.when(c, F.lit(n)) for n, c in checks.items()]
+    out = df
+    for i, c in enumerate(UNIQUE_COLUMNS.get(table, ())):
+        twice = duplicate_keys(df, c).select(F.col(c).alias(f"_key{i}"))
+        out = out.join(twice, F.col(c) == F.col(f"_key{i}"), "left")
+        found.append(F.when(F.col(f"_key{i}").isNotNull(), F.lit(f"unique:{c}")))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], F.array_compact(F.array(*found)).alias(name))
+
+
+def split(rows: DataFrame, name: str = "broken") -> tuple[DataFrame, DataFrame]:
+    """(sound rows without the list, quarantined rows with it) of ``tagged``."""
+    return rows.where(F.size(name) == 0).drop(name), rows.where(F.size(name) > 0)
+
+
 # ---- one pass per table -----------------------------------------------------------
 def table_checks(table: str, df: DataFrame, columns: list[str], singular: bool = False,
                  weight: str | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ Under the marts folder:
   date (``_day=``); rows without a date have a folder of their own;
 * ``dashboard_traffic``: one folder per filter type and date (``_type=/_day=``);
 * ``dim_time``, ``dim_locations``, ``dim_filters``: whole tables;
+* ``_filter_counts``: reference counts from which a run makes these three;
 * ``_build_record``: per date, which raw files it was built from (count, bytes,
   latest change), with which options, and how many rows went into the fact.
 
@@ -17,14 +18,16 @@ finds the dates that are not finished, and rebuilds them as a whole.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollflow.operators import dashboard as D
-from tollflow.operators import quality
+from tollflow.operators import dims, quality
 from tollflow.operators.kpi import kpi_congestion
+from tollflow.plans import filter_counts
 from tollflow.plans.models import TrafficModels
 from tollflow.session import scratch_path
 from tollflow.sources import files
@@ -34,6 +37,8 @@ TABLES = ("dim_time", "dim_locations", "dim_filters", "fact_traffic", "kpi_conge
 PARTS = {"fact_traffic": ["_day"], "kpi_congestion": ["_day"], "_rollup": ["_day"],
          "_metrics": ["_day"], "dashboard_traffic": ["_type", "_day"]}
 RECORD = "_build_record"
+COUNTS = "_filter_counts"
+VIOLATIONS = "_violations"
 RECORD_SCHEMA = ("day date, n_files long, n_bytes long, modified timestamp, fact_rows long, "
                  "peak_scope string, dedupe_filters boolean, built_at timestamp")
 
@@ -90,6 +95,39 @@ def register(spark: SparkSession, marts: str, database: str) -> None:
             spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
 
 
+def publish(spark: SparkSession, raw_path: str, root: str, database: str, peak_scope: str = "date",
+            dedupe_filters: bool = False) -> str:
+    """Build all marts in a fresh folder under ``root``, test them, and only then show them.
+
+    Readers of ``database`` see views, each of which is replaced in one catalog
+    call: a table's old rows or its new rows, never a part of either, and
+    nothing that failed a declared test.  Returns the folder; earlier ones stay
+    until ``drop_unpublished``, so queries that began before the switch end.
+    """
+    fresh = f"{root.rstrip('/')}/build-{uuid.uuid4().hex[:12]}"
+    build(spark, raw_path, fresh, peak_scope, dedupe_filters)
+    require_checks(spark, fresh)
+    switch(spark, fresh, database)
+    return fresh
+
+
+def switch(spark: SparkSession, marts: str, database: str) -> None:
+    """Let the views of ``database`` read the marts in ``marts``."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name in TABLES:
+        columns = ", ".join(f"`{c}`" for c in read_table(spark, marts, name).columns)
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS "
+                  f"SELECT {columns} FROM parquet.`{path_of(marts, name)}`")
+
+
+def drop_unpublished(spark: SparkSession, root: str, keep: list[str]) -> None:
+    """Delete the build folders under ``root`` that are not in ``keep``."""
+    kept = {k.rstrip("/").rsplit("/", 1)[-1] for k in keep}
+    for name in files.folder_names(spark, root):
+        if name.startswith("build-") and name not in kept:
+            files.delete(spark, f"{root.rstrip('/')}/{name}")
+
+
 def staging_views(models: TrafficModels) -> None:
     """Staging as views, not tables."""
     models.stg_entries.createOrReplaceTempView("stg_entries")
@@ -168,21 +206,31 @@ def build(spark: SparkSession, raw_path: str, marts: str, peak_scope: str = "dat
     small = TrafficModels(None, rollup=read_table(spark, marts, "_rollup"), **options)
     write_table(kpi_congestion(read_table(spark, marts, "fact_traffic")), marts, "kpi_congestion")
     write_table(small.metrics_with_peak, marts, "_metrics")
-    for name in ("dim_time", "dim_locations", "dim_filters"):
-        write_table(getattr(small, name), marts, name)
+    counts = path_of(marts, COUNTS)
+    filter_counts.apply(spark, counts, small.rollup, None)
+    for name, df in dimensions(spark, counts, dedupe_filters).items():
+        write_table(df, marts, name)
     write_table(D.dashboard_traffic(read_table(spark, marts, "_metrics"),
                                     read_table(spark, marts, "dim_filters")),
                 marts, "dashboard_traffic")
     _append_record(spark, listing, marts, None, small)
 
 
+def dimensions(spark: SparkSession, counts: str, dedupe_filters: bool) -> dict[str, DataFrame]:
+    """The three dimensions from the reference counts, the filter table last."""
+    return {"dim_time": dims.dim_time(filter_counts.date_bounds(spark, counts)),
+            "dim_locations": dims.dim_locations(filter_counts.regions(spark, counts)),
+            "dim_filters": filter_counts.dim_filters(spark, counts, dedupe_filters)}
+
+
 def update(spark: SparkSession, raw_path: str, marts: str, dates: list, peak_scope: str = "date",
            dedupe_filters: bool = False) -> None:
     """Rebuild ``dates`` in every mart, as a full build would leave them.
 
-    Tables that depend on one date are rewritten for these dates.  The filter
-    table depends on all dates; it comes from the small written rollup, and
-    only the filter types whose rows changed are rewritten for the other dates.
+    Tables that depend on one date are rewritten for these dates.  The
+    dimensions depend on all dates; they come from reference counts, to which
+    the dates' new rows are added and their old rows subtracted.  Of the
+    dashboard's other dates only the filter types whose rows changed are rewritten.
     """
     listing = _listing(spark, raw_path)
     options = {"peak_scope": peak_scope, "dedupe_filters": dedupe_filters}
@@ -196,10 +244,15 @@ def update(spark: SparkSession, raw_path: str, marts: str, dates: list, peak_sco
                 "kpi_congestion", only_present=True)
     write_table(part.metrics_with_peak, marts, "_metrics", only_present=True)
 
-    whole = TrafficModels(None, rollup=read_table(spark, marts, "_rollup"), **options)
+    counts = path_of(marts, COUNTS)
+    if filter_counts.is_kept(spark, counts):
+        filter_counts.apply(spark, counts, part.rollup, dates)
+    else:                                       # marts that were built before the counts were kept
+        filter_counts.apply(spark, counts, read_table(spark, marts, "_rollup"), None)
+    new = dimensions(spark, counts, dedupe_filters)
     path = scratch_path(spark, "dim-filters")
-    whole.dim_filters.write.parquet(path)
-    filters = spark.read.parquet(path)
+    new["dim_filters"].write.parquet(path)
+    filters = new["dim_filters"] = spark.read.parquet(path)
     changed = _changed_types(read_table(spark, marts, "dim_filters"), filters)
     dashboard = path_of(marts, "dashboard_traffic")
     for kind in files.subfolders(spark, dashboard, "_type"):       # six at most
@@ -215,10 +268,9 @@ def update(spark: SparkSession, raw_path: str, marts: str, dates: list, peak_sco
                                         filters.where(kinds)),
                     marts, "dashboard_traffic", only_present=True)
     # the filter table last: a run that stops before finds the change again
-    for name in ("dim_time", "dim_locations"):
-        write_table(getattr(whole, name), marts, name)
-    write_table(filters, marts, "dim_filters")
-    _append_record(spark, listing, marts, dates, whole)
+    for name, df in new.items():
+        write_table(df, marts, name)
+    _append_record(spark, listing, marts, dates, part)
 
 
 def _changed_types(old: DataFrame, new: DataFrame) -> list[str]:
@@ -251,7 +303,11 @@ def checks(spark: SparkSession, marts: str) -> DataFrame:
 
 
 def require_checks(spark: SparkSession, marts: str) -> None:
+    """Fail on any violation; the violating rows are left in ``_violations/<table>`` with their checks."""
     bad = [r.asDict() for r in checks(spark, marts).where("violations > 0").collect()]
     if bad:
+        for table in sorted({r["table_name"] for r in bad if r["table_name"] in TABLES}):
+            rows = quality.split(quality.tagged(table, read_table(spark, marts, table)))[1]
+            rows.write.mode("overwrite").parquet(path_of(marts, f"{VIOLATIONS}/{table}"))
         raise QualityError("; ".join(f"{r['check_name']} {r['table_name']}.{r['column_name']}: "
                                      f"{r['violations']}" for r in bad))

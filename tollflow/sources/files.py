@@ -45,17 +45,26 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path, or any path of a glob pattern, exists."""
+    fs, jpath = _fs(spark, pattern)
+    return bool(fs.globStatus(jpath))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, jpath = _fs(spark, path)
     fs.delete(jpath, True)
 
 
-def subfolders(spark: SparkSession, path: str, column: str) -> list[str]:
-    """Partition values of ``column`` right under ``path``, from one listing."""
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names right under ``path``, from one listing."""
     fs, jpath = _fs(spark, path)
-    if not fs.exists(jpath):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(jpath)]
+    return [s.getPath().getName() for s in fs.listStatus(jpath)] if fs.exists(jpath) else []
+
+
+def subfolders(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Partition values of ``column`` right under ``path``."""
+    names = folder_names(spark, path)
     return [n.split("=", 1)[1] for n in names if n.startswith(column + "=")]
 
 
@@ -70,23 +79,44 @@ def drop_folders(spark: SparkSession, path: str, dates) -> None:
         delete(spark, f"{path}/_day={value}")
 
 
-def fingerprint(spark: SparkSession, path: str, day_in_path: str) -> DataFrame:
-    """(day, n_files, n_bytes, modified) per date folder, from file listings only.
+FINGERPRINT = "day date, n_files long, n_bytes long, modified timestamp"
+
+
+def listing(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, modificationTime, length) of the Parquet files under ``paths``.
 
     The binary source lists the files; their content is not read, since the
     column that holds it is not used.
     """
-    if not exists(spark, path):
-        return spark.createDataFrame([], "day date, n_files long, n_bytes long, modified timestamp")
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
-        .option("pathGlobFilter", "*.parquet").load(path)
-    groups = day_in_path.count("(")
-    text = F.concat_ws("-", *[F.regexp_extract("path", day_in_path, i + 1) for i in range(groups)])
-    return listed.groupBy(F.try_to_date(text, "yyyy-MM-dd").alias("day")).agg(
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
+        .option("pathGlobFilter", "*.parquet").load(paths).select("path", "modificationTime", "length")
+
+
+def _per_day(listed: DataFrame, day: Column) -> DataFrame:
+    return listed.groupBy(day.alias("day")).agg(
         F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"),
         F.max("modificationTime").alias("modified"))
 
 
+def fingerprint(spark: SparkSession, path: str, day_in_path: str, folders: list[str] | None = None) -> DataFrame:
+    """(day, n_files, n_bytes, modified) per date folder, from file listings only.
+
+    ``folders``: the folders below ``path`` to list; all of it otherwise.
+    """
+    at = [path] if folders is None else [f"{path.rstrip('/')}/{f}" for f in folders]
+    at = [p for p in at if exists(spark, p)]
+    if not at:
+        return spark.createDataFrame([], FINGERPRINT)
+    groups = day_in_path.count("(")
+    text = F.concat_ws("-", *[F.regexp_extract("path", day_in_path, i + 1) for i in range(groups)])
+    return _per_day(listing(spark, at), F.try_to_date(text, "yyyy-MM-dd"))
+
+
+def changed_at(spark: SparkSession, path: str) -> dt.datetime | None:
+    """Latest change of the files under ``path``."""
+    return listing(spark, [path]).agg(F.max("modificationTime")).first()[0]
+
+
 def mark() -> Column:
     """The fingerprint as one text."""
     return F.concat_ws("/", F.col("n_files").cast("string"), F.col("n_bytes").cast("string"),
@@ -117,11 +147,21 @@ def read_newest_run(spark: SparkSession, base: str) -> DataFrame:
     A run without its ``_SUCCESS`` marker stopped while it was written; it is
     passed over, whatever its id.
     """
+    return read_run(spark, newest_run(spark, base))
+
+
+def newest_run(spark: SparkSession, base: str) -> str:
+    """Folder of the newest complete run."""
     runs = [r for r in subfolders(spark, base, "run_id")
             if exists(spark, f"{base}/run_id={r}/_SUCCESS")]
     if not runs:
         raise FileNotFoundError(f"no complete run under {base}")
-    return _checked(spark, f"{base}/run_id={max(runs)}", "full load").select(*RAW_FIELDS)
+    return f"{base.rstrip('/')}/run_id={max(runs)}"
+
+
+def read_run(spark: SparkSession, run: str) -> DataFrame:
+    """All files of one full-load run folder."""
+    return _checked(spark, run, "full load").select(*RAW_FIELDS)
 
 
 # ---- daily landing -----------------------------------------------------------
@@ -179,6 +219,24 @@ def read_raw(spark: SparkSession, raw_path: str, dates=None, keep_day: bool = Fa
     return df.select(*RAW_FIELDS, *([RAW_PART] if keep_day else []))
 
 
+def raw_statistics(spark: SparkSession, raw_path: str) -> DataFrame:
+    """(toll_date, records, entries_known) per date, from folder names and file footers.
+
+    The counts are pushed into the V2 Parquet reader, so no column of the raw
+    table is read, and least and greatest dates follow from the folders.  (Least
+    and greatest values cannot be pushed: the reader fails on a file that holds
+    nothing but NULL.)  The two settings that this needs hold in a session of
+    its own.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    df = own.read.schema(_with_fields(RAW_SCHEMA, [RAW_PART])).parquet(raw_path)
+    return df.groupBy(RAW_PART).agg(
+        F.count("*").alias("records"), F.count("crz_entries").alias("entries_known")) \
+        .select(F.to_date(RAW_PART).alias("toll_date"), "records", "entries_known")
+
+
 def replace_raw(records: DataFrame, raw_path: str) -> None:
     """Truncate-and-load of the raw table (full refresh)."""
     out = records.select(*RAW_FIELDS,
@@ -200,9 +258,18 @@ def file_dates(listed: DataFrame, path_col: str = "file_path") -> DataFrame:
         .where(F.col("file_date").isNotNull())
 
 
-def read_named_day(spark: SparkSession, base: str, day) -> DataFrame:
-    """Raw records of the files whose name carries ``day`` (S14); the file filter is on
-    ``_metadata``, so files of other days are not opened."""
+def named_fingerprint(spark: SparkSession, base: str) -> DataFrame:
+    """(day, n_files, n_bytes, modified) of the files under ``base`` by the date in their name,
+    from the listing only.  Files whose name holds no date are left out (S14)."""
+    if not matches(spark, base):
+        return spark.createDataFrame([], FINGERPRINT)
+    listed = listing(spark, [base]).withColumn("_day", C.date_from_file_name("path"))
+    return _per_day(listed.where("_day is not null"), F.col("_day"))
+
+
+def read_named_days(spark: SparkSession, base: str, days) -> DataFrame:
+    """Raw records of the files whose name carries one of ``days`` (S14, S15); the filter is on
+    ``_metadata``, so files of other days, or without a date, are not opened."""
+    wanted = [F.lit(str(d)[:10]).cast("date") for d in days]
     df = _checked(spark, base, "daily files")
-    return df.where(C.date_from_file_name(F.col("_metadata.file_path")) == F.lit(str(day)[:10])
-                    .cast("date")).select(*RAW_FIELDS)
+    return df.where(C.date_from_file_name(F.col("_metadata.file_path")).isin(wanted))

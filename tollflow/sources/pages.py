@@ -147,6 +147,12 @@ def land_pages(raw: DataFrame, path: str, page_rows: int = 1000) -> None:
     raw.select(*RAW_FIELDS).mapInArrow(cut, PAGE_SCHEMA).write.mode("overwrite").json(path)
 
 
+def land_page_files(pages: DataFrame, path: str) -> None:
+    """Write page texts (columns page_name, text) as one file per page, as a source serves them."""
+    pages.select("page_name", F.col("text").alias("value")).repartition("page_name") \
+        .write.partitionBy("page_name").option("lineSep", "\n").text(path)
+
+
 def select_fields(raw: DataFrame, fields: list[str] = RAW_FIELDS) -> DataFrame:
     """Source projection ($select) (S2); Parquet prunes the other columns."""
     return raw.select(*fields)
@@ -239,6 +245,57 @@ def page_window(raw: DataFrame, skip: int, top: int,
         (F.col("_rank") >= skip) & (F.col("_rank") < skip + top)).orderBy("_rank").select(*raw.columns)
 
 
+# ---- pages one after the other -----------------------------------------------------
+def _from_key(cols: list[str], key: dict) -> Column:
+    """Rows at or after ``key`` in the total order (nulls first).
+
+    The leading column's bound stands alone in front, so that it reaches the scan.
+    """
+    def after(c):
+        return F.col(c).isNotNull() if key[c] is None else F.coalesce(F.col(c) > F.lit(key[c]), F.lit(False))
+
+    def same(c):
+        return F.col(c).isNull() if key[c] is None else F.coalesce(F.col(c) == F.lit(key[c]), F.lit(False))
+
+    later = functools.reduce(lambda rest, c: after(c) | (same(c) & rest), reversed(cols), F.lit(True))
+    return later if key[cols[0]] is None else (F.col(cols[0]) >= F.lit(key[cols[0]])) & later
+
+
+def next_page(raw: DataFrame, top: int, token: dict | None = None,
+              keys=("toll_date", "toll_hour")) -> tuple[DataFrame, dict | None]:
+    """(page, token): the ``top`` rows of the source order that follow a page, and where they end.
+
+    A token holds the last row's values and how many rows equal to it have been
+    given out, so a page starts from a filter on the key instead of counting
+    rows from the start, and equal rows are neither lost nor given twice.  The
+    page is written to the shared scratch folder; token None: nothing follows.
+    """
+    cols = list(keys) + [c for c in raw.columns if c not in keys]
+    order = _total_order(raw, keys)
+    rest = raw if token is None else raw.where(_from_key(cols, token["key"]))
+    path = scratch_path(raw.sparkSession, "page")
+    rest.orderBy(*order).offset(token["given"] if token else 0).limit(top).write.parquet(path)
+    page = raw.sparkSession.read.schema(raw.schema).parquet(path)
+    back = [F.col(c).desc_nulls_last() for c in cols]
+    last = page.groupBy(*[F.col(f"`{c}`") for c in raw.columns]).agg(F.count("*").alias("_n")) \
+        .orderBy(*back).limit(1).collect()
+    if not last:
+        return page, None
+    key = {c: last[0][c] for c in cols}
+    given = last[0]["_n"] + (token["given"] if token and token["key"] == key else 0)
+    return page, {"key": key, "given": given}
+
+
+def walk_pages(raw: DataFrame, top: int, keys=("toll_date", "toll_hour")):
+    """All pages of ``top`` rows in source order, each found from the end of the one before."""
+    token = None
+    while True:
+        page, token = next_page(raw, top, token, keys)
+        if token is None:
+            return
+        yield page
+
+
 def latest_available(raw: DataFrame, col: str = "toll_date") -> DataFrame:
     """Latest date at the source (S7): one MAX, map-side partial aggregate."""
     return raw.agg(F.max(F.to_date(F.col(col))).alias("latest_date"))
