@@ -38,8 +38,11 @@ from tollflow.llm.common import packed, read_table, sha256_hex, stored, text_or_
 from tollflow.session import scratch_path
 
 LEXICON_WORDS = 200_000    # bound on the frequent words that are compiled
-MEMO = 300_000             # chunks remembered per worker at a time
+MEMO = 200_000             # chunks of a generation that a worker remembers; it keeps two
+COUNTED = 200_000          # distinct chunks that a worker counts before it passes them on
 ROWS = 500                 # texts handled together in a worker
+SIDE_BY_SIDE = 32          # bytes of a word up to which words are merged together
+TAILS = ".,;:!?"           # signs that often follow a word
 # plain: below U+0250, where lower() and the NFC form are the library's own, and without the
 # controls that Python but not the library takes for white space
 NOT_PLAIN = re.compile("[\x1c-\x1fɐ-\U0010ffff]")
@@ -97,7 +100,7 @@ class Words:
             return [chunk[1:].encode()]
         if chunk.isalpha():                            # the common cases, without the pattern
             return [chunk.encode()]
-        if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
+        if chunk[-1] in TAILS and chunk[:-1].isalpha():
             return [chunk[:-1].encode(), chunk[-1].encode()]
         return [w.encode() for w in self.pattern.findall(chunk)]
 
@@ -111,6 +114,14 @@ class Merges:
 
     def __init__(self, first: list, last: list, ranks: dict, merged: list):
         self.first, self.last, self.ranks, self.merged = first, last, ranks, merged
+        # the same as arrays, for words that are merged side by side
+        self.complete = bool(merged) and None not in first and None not in last
+        if self.complete:
+            self.first_ids, self.last_ids, self.merged_ids = (
+                np.array(a, np.int64) for a in (first, last, merged))
+            keys = np.array(list(ranks), np.int64)
+            order = np.argsort(keys)
+            self.keys, self.key_ranks = keys[order], np.array(list(ranks.values()), np.int64)[order]
 
     @classmethod
     def of(cls, model: dict) -> Merges:
@@ -144,6 +155,61 @@ class Merges:
                 ranks[i - 1] = get(ids[i - 1] << 32 | ids[i], none)
         return ids
 
+    def encode_all(self, words: list[bytes]) -> list[bytes]:
+        """Little-endian ids of each word; short words are merged side by side, in the same order."""
+        out = [b""] * len(words)
+        short = []
+        for i, w in enumerate(words):
+            if 1 < len(w) <= SIDE_BY_SIDE and self.complete:
+                short.append(i)
+            else:
+                ids = self.encode(w) if w else []
+                out[i] = struct.pack(f"<{len(ids)}I", *ids)
+        for lo in range(0, len(short), 16384):
+            part = short[lo:lo + 16384]
+            for i, ids in zip(part, self._merged([words[i] for i in part])):
+                out[i] = ids
+        return out
+
+    def _merged(self, words: list[bytes]) -> list[bytes]:
+        n, length = len(words), np.array([len(w) for w in words])
+        width = int(length.max())
+        flat = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(n, width)
+        ids = self.first_ids[flat]
+        ids[np.arange(n), length - 1] = self.last_ids[flat[np.arange(n), length - 1]]
+        none, columns = len(self.merged), np.arange(width)
+        ids[columns >= length[:, None]] = -1
+        ranks = np.full((n, width), none)
+        ranks[:, :-1] = self._rank(ids[:, :-1], ids[:, 1:])
+        done, at = [None] * n, np.arange(n)
+        while True:
+            place = ranks.argmin(1)
+            least = ranks[np.arange(len(at)), place]
+            ended = least == none
+            if ended.any():
+                for i, row in zip(at[ended].tolist(), ids[ended]):
+                    done[i] = row[row >= 0].astype("<u4").tobytes()
+                at, ids, ranks, place, least = (a[~ended] for a in (at, ids, ranks, place, least))
+                if not len(at):
+                    return done
+            rows = np.arange(len(at))
+            ids[rows, place] = self.merged_ids[least]
+            after = columns[None, :-1] > place[:, None]      # what stands behind the merge moves up
+            ids[:, :-1] = np.where(after, ids[:, 1:], ids[:, :-1])
+            ids[:, -1] = -1
+            ranks[:, :-1] = np.where(after, ranks[:, 1:], ranks[:, :-1])
+            ranks[:, -1] = none
+            ranks[rows, place] = self._rank(ids[rows, place], ids[rows, np.minimum(place + 1, width - 1)])
+            before = rows[place > 0]
+            left = place[before] - 1
+            ranks[before, left] = self._rank(ids[before, left], ids[before, left + 1])
+
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of ids; the number of merges where there is none (-1: no id)."""
+        key = a << 32 | b
+        found = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((self.keys[found] == key) & (b >= 0), self.key_ranks[found], len(self.merged))
+
     def _long(self, ids: list[int]) -> list[int]:
         """The same order of merges with a heap over (rank, place)."""
         n, ranks = len(ids), self.ranks
@@ -273,10 +339,25 @@ class Lexicon:
 def word_counts(docs: DataFrame, config: str) -> DataFrame:
     """(word, n) of the whole corpus.
 
-    White-space separated chunks are counted by Spark first; only the distinct
-    ones are split into words.  Chunks outside the plain characters are split as
-    they stand, which can only put a word into the lexicon that is never asked for.
+    White-space separated chunks are counted first, in each worker and then by
+    Spark; only the distinct ones are split into words.  Chunks outside the plain
+    characters are split as they stand, which can only put a word into the
+    lexicon that is never asked for.
     """
+    def count(batches):
+        seen = Counter()
+        for batch in batches:
+            for text in batch.column(0):
+                seen.update((text.as_py() or "").lower().split())
+                if len(seen) > COUNTED:
+                    yield counted(seen)
+                    seen = Counter()
+        yield counted(seen)
+
+    def counted(seen):
+        return pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())],
+                                          ["chunk", "n"])
+
     def split(batches):
         tool = Words(config)
         for batch in batches:
@@ -287,8 +368,8 @@ def word_counts(docs: DataFrame, config: str) -> DataFrame:
                         words[w] += n
             yield pd.DataFrame({"word": list(words), "n": list(words.values())})
 
-    chunks = docs.select(F.explode(F.split(F.lower(text_or_empty()), r"\s+")).alias("chunk")) \
-        .groupBy("chunk").agg(F.count("*").alias("n"))
+    chunks = docs.select(text_or_empty().alias("text")).mapInArrow(count, "chunk string, n long") \
+        .groupBy("chunk").agg(F.sum("n").alias("n"))
     return chunks.mapInPandas(split, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -312,6 +393,64 @@ def frequent_words(docs: DataFrame, config: str, most: int) -> list[bytes]:
     return [bytes(r["word"]) for r in chosen.collect() if r["word"]]       # at most ``most`` rows
 
 
+class Encoder:
+    """Ids of texts, by the lexicon and by merging what it lacks.
+
+    Chunks are remembered in two generations: when the younger is full the older
+    one goes, and what is asked for again moves from the older to the younger.
+    """
+
+    def __init__(self, tool: Words, lexicon: Lexicon, merges: Merges, room: int = MEMO):
+        self.tool, self.lexicon, self.merges, self.room = tool, lexicon, merges, room
+        self.special = {s: i.to_bytes(4, "little") for s, i in tool.special.items()}
+        self.young, self.old = dict(self.special), {}
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Little-endian ids of each text."""
+        chunks = [self.tool.chunks(t or "") for t in texts]
+        if len(self.young) > self.room:
+            self.old, self.young = self.young, dict(self.special)
+        young, old, new = self.young, self.old, []
+        for c in set().union(*chunks) - young.keys():
+            if c in old:
+                young[c] = old[c]
+            else:
+                new.append(c)
+        self._learn(new)
+        known = young.__getitem__
+        return [b"".join(map(known, c)) for c in chunks]
+
+    def _learn(self, new: list[str]) -> None:
+        """Whole words first; a word with one sign behind it is made of two of them."""
+        young, plain, tailed, other = self.young, [], [], []
+        for c in new:
+            if c.isalpha():
+                plain.append(c)
+            elif c[-1] in TAILS and c[:-1].isalpha():
+                tailed.append(c)
+            else:
+                other.append(c)
+        bodies = {c[:-1] for c in tailed}.difference(plain) - young.keys()
+        self._learn_words([*plain, *bodies], young)
+        tails = {}
+        self._learn_words(list({c[-1] for c in tailed}), tails)
+        young.update([(c, young[c[:-1]] + tails[c[-1]]) for c in tailed])
+        split = [self.tool.words(c) for c in other]
+        ids = self._ids(list({w for ws in split for w in ws}))
+        young.update((c, b"".join([ids[w] for w in ws])) for c, ws in zip(other, split))
+
+    def _learn_words(self, words: list[str], into: dict) -> None:
+        raw = [w.encode() for w in words]
+        ids = self._ids(raw)
+        into.update(zip(words, map(ids.__getitem__, raw)))
+
+    def _ids(self, words: list[bytes]) -> dict[bytes, bytes]:
+        ids = dict(zip(words, self.lexicon.find(words)))
+        unseen = [w for w, found in ids.items() if found is None]
+        ids.update(zip(unseen, self.merges.encode_all(unseen)))
+        return ids
+
+
 class Codec:
     """Encoder and decoder for one vocabulary and one corpus lexicon."""
 
@@ -337,35 +476,17 @@ class Codec:
         config, merges, names, file = self.config, self.merges, self.names, self.file
 
         def run(batches):
-            tool, lexicon, memo = Words(config), Lexicon.mapped(SparkFiles.get(file)), {}
-            special = {s: i.to_bytes(4, "little") for s, i in tool.special.items()}
+            encoder = Encoder(Words(config), Lexicon.mapped(SparkFiles.get(file)), merges)
             table = np.array(names, dtype=object)
             for batch in batches:
                 for lo in range(0, batch.num_rows, ROWS):
-                    part = batch.slice(lo, ROWS)
-                    doc = part.column(0)
-                    chunks = [tool.chunks(t or "") for t in pc.struct_field(doc, "text").to_pylist()]
-                    if len(memo) > MEMO:
-                        memo = {}
-                    learn(tool, lexicon, memo, set().union(*chunks) - memo.keys(), special)
-                    ids = [b"".join(map(memo.__getitem__, c)) for c in chunks]
+                    doc = batch.slice(lo, ROWS).column(0)
+                    ids = encoder.encode(pc.struct_field(doc, "text").to_pylist())
                     texts = [decode_ids(table, b) for b in ids]
                     yield pa.RecordBatch.from_arrays(
                         [doc, pa.array(ids, pa.binary()), pa.array(texts, pa.string())],
                         ["doc", "ids", "decoded"])
 
-        def learn(tool, lexicon, memo, new, special):
-            memo.update(special)
-            new = [c for c in new if c not in special]
-            split = [tool.words(c) for c in new]
-            words = list({w for ws in split for w in ws})
-            ids = dict(zip(words, lexicon.find(words)))
-            for w, found in ids.items():
-                if found is None:
-                    new_ids = merges.encode(w)
-                    ids[w] = struct.pack(f"<{len(new_ids)}I", *new_ids)
-            memo.update((c, b"".join([ids[w] for w in ws])) for c, ws in zip(new, split))
-
         return docs.mapInArrow(run, T.StructType([
             *docs.schema.fields, T.StructField("ids", T.BinaryType()),
             T.StructField("decoded", T.StringType())]))
