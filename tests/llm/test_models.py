@@ -1,6 +1,7 @@
 """Quality ranking, near-dedup by embedding and SimHash, HTML text, BPE; the corpus pipeline."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -187,11 +188,47 @@ def test_simhash_odd_and_empty_tables(odd_docs, no_docs):
     ("<desc>a</desc><span aria-hidden='true'>b</span><i hidden>c</i>", "ab"),
     ("<head><title>T</title>Hello world<p>x", "Hello world\n\nx"),
     ("<head> <title>T</title>\n<meta>&nbsp;a</head><body>b", "\u00a0a\nb"),
+    # style: whole property names, the last declaration, visibility set again below
+    ("<div style='backface-visibility: hidden'>a</div>", "a"),
+    ("<p style='display:none;display:block'>a</p><p style='display:block;display:none'>b</p>", "a"),
+    ("<p style='display:none !important;display:block'>a</p>b", "b"),
+    ("<p style='/* display:none */ color:red'>a<p hidden style='display:block'>b<p hidden>c", "a\n\nb"),
+    ("<div style='visibility:hidden'>no<b style='VISIBILITY: Visible'>yes</b><ul><li>no</ul></div>z", "yes\n\nz"),
+    ("<table style='visibility:hidden'><tr><td>no<td style='visibility:visible'>b</table>", "  b"),
+    # end tags do not reach out of cells
+    ("<div><table><tr><td>a</div>b<td>c<tr><td>dddd<td>e</table></div>", "ab    c\ndddd  e"),
+    ("<ul><li><table><tr><td><li>x</li></p>y</ul>z</table>w</ul>", "- x yz\n\nw"),
+    ("<table><tr><td>a<table><tr><td>b</tr></td><td>c</table>d<td>e</table>", "a b c d  e"),
+    # spans, captions, numbers of lists
+    ("<table><tr><td rowspan=2>A<td>b<tr><td>c<tr><td>d</table>", "A  b\n   c\nd"),
+    ("<table><tbody><tr><td rowspan=0>A<td>b<tr><td>c<tbody><tr><td>d<td>e</table>", "A  b\n   c\nd  e"),
+    ("<table><tr><td colspan=1000>A<td>b<tr><td>c<td>d</table>", "A     b\nc  d"),
+    ("<table><caption>C<tr><td>a<td>b</table>", "C\na  b"),
+    ("<ol start=5><li>a<li value=9>b<li>c</ol>", "5. a\n9. b\n10. c"),
+    ("<ol reversed><li>x<li>y</ol><ol start=-1><li>a<li>b<li value=x>c</ol>", "2. x\n1. y\n\n-1. a\n0. b\n1. c"),
+    ("<object>no</object><canvas>no</canvas>a", "a"), ("a<b title=\"x>y</b>z", "ayz"),
 ])
 def test_render(source, text):
     assert html_text.render(source) == text
 
 
+@pytest.mark.parametrize("page", [
+    "<a" * 500_000, "<" + "a" * 1_000_000, "<a " * 333_000, "<div><p>" * 125_000, "<a b=\"<a b='" * 83_000,
+    "<" * 1_000_000, "<b>" + "</i>" * 250_000, "<table><tr><td>" * 66_000 + "x", "<option>" * 125_000,
+    "<table><tr>" + "<td rowspan=65000 colspan=1000>x" * 2_000, "<a " + "=" * 1_000_000, "<!--" * 250_000])
+def test_malformed_pages_take_linear_time(page):
+    began = time.process_time()
+    html_text.render(page)
+    assert time.process_time() - began < 12
+
+
+def test_tables_in_tables_and_lists_in_lists_of_any_depth():
+    deep = html_text.render("<table><tr><td>x" * 400)
+    assert deep.split() == ["x"] * 400
+    listed = html_text.render("<ul><li>x" * 400)
+    assert [line.strip() for line in listed.split("\n")] == ["- x"] * 400
+
+
 def test_extract_keeps_every_row(spark):
     df = spark.createDataFrame([(1, "<p>a", "u"), (1, "<p>a", "u"), (None, None, None)],
                                "page_id long, html string, text string")
