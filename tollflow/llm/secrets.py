@@ -22,15 +22,14 @@ from pyspark.sql import functions as F
 
 from tollflow.llm.common import read_table, sha256_hex, stored, text_or_empty
 
-# kind -> (pattern, rule on the match ``m``); the order is the order within one start
+# kind -> pattern; the order is the order within one start
 ASSIGN = (r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?"
           r"([A-Za-z0-9+/_.=-]+)")
 BASE = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]{12,}", "hex": r"[0-9a-f]{32,}"}
 WEAK = {
     "ident": r"(?i:access_?key_?id|client_?id|user_?name|user|login|account)[\"']?\x20*[:=]"
              r"\x20*[\"']?[A-Za-z0-9@._-]{3,}",
-    "opaque": r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,64}[0-9])(?=[^A-Z\s]{0,64}[A-Z])"
-              r"(?=[^a-z\s]{0,64}[a-z])[A-Za-z0-9+/_=-]{20,}",
+    "opaque": r"[A-Za-z0-9+/_=-]{20,}",        # with a digit, a capital and a small letter
     "endpoint": r"(?:https?|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[A-Za-z0-9._~:/?#@%&=+-]{4,}",
 }
 ORDER = {k: i for i, k in enumerate([*BASE, *WEAK])}
@@ -38,6 +37,16 @@ IDENTIFIERS, SECRETS = ("ident", "access"), ("assign", "hex", "opaque")
 SCOPE = 200
 
 
+def _holds(kind: str, match: Column, value: Column) -> Column:
+    """The rule on a whole match that its pattern does not state."""
+    if kind == "assign":
+        return F.char_length(value) >= 8
+    if kind == "opaque":
+        return F.regexp_like(match, F.lit("[0-9]")) & F.regexp_like(match, F.lit("[A-Z]")) \
+            & F.regexp_like(match, F.lit("[a-z]"))
+    return F.lit(True)
+
+
 def _matches(kind: str, pattern: str) -> Column:
     """array<struct<kind, gap, len, ok>> of the leftmost non-overlapping matches.
 
@@ -53,7 +62,7 @@ def _matches(kind: str, pattern: str) -> Column:
         value, lambda x, v: F.struct(
             F.lit(kind).alias("kind"), x["gap"].alias("gap"),
             F.char_length(x["m"]).alias("len"),
-            ((F.char_length(v) >= 8) if kind == "assign" else F.lit(True)).alias("ok")))
+            _holds(kind, x["m"], v).alias("ok")))
     # split gives one segment more than there are matches; the last one has no match
     return F.when(F.regexp_like(t, p), F.filter(rows, lambda r: r["len"].isNotNull()))
 
