@@ -8,6 +8,8 @@ ML, with no Python on the executors.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -19,8 +21,9 @@ from tollflow.llm.common import ascii_lower, hash_share, read_table, stored
 # (verdict, host, path): a rule fits its host and all subdomains, and paths that start with its own
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
          ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-MAX_LABELLED = 20_000      # labelled URLs used for fitting, chosen by hash
-MIN_SUFFIX = 20            # a suffix needs this many URLs to have a block rate of its own
+MAX_LABELLED = 20_000      # distinct labelled URLs used for fitting, chosen by hash
+PRIOR = 5                  # labelled URLs that the rate of all URLs counts for in a suffix's block rate
+FOLDS = 4                  # a URL used for fitting sees the block rates of the other folds
 FEATURES = ("length", "host_length", "path_length", "depth", "labels", "digit_share", "hyphens",
             "entropy", "params", "query_length", "has_fragment", "secure", "suffix_share",
             "suffix_blocked", "ending_share", "ending_blocked")
@@ -71,31 +74,45 @@ def lexical(urls: DataFrame) -> DataFrame:
         F.regexp_extract("path", r"(/|\.[A-Za-z0-9]{1,8})$", 1).alias("ending"))
 
 
+def _fold() -> Column:
+    return F.pmod(F.xxhash64("url"), F.lit(FOLDS))
+
+
 def _counts(urls: DataFrame) -> DataFrame:
-    """kind (suffix, ending), value, n, labelled, b: whole counts of URLs, of labelled and of blocked ones."""
+    """kind (suffix, ending), value, n, and labelled_k and b_k of every fold k: whole counts of URLs,
+    of labelled and of blocked ones."""
     kinds = F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).alias("value")) for c in ("suffix", "ending")])
-    return urls.select("verdict", F.inline(kinds)).groupBy("kind", "value").agg(
-        F.count("*").alias("n"), F.count("verdict").alias("labelled"),
-        F.count(F.when(F.col("verdict") == "block", 1)).alias("b"))
+    labelled, blocked = F.col("verdict").isNotNull(), F.col("verdict") == "block"
+    return urls.select("verdict", _fold().alias("fold"), F.inline(kinds)).groupBy("kind", "value").agg(
+        F.count("*").alias("n"), *[F.count(F.when(mark & (F.col("fold") == k), 1)).alias(f"{name}_{k}")
+                                   for name, mark in (("labelled", labelled), ("b", blocked))
+                                   for k in range(FOLDS)])
 
 
-def _statistics(counts: DataFrame, column: str, total: int, rate: float) -> DataFrame:
-    """Per suffix: its share of all URLs and the share of it that rules block (smoothed).
+def _summed(name: str, but: Column | None = None) -> Column:
+    """A count over all folds, or over all but one."""
+    parts = [F.col(f"{name}_{k}") if but is None else F.when(but == k, 0).otherwise(F.col(f"{name}_{k}"))
+             for k in range(FOLDS)]
+    return functools.reduce(lambda a, b: a + b, parts)
 
-    A suffix of fewer than MIN_SUFFIX URLs has the block rate of all URLs.
-    """
-    own = (F.col("b") + 1) / (F.col("n") + 2)
-    return counts.where(F.col("kind") == column).select(
-        F.col("value").alias(f"_{column}"), (F.col("n") / max(total, 1)).alias(f"{column}_share"),
-        F.when(F.col("n") >= MIN_SUFFIX, own).otherwise(rate).alias(f"{column}_blocked"))
 
+def _with_statistics(urls: DataFrame, counts: DataFrame, total: int, rate: float,
+                     fitting: bool = False) -> DataFrame:
+    """Adds each suffix's share of all URLs and the share of its labelled URLs that rules block.
 
-def _with_statistics(urls: DataFrame, tables: dict[str, DataFrame], rate: float) -> DataFrame:
-    """Joins the tables, of any length; only a table whose files are small is broadcast."""
-    for column, table in tables.items():
-        urls = urls.join(table, F.col(column) == F.col(f"_{column}"), "left")
-    return urls.fillna({**{f"{c}_share": 0.0 for c in tables}, **{f"{c}_blocked": rate for c in tables}}) \
-        .drop(*[f"_{c}" for c in tables])
+    The rate of all labelled URLs counts for PRIOR of a suffix's own, so one
+    without labelled URLs has that rate.  ``fitting``: a URL's own fold is left
+    out, so that no URL sees its own label.  The counts may be of any length;
+    only a table whose files are small is broadcast.
+    """
+    but = _fold() if fitting else None
+    for column in ("suffix", "ending"):
+        table = counts.where(F.col("kind") == column).drop("kind").withColumnRenamed("value", "_value")
+        known, blocked = (F.coalesce(_summed(c, but), F.lit(0)) for c in ("labelled", "b"))
+        urls = urls.join(table, F.col(column) == F.col("_value"), "left").withColumns({
+            f"{column}_share": F.coalesce(F.col("n") / max(total, 1), F.lit(0.0)),
+            f"{column}_blocked": (blocked + rate * PRIOR) / (known + PRIOR)}).drop(*table.columns)
+    return urls
 
 
 def judge(pages: DataFrame, rules=RULES, max_labelled: int = MAX_LABELLED,
@@ -113,19 +130,19 @@ def judge(pages: DataFrame, rules=RULES, max_labelled: int = MAX_LABELLED,
     urls = lexical(known)
     usable = F.lit(True) if hold_out is None else ~hold_out
     counts = stored(_counts(urls.where(usable)), "url-counts")
-    whole = counts.where("kind = 'suffix'").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c)
-                                                  for c in ("n", "labelled", "b")]).first()
-    rate = whole["b"] / max(whole["n"], 1)
-    tables = {c: stored(_statistics(counts, c, whole["n"], rate), f"url-{c}") for c in ("suffix", "ending")}
-    # a bounded sample for the fit, the same in every run: labelled URLs with the smallest hashes
-    chosen = hash_share("url", "page_id") < min(1.0, max_labelled / max(whole["labelled"], 1))
-    sample = urls.where(usable & F.col("verdict").isNotNull() & chosen)
+    whole = counts.where("kind = 'suffix'").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in (
+        ("n", F.col("n")), ("labelled", _summed("labelled")), ("b", _summed("b")))]).first()
+    rate = whole["b"] / max(whole["labelled"], 1)
+    # a bounded sample for the fit, the same in every run: distinct labelled URLs with the smallest hashes
+    labelled = known.where(usable & F.col("verdict").isNotNull()).select("url", "host", "path", "verdict")
+    distinct = labelled.agg(F.approx_count_distinct("url", 0.01)).first()[0]
+    sample = lexical(labelled.where(hash_share("url") < min(1.0, max_labelled / max(distinct, 1))).distinct())
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
-    train = stored(vectors.transform(_with_statistics(sample, tables, rate))
+    train = stored(vectors.transform(_with_statistics(sample, counts, whole["n"], rate, fitting=True))
                    .select("_features", (F.col("verdict") == "block").cast("double").alias("_block")),
                    "url-train")
     marks = {r["_block"]: r["count"] for r in train.groupBy("_block").count().collect()}
-    scored = _with_statistics(urls, tables, rate)
+    scored = _with_statistics(urls, counts, whole["n"], rate)
     if len(marks) == 2:
         trees = GBTClassifier(labelCol="_block", featuresCol="_features", predictionCol="_says",
                               maxIter=20, maxDepth=4, stepSize=0.2, seed=11) \
