@@ -152,9 +152,38 @@ def test_index_search_finds_exactly_the_near_rows():
     rows = np.unique(rng.integers(0, 2**64, 900, dtype=np.uint64) & np.uint64(0xFFF00FFF))
     index = simhash.GrayIndex(rows)
     sets = np.arange(len(rows))
-    q, r = index.search(rows[:300], 4, np.full(300, -2), index.labels(sets))
-    want = {(a, b) for a in range(300) for b in np.flatnonzero(np.bitwise_count(rows ^ rows[a]) <= 4)}
-    assert set(zip(q.tolist(), r.tolist())) == {(a, int(b)) for a, b in want}
+    for pattern in (0, 0xFF, 0xFF000000):
+        q, r = index.search(rows[:300], 4, pattern, np.full(300, -2), index.labels(sets))
+        want = {(a, int(b)) for a in range(300) for b in np.flatnonzero(
+            (np.bitwise_count(rows ^ rows[a]) <= 4) & ((rows ^ rows[a]) & np.uint64(pattern) == 0))}
+        assert set(zip(q.tolist(), r.tolist())) == want
+
+
+def test_queries_are_answered_through_the_tree(spark):
+    """The fingerprints of sf0.1 under one pattern: nearly all rows are left in groups, few are compared."""
+    text = simhash.fingerprint_column(F.col("text"), 4).alias("fp")
+    fp = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select(text).distinct().toPandas()["fp"]
+    pattern = simhash._masks(6, 4)[0] & (2**64 - 1)
+    rows = fp.to_numpy().view(np.uint64)
+
+    def gray(x):
+        for step in (1, 2, 4, 8, 16, 32):
+            x = x ^ (x >> np.uint64(step))
+        return x
+    rows = rows[np.lexsort((gray(rows), gray(rows & np.uint64(pattern))))]
+    counts = {}
+    at, root = simhash.linked(rows, np.zeros(len(rows), int), 4, pattern, counts)
+    assert len(rows) > 5000 and counts["pruned"] > 0.5 * counts["nodes"]
+    assert counts["compared"] < 0.01 * len(rows) ** 2
+    key = rows & np.uint64(pattern)
+    links = [(int(a), int(a + o)) for o in range(1, 40) for a in np.flatnonzero(
+        (key[:-o] == key[o:]) & (np.bitwise_count(rows[:-o] ^ rows[o:]) <= 4))]
+    got = {(rows[a], rows[b]) for a, b in zip(at, root)}
+    want = brute.components(range(len(rows)), links)
+    sets = graph.LocalSets(len(rows))
+    sets.union(at, root)
+    roots = sets.roots()
+    assert got and all(roots[a] == roots[b] for a, b in links) and len(set(roots)) <= len(set(want.values()))
 
 
 def test_simhash_odd_and_empty_tables(odd_docs, no_docs):

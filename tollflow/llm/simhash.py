@@ -6,11 +6,13 @@
    distance`` of the BLOCKS bit blocks, so each fingerprint is filed once per
    choice of that many blocks under its masked pattern; linked fingerprints
    meet under one pattern at least.  Nothing is missed.
-3. Under a pattern the fingerprints are sorted by Gray rank.  Short runs are
-   compared directly.  Long ones get an index over the sorted order: a node
-   stores the bits that all fingerprints below it share and that its parent
-   does not store.  A query adds up its differing bits from the root down and
-   leaves a whole group as soon as they exceed the distance.
+3. A task holds the fingerprints of many patterns, sorted by the Gray ranks of
+   pattern and fingerprint, and builds one index over that order: a node stores
+   the bits that all fingerprints below it share and that its parent does not
+   store, so the patterns' own bits stand in the upper nodes.  Every fingerprint
+   is a query.  It adds up its differing bits from the root down and leaves a
+   whole group as soon as they exceed the distance, or as soon as a bit of the
+   pattern differs (those pairs meet under another pattern).
 4. A pattern with more than ``split`` fingerprints is dealt into parts by hash,
    and every two parts form one task, so no task holds a whole hot pattern.
 """
@@ -31,7 +33,7 @@ from tollflow.llm.graph import LocalSets, component_minimum
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 BLOCKS = 6
 SPLIT = 4096
-SHORT, LEAF, FANOUT, QUERIES = 24, 16, 8, 128
+LEAF, FANOUT, QUERIES = 16, 8, 512
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -109,17 +111,25 @@ class GrayIndex:
             size = FANOUT
         return out
 
-    def search(self, queries: np.ndarray, distance: int, sets: np.ndarray,
-               labels: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """(query, row) pairs within ``distance``, leaving out groups already in the query's set."""
-        top = len(self.levels) - 1
+    def search(self, queries: np.ndarray, distance: int, pattern: int, sets: np.ndarray,
+               labels: list[np.ndarray], counts: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(query, row) pairs within ``distance`` that agree in the bits of ``pattern``.
+
+        Groups that already are in the query's set are left out.  ``counts``
+        receives the nodes looked at, those left whole, and the rows compared.
+        """
+        top, fixed = len(self.levels) - 1, np.uint64(pattern)
         width = len(self.levels[top][0])
         q, node = np.repeat(np.arange(len(queries)), width), np.tile(np.arange(width), len(queries))
         gone = np.zeros(len(q), np.uint8)
         for level in range(top, -1, -1):
             first, _ = self.levels[level]
-            gone = gone + np.bitwise_count((queries[q] ^ first[node]) & self.own[level][node])
-            live = (gone <= distance) & (labels[level][node] != sets[q])
+            differ = (queries[q] ^ first[node]) & self.own[level][node]
+            gone = gone + np.bitwise_count(differ)
+            live = (gone <= distance) & (differ & fixed == 0) & (labels[level][node] != sets[q])
+            if counts is not None:
+                counts["nodes"] = counts.get("nodes", 0) + len(live)
+                counts["pruned"] = counts.get("pruned", 0) + int(len(live) - live.sum())
             q, node, gone = q[live], node[live], gone[live]
             fan = FANOUT if level else LEAF
             limit = len(self.levels[level - 1][0]) if level else len(self.rows)
@@ -132,26 +142,24 @@ class GrayIndex:
             if not level:
                 rest = rest[inside]
             q, node, gone = q[inside], node[inside], gone[inside]
-        gone = gone + np.bitwise_count((queries[q] ^ self.rows[node]) & rest)
-        near = gone <= distance
+        if counts is not None:
+            counts["compared"] = counts.get("compared", 0) + len(q)
+        differ = (queries[q] ^ self.rows[node]) & rest
+        near = (gone + np.bitwise_count(differ) <= distance) & (differ & fixed == 0)
         return q[near], node[near]
 
 
-def linked(rows: np.ndarray, side: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect the rows of one group as all its links do (positions, Gray order).
+def linked(rows: np.ndarray, side: np.ndarray, distance: int, pattern: int = 0,
+           counts: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect the rows as all links between rows with equal bits of ``pattern`` do.
 
-    ``side``: 0 or 1; if both occur, only rows of different sides are compared
-    (the pairs within a side belong to another task).
+    ``rows`` stand in Gray order.  ``side``: 0 or 1; if both occur, only rows of
+    different sides are compared (the pairs within a side belong to another task).
     """
     n = len(rows)
     both = side.any() and not side.all()
     a_at = np.flatnonzero(side == 0) if both else np.arange(n)
     b_at = np.flatnonzero(side == 1) if both else a_at
-    if n <= SHORT:
-        close = np.bitwise_count(rows[a_at][:, None] ^ rows[b_at][None, :]) <= distance
-        i, j = np.nonzero(close)
-        i, j = a_at[i], b_at[j]
-        return i[i != j], j[i != j]
     sets, index = LocalSets(n), GrayIndex(rows[b_at])
     # neighbours in Gray order first: what they connect need not be searched again
     for off in (1, 2, 3):
@@ -162,46 +170,51 @@ def linked(rows: np.ndarray, side: np.ndarray, distance: int) -> tuple[np.ndarra
     for lo in range(0, len(a_at), QUERIES):
         part = a_at[lo:lo + QUERIES]
         root = sets.roots()
-        q, r = index.search(rows[part], distance, root[part], index.labels(root[b_at]))
+        q, r = index.search(rows[part], distance, pattern, root[part], index.labels(root[b_at]), counts)
         sets.union(part[q], b_at[r])
     root = sets.roots()
     at = np.flatnonzero(root != np.arange(n))
     return at, root[at]
 
 
-def _tasks(distance: int):
+def runs(keys: np.ndarray) -> np.ndarray:
+    """Where a new index begins, for rows of (t, key, i, j): at a new t, and around each group
+    whose two sides are compared (i < j)."""
+    t, i, j = keys[:, 0], keys[:, 2], keys[:, 3]
+    other = (keys[1:] != keys[:-1]).any(1)
+    new = (t[1:] != t[:-1]) | (other & ((i != j)[1:] | (i != j)[:-1]))
+    return np.flatnonzero(np.concatenate(([True], new)))
+
+
+def _tasks(distance: int, masks: list[int]):
     """mapInPandas function: partitions sorted by group and Gray rank -> edges (a, b)."""
+    patterns = [m & ((1 << 64) - 1) for m in masks]
+
     def links(batches):
-        keys = ["t", "key", "i", "j"]
+        names = ["t", "key", "i", "j"]
         held = None
         for batch in batches:
             if held is not None:
                 batch = pd.concat([held, batch], ignore_index=True)
             if batch.empty:
                 continue
-            k = batch[keys].to_numpy()
-            new = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]).any(1))))
-            held = batch.iloc[new[-1]:]                # its group may go on in the next batch
-            yield from found(batch.iloc[:new[-1]], new[:-1])
+            k = batch[names].to_numpy()
+            last = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]).any(1))))[-1]
+            held = batch.iloc[last:]                   # its group may go on in the next batch
+            yield from found(batch.iloc[:last], k[:last])
         if held is not None:
-            yield from found(held.reset_index(drop=True), np.array([0]))
+            yield from found(held, held[names].to_numpy())
 
-    def found(batch, starts):
+    def found(batch, k):
         if batch.empty:
             return
         fp, side = batch["fp"].to_numpy().view(np.uint64), batch["side"].to_numpy()
-        out = []
-        sizes = np.diff(np.append(starts, len(batch)))
-        pairs = starts[sizes == 2]                     # the commonest case, all at once
-        near = pairs[(np.bitwise_count(fp[pairs] ^ fp[pairs + 1]) <= distance)]
-        out.append((near, near + 1))
-        for s, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
-            a, b = linked(fp[s:s + n], side[s:s + n], distance)
-            out.append((a + s, b + s))
-        a, b = (np.concatenate(x) for x in zip(*out))
-        if len(a):
-            signed = fp.view(np.int64)
-            yield pd.DataFrame({"a": signed[a], "b": signed[b]})
+        starts = runs(k)
+        for s, e in zip(starts, np.append(starts[1:], len(k))):
+            a, b = linked(fp[s:e], side[s:e], distance, patterns[k[s, 0]])
+            if len(a):
+                signed = fp[s:e].view(np.int64)
+                yield pd.DataFrame({"a": signed[a], "b": signed[b]})
     return links
 
 
@@ -233,8 +246,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
                 F.greatest("part", "other").alias("j"), "fp",
                 (F.col("part") > F.col("other")).cast("int").alias("side"))
     ranked = dealt.repartition("t", "key", "i", "j").sortWithinPartitions(
-        "t", "key", "i", "j", _gray_rank(F.col("fp")))
-    edges = stored(ranked.mapInPandas(_tasks(distance), "a long, b long"), "simhash-edges")
+        "t", _gray_rank(F.col("key")), "i", "j", _gray_rank(F.col("fp")))
+    edges = stored(ranked.mapInPandas(_tasks(distance, masks), "a long, b long"), "simhash-edges")
     groups = component_minimum(nodes.withColumnRenamed("fp", "node"), edges, "simhash-groups")
     return prints.join(groups, F.col("fp") == F.col("node")).select(
         "doc_id", *carry, F.col("fp").alias("fingerprint"),
