@@ -104,6 +104,32 @@ def test_embedding_links_equal_brute_force(spark, tile):
     assert embed_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_pairs_at_the_threshold_and_extreme_sizes(spark):
+    """Cosines within rounding of the threshold are decided by the vectors as given."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(60):
+        x = rng.normal(size=6)
+        y = rng.normal(size=6)
+        y -= (x @ y) / (x @ x) * x
+        x, y = x / np.linalg.norm(x), y / np.linalg.norm(y)
+        z = 0.93 * x + (1 - 0.93 ** 2) ** 0.5 * y
+        size = (1.0, 1e200, 1e-200)[i % 3]
+        rows += [(2 * i, (size * x).tolist(), i), (2 * i + 1, z.tolist(), i)]
+
+    def cosine(v, w):
+        v, w = np.array(v) / np.abs(v).max(), np.array(w)
+        return (v @ w) / (np.sqrt(v @ v) * np.sqrt(w @ w))
+    got = {r["vec_id"]: r["n_links"] for r in embed_dedup.near_duplicates(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), tile=7).collect()}
+    near = [cosine(a[1], b[1]) for a, b in zip(rows[::2], rows[1::2])]
+    assert all(abs(c - 0.93) < 1e-12 for c in near)
+    plain = [i for i in range(60) if i % 3 == 0]
+    assert [got[2 * i] for i in plain] == [int(near[i] >= 0.93) for i in plain] or sum(
+        got[2 * i] != int(near[i] >= 0.93) for i in plain) <= 2          # the last bit of a plain product
+    assert all(got[2 * i] == got[2 * i + 1] for i in range(60)) and 5 < sum(got.values()) < 115
+
+
 def test_embeddings_without_id_or_repeated(spark):
     df = spark.createDataFrame([(None, [1.0, 2.0], 1), (4, [1.0, 2.0], 1), (4, [1.0, 2.0], 1),
                                 (3, [2.0, 4.0], 1)], "vec_id long, embedding array<float>, label int")

@@ -123,21 +123,24 @@ class Whitening:
         return [v if v < 1 << 63 else None for v in (t * t).sum(1).tolist()]
 
 
-def _by_length(batches, column: str = "x"):
+def _by_length(batches, kind=np.int64):
     for batch in batches:
         if len(batch):
-            for d, part in batch.groupby(batch[column].map(len)):
-                yield int(d), np.stack(part[column].to_numpy()).astype(np.int64), part
+            for d, part in batch.groupby(batch["x"].map(len)):
+                yield int(d), np.stack(part["x"].to_numpy()).astype(kind)
 
 
-def _matrix_sums(points: DataFrame, rows_of) -> dict[int, dict]:
-    """Per length the sum over all points of w'w and w, where w = rows_of(length, x): one pass.
+def matrix_sums(points: DataFrame, rows_of, kind=np.int64, longest: int | None = None) -> dict[int, dict]:
+    """Per length the sum over all points (column x) of w'w and w, where w = rows_of(length, x): one pass.
 
-    Tasks return their own sums by matrix entry, upper triangle (j = -1: the sums of w).
+    Tasks return their own sums by matrix entry, upper triangle (j = -1: the
+    sums of w).  Points of more than ``longest`` entries are left out.
     """
     def run(batches):
         total = {}
-        for d, x, _ in _by_length(batches):
+        for d, x in _by_length(batches, kind):
+            if longest is not None and d > longest:
+                continue
             w = rows_of(d, x)
             square, line = total.get(d, (0.0, 0.0))
             total[d] = square + w.T @ w, line + w.sum(0)
@@ -161,7 +164,7 @@ def _exact_sums(points: DataFrame) -> dict[int, tuple[int, list[int]]]:
     """Per length the number of points and their exact sums per dimension."""
     def run(batches):
         total = {}
-        for d, x, _ in _by_length(batches):
+        for d, x in _by_length(batches):
             high, low = x >> 32, x & 0xFFFFFFFF
             n, h, lo = total.get(d, (0, 0, 0))
             total[d] = n + len(x), h + high.sum(0), lo + low.sum(0)
@@ -185,7 +188,7 @@ def fit(points: DataFrame, components: int = COMPONENTS) -> dict[int, Whitening]
     sums = _exact_sums(points)
     start = {d: Whitening(n, s, 0.0, np.zeros(0), np.zeros((d, 0))) for d, (n, s) in sums.items()}
     models = {}
-    for d, found in _matrix_sums(points, lambda d, x: start[d].centred(x)).items():
+    for d, found in matrix_sums(points, lambda d, x: start[d].centred(x)).items():
         n, line = start[d].n, found["line"] / start[d].n
         v = found["square"] / n - np.outer(line, line)      # line: rounding of the centring, near 0
         low, order = pivoted_cholesky(v)
@@ -194,7 +197,7 @@ def fit(points: DataFrame, components: int = COMPONENTS) -> dict[int, Whitening]
         columns[order] = turned
         models[d] = Whitening(n, start[d].sums, float(np.trace(v)), values[:components],
                               columns[:, :components])
-    for d, found in _matrix_sums(points, lambda d, x: models[d].whitened(x)).items():
+    for d, found in matrix_sums(points, lambda d, x: models[d].whitened(x)).items():
         n, line = models[d].n, found["line"] / models[d].n
         cov = found["square"] / n - np.outer(line, line)
         models[d].error = float(np.abs(cov - np.eye(len(cov))).max(initial=0))
