@@ -100,27 +100,39 @@ def dropped_lines(docs: DataFrame, min_key: int = MIN_KEY, batches: int = BATCHE
     cuts = docs.agg(F.percentile_approx(
         "doc_id", [i / batches for i in range(1, batches)], 1000)).first()[0] or []
     key = line_key(F.col("line"))
-    lines = stored(
+    lines = by_batch(
         docs.select("doc_id", *_text_hash(F.col("text")),
                     F.posexplode(F.split(text_or_empty(), "\n", -1)).alias("pos", "line"))
         .withColumn("key", key).where(F.char_length("key") >= min_key)
         .select("doc_id", "t1", "t2", "pos", place.alias("first"),
                 F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("k"), "key").alias("h2"),
                 sum([(place >= c).cast("int") for c in sorted(set(cuts))],
-                    F.lit(0)).alias("batch")), "line-hashes")
+                    F.lit(0)).alias("batch")))
     runs = LineRuns(spark, fanout, buckets)
-    for b in range(len(set(cuts)) + 1):
-        runs.add(lines.where(F.col("batch") == b).select("h1", "h2", "first"))
-    index = runs.index().withColumnRenamed("first", "home")
+    try:
+        for b in range(len(set(cuts)) + 1):
+            runs.add(lines.where(F.col("batch") == b).select("h1", "h2", "first"))
+        return _masks(lines, runs.index().withColumnRenamed("first", "home"))
+    finally:
+        runs.close()
+
+
+def by_batch(lines: DataFrame) -> DataFrame:
+    """The lines written in one folder per batch, so that a batch reads its own lines only."""
+    path = scratch_path(lines.sparkSession, "line-hashes")
+    lines.write.partitionBy("batch").parquet(path)
+    return lines.sparkSession.read.schema(lines.schema).parquet(path)
+
+
+def _masks(lines: DataFrame, index: DataFrame) -> DataFrame:
+    """(doc_id, t1, t2, mask) of the documents that lose lines to the home of their key."""
     at = F.col("at")
     masks = lines.join(index, ["h1", "h2"]).where("first <> home") \
         .groupBy("doc_id", "t1", "t2").agg(F.sort_array(F.collect_set("pos")).alias("at")) \
         .select("doc_id", "t1", "t2", F.array_join(F.transform(at, lambda p, i: F.concat(
             F.repeat(F.lit("0"), p - F.coalesce(F.get(at, i - 1) + 1, F.lit(0))), F.lit("1"))), "")
             .alias("mask"))
-    masks = stored(masks, "line-masks")
-    runs.close()
-    return masks
+    return stored(masks, "line-masks")
 
 
 def dedup_lines(docs: DataFrame, **options) -> DataFrame:
