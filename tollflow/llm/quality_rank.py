@@ -11,7 +11,6 @@ that the threshold itself is ``ACCEPT``.
 from __future__ import annotations
 
 import math
-import zlib
 from dataclasses import dataclass
 from operator import eq
 
@@ -20,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollflow.llm.common import read_table, text_or_empty
+from tollflow.llm.common import hash_share, read_table, text_or_empty
 
 ACCEPT = 0.7
 MAX_LABELLED = 20_000      # bound on the labelled documents used for fitting
@@ -115,7 +114,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     marks = labels.where("doc_id is not null and quality is not null") \
         .where(~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").alias("_id")) \
         .agg(F.min("quality").alias("_quality"))
-    chosen = marks.orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
+    # few more than needed by their hash, so that no task takes the best of every partition
+    share = 1.2 * max_labelled / max(marks.count(), 1)
+    chosen = marks.where(hash_share("_id") < share).orderBy(hash_share("_id"), "_id").limit(max_labelled)
     # one row of a few numbers for each of at most max_labelled ids
     rows = docs.select("doc_id", text_or_empty().alias("_t")) \
         .join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")) \
@@ -145,7 +146,3 @@ def op4_quality_classifier(spark, sf_dir: str) -> DataFrame:
                        score(text_or_empty(), model).alias("score")) \
         .withColumn("predicted", (F.col("score") >= ACCEPT).cast("int"))
 
-
-def crc_class(doc_id) -> int:
-    """The remainder that decides what is held out, outside Spark."""
-    return zlib.crc32(str(doc_id).encode()) % 4
