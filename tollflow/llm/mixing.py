@@ -73,11 +73,18 @@ def mix(docs: DataFrame, share: float = SHARE, weights: tuple = WEIGHTS,
     gives an empty result.  Columns other than doc_id, source and text are
     ignored.
     """
-    sized = stored(docs.select(
-        "doc_id", *carry, "source", word_count(F.col("text")).alias("size"))
-        .withColumn("u", F.xxhash64(F.lit(seed), "doc_id", "size"))
-        .withColumn("range", F.pmod(F.shiftright("u", 20), F.lit(ranges)).cast("int"))
-        .withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
+    counted = stored(docs.select("doc_id", *carry, "source", word_count(F.col("text")).alias("size"))
+                     .withColumn("row", F.monotonically_increasing_id()), "mix-counted")
+    # rows alike in source, doc_id and size are shuffled one by one, or all of them would share a place
+    alike = counted.groupBy(F.col("source").alias("a_source"), F.col("doc_id").alias("a_id"),
+                            F.col("size").alias("a_size")).agg(F.count("*").alias("alike")).where("alike > 1")
+    sized = stored(counted.join(alike, F.col("source").eqNullSafe(F.col("a_source"))
+                                & F.col("doc_id").eqNullSafe(F.col("a_id"))
+                                & (F.col("size") == F.col("a_size")), "left")
+                   .withColumn("u", F.when(F.col("alike").isNull(), F.xxhash64(F.lit(seed), "doc_id", "size"))
+                               .otherwise(F.xxhash64(F.lit(seed), "doc_id", "size", "row")))
+                   .withColumn("range", F.pmod(F.shiftright("u", 20), F.lit(ranges)).cast("int"))
+                   .drop("a_source", "a_id", "a_size", "alike"), "mix-sizes")
     sums = sized.groupBy("source", "range").agg(F.sum("size").alias("words"))
     goals = stored(targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")),
                            share, weights, max_epochs), "mix-targets")
