@@ -99,3 +99,24 @@ def test_blocks_are_time_zone_free(spark):
         r = df.select(C.ten_minute_block("x").alias("b"), C.hour_block("x").alias("h")).first()
         assert r["b"] == dt.datetime(2025, 3, 9, 2, 30) and r["h"] == dt.datetime(2025, 3, 9, 2)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_fixed_value_chains():
+    """The value lists feed both sides of the oracle, so they are pinned here as literals."""
+    from tollflow.functions import columns as C
+    assert C.BOROUGH_PATTERNS == [("Manhattan", "Manhattan"), ("Bronx", "Bronx"), ("Brooklyn", "Brooklyn"),
+                                  ("Queens", "Queens"), ("Staten", "Staten Island")]
+    assert C.FACILITY_PATTERNS == [("Bridge", "Bridge"), ("Tunnel", "Tunnel"),
+                                   ("CBD", "Central Business District"), ("Midtown", "Midtown")]
+    assert C.FACILITY_OTHER == C.VEHICLE_LABEL_OTHER == "Other"
+    assert C.SIMPLE_BOROUGH_PATTERNS == [("Manhattan", "Manhattan"), ("Brooklyn", "Brooklyn")]
+    assert C.SIMPLE_BOROUGH_OTHER == "Other Boroughs"
+    assert C.SEVERITY_BOUNDS == [(10000, "SEVERE"), (5000, "HIGH"), (1000, "MODERATE")]
+    assert C.SEVERITY_DEFAULT == "LOW"
+    assert dict(C.VEHICLE_LABELS) == {
+        "1": "Cars, Pickups and Vans", "2": "Single-Unit Trucks", "3": "Multi-Unit Trucks", "4": "Buses",
+        "5": "Motorcycles", "TLC": "TLC Taxi/FHV"}
+    assert set(C.VALID_VEHICLE_CLASSES) == set(dict(C.VEHICLE_LABELS).values())
+    assert (C.CLASS_CODE_PREFIX, C.CLASS_CODE) == (r"^[0-9]+ - ", r"^([0-9]+|TLC)")
+    assert (C.METRES_PER_MILE, C.CENTS_PER_DOLLAR) == (1609.34, 100)
+    assert (C.PEAK_FIRST_HOUR, C.PEAK_LAST_HOUR) == (5, 20)

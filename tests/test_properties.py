@@ -1,5 +1,5 @@
 """Random raw rows with NULLs and ties: Spark models equal DuckDB running the
-reference-shaped oracle SQL (OR join, EXISTS, re-joined dimensions) on the same rows."""
+oracle SQL on the same rows."""
 
 import datetime as dt
 from collections import Counter
