@@ -32,32 +32,39 @@ def as_date(d):
 @given(first=ROWS, second=ROWS, changed=st.sets(st.sampled_from(DAYS), min_size=1))
 def test_counts_equal_a_full_build(spark, tmp_path_factory, first, second, changed):
     path = str(tmp_path_factory.mktemp("counts") / "c")
-    fc.apply(spark, path, TrafficModels(frame(spark, first)).rollup, None)
+    fc.FilterCounts(spark, path).apply(TrafficModels(frame(spark, first)).rollup, None)
     now = [r for r in first if r[0] not in changed] + [r for r in second if r[0] in changed]
     part = [r for r in second if r[0] in changed]
     for _ in range(2):                                     # the second time changes nothing
-        fc.apply(spark, path, TrafficModels(frame(spark, part)).rollup, [as_date(d) for d in changed])
+        fc.FilterCounts(spark, path).apply(TrafficModels(frame(spark, part)).rollup, [as_date(d) for d in changed])
         m = TrafficModels(frame(spark, now))
-        assert bag(fc.dim_filters(spark, path)) == bag(m.dim_filters)
-        assert bag(fc.dim_filters(spark, path, dedupe=True)) == bag(m.dim_filters.distinct())
-        assert bag(fc.regions(spark, path)) == bag(m.dim_locations.select("detection_region"))
-        assert fc.date_bounds(spark, path).first() == dims.date_bounds(m.domain, "min_date", "max_date").first()
+        assert bag(fc.FilterCounts(spark, path).dim_filters()) == bag(m.dim_filters)
+        assert bag(fc.FilterCounts(spark, path).dim_filters(dedupe=True)) == bag(m.dim_filters.distinct())
+        assert bag(fc.FilterCounts(spark, path).dim_locations()) == bag(m.dim_locations)
+        assert fc.FilterCounts(spark, path).bounds() == tuple(
+            dims.date_bounds(m.domain, "min_date", "max_date").first())
 
 
 def test_stopped_update_changes_nothing_that_is_read(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "c")
     one, two = frame(spark, [("2025-02-01", "Queens Gate", CLASSES[0], 1)]), frame(
         spark, [("2025-02-08", "East 60th St", CLASSES[1], 2)])
-    fc.apply(spark, path, TrafficModels(one).rollup, None)
-    before = bag(fc.dim_filters(spark, path))
+    fc.FilterCounts(spark, path).apply(TrafficModels(one).rollup, None)
+    before = bag(fc.FilterCounts(spark, path).dim_filters())
     with monkeypatch.context() as m:
-        m.setattr(fc.F, "coalesce", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))  # before the log
+        create = spark.createDataFrame          # the log rows are made last
+
+        def stopping(rows, schema):
+            if schema == fc.LOG:
+                raise RuntimeError("lost")
+            return create(rows, schema)
+        m.setattr(spark, "createDataFrame", stopping)
         with pytest.raises(RuntimeError, match="lost"):
-            fc.apply(spark, path, TrafficModels(two).rollup, [as_date("2025-02-08")])
+            fc.FilterCounts(spark, path).apply(TrafficModels(two).rollup, [as_date("2025-02-08")])
     assert files.exists(spark, f"{path}/counts/version=2")
-    assert bag(fc.dim_filters(spark, path)) == before
-    fc.apply(spark, path, TrafficModels(two).rollup, [as_date("2025-02-08")])
-    assert bag(fc.dim_filters(spark, path)) == bag(TrafficModels(one.unionByName(two)).dim_filters)
+    assert bag(fc.FilterCounts(spark, path).dim_filters()) == before
+    fc.FilterCounts(spark, path).apply(TrafficModels(two).rollup, [as_date("2025-02-08")])
+    assert bag(fc.FilterCounts(spark, path).dim_filters()) == bag(TrafficModels(one.unionByName(two)).dim_filters)
 
 
 def test_update_reads_only_changed_dates_and_counts(spark, tmp_path):

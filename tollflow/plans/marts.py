@@ -25,9 +25,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollflow.operators import dashboard as D
-from tollflow.operators import dims, quality
+from tollflow.operators import quality
 from tollflow.operators.kpi import kpi_congestion
-from tollflow.plans import filter_counts
+from tollflow.plans.filter_counts import FilterCounts
 from tollflow.plans.models import TrafficModels
 from tollflow.session import scratch_path
 from tollflow.sources import files
@@ -206,23 +206,17 @@ def build(spark: SparkSession, raw_path: str, marts: str, peak_scope: str = "dat
     small = TrafficModels(None, rollup=read_table(spark, marts, "_rollup"), **options)
     write_table(kpi_congestion(read_table(spark, marts, "fact_traffic")), marts, "kpi_congestion")
     write_table(small.metrics_with_peak, marts, "_metrics")
-    counts = path_of(marts, COUNTS)
-    filter_counts.apply(spark, counts, small.rollup, None)
-    for name, df in dimensions(spark, counts, dedupe_filters).items():
-        write_table(df, marts, name)
+    counts = FilterCounts(spark, path_of(marts, COUNTS))
+    counts.apply(small.rollup, None)
+    write_table(counts.dim_time(), marts, "dim_time")
+    write_table(counts.dim_locations(), marts, "dim_locations")
+    write_table(counts.dim_filters(dedupe_filters), marts, "dim_filters")
     write_table(D.dashboard_traffic(read_table(spark, marts, "_metrics"),
                                     read_table(spark, marts, "dim_filters")),
                 marts, "dashboard_traffic")
     _append_record(spark, listing, marts, None, small)
 
 
-def dimensions(spark: SparkSession, counts: str, dedupe_filters: bool) -> dict[str, DataFrame]:
-    """The three dimensions from the reference counts, the filter table last."""
-    return {"dim_time": dims.dim_time(filter_counts.date_bounds(spark, counts)),
-            "dim_locations": dims.dim_locations(filter_counts.regions(spark, counts)),
-            "dim_filters": filter_counts.dim_filters(spark, counts, dedupe_filters)}
-
-
 def update(spark: SparkSession, raw_path: str, marts: str, dates: list, peak_scope: str = "date",
            dedupe_filters: bool = False) -> None:
     """Rebuild ``dates`` in every mart, as a full build would leave them.
@@ -244,15 +238,14 @@ def update(spark: SparkSession, raw_path: str, marts: str, dates: list, peak_sco
                 "kpi_congestion", only_present=True)
     write_table(part.metrics_with_peak, marts, "_metrics", only_present=True)
 
-    counts = path_of(marts, COUNTS)
-    if filter_counts.is_kept(spark, counts):
-        filter_counts.apply(spark, counts, part.rollup, dates)
+    counts = FilterCounts(spark, path_of(marts, COUNTS))
+    if counts.kept:
+        counts.apply(part.rollup, dates)
     else:                                       # marts that were built before the counts were kept
-        filter_counts.apply(spark, counts, read_table(spark, marts, "_rollup"), None)
-    new = dimensions(spark, counts, dedupe_filters)
+        counts.apply(read_table(spark, marts, "_rollup"), None)
     path = scratch_path(spark, "dim-filters")
-    new["dim_filters"].write.parquet(path)
-    filters = new["dim_filters"] = spark.read.parquet(path)
+    counts.dim_filters(dedupe_filters).coalesce(1).write.parquet(path)
+    filters = spark.read.parquet(path)
     changed = _changed_types(read_table(spark, marts, "dim_filters"), filters)
     dashboard = path_of(marts, "dashboard_traffic")
     for kind in files.subfolders(spark, dashboard, "_type"):       # six at most
@@ -267,9 +260,14 @@ def update(spark: SparkSession, raw_path: str, marts: str, dates: list, peak_sco
         write_table(D.dashboard_traffic(read_table(spark, marts, "_metrics", days),
                                         filters.where(kinds)),
                     marts, "dashboard_traffic", only_present=True)
-    # the filter table last: a run that stops before finds the change again
-    for name, df in new.items():
-        write_table(df, marts, name)
+    # dimensions are rewritten where they changed, the filter table last
+    held = read_table(spark, marts, "dim_time").agg(F.min("toll_date"), F.max("toll_date")).first()
+    if tuple(held) != counts.bounds():
+        write_table(counts.dim_time(), marts, "dim_time")
+    if "location" in changed:
+        write_table(counts.dim_locations(), marts, "dim_locations")
+    if changed:
+        write_table(filters, marts, "dim_filters")
     _append_record(spark, listing, marts, dates, part)
 
 

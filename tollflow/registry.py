@@ -18,8 +18,9 @@ from tollflow.functions import columns as C
 from tollflow.operators import audits, quality, reports
 from tollflow.operators.dims import time_periods
 from tollflow.operators.fact import join_location, join_time
-from tollflow.plans import daily, filter_counts, marts
+from tollflow.plans import daily, marts
 from tollflow.plans import incremental as inc
+from tollflow.plans.filter_counts import FilterCounts
 from tollflow.plans.models import TrafficModels
 from tollflow.session import scratch_path
 from tollflow.sources import files, pages
@@ -335,13 +336,13 @@ def dim_filters_incremental(spark, sf_dir):
         c: F.col(c) + F.expr("INTERVAL 200 DAYS") for c in ("toll_date", "toll_hour")})
     passing = passing.withColumn("detection_region", F.lit("Closed Gate"))
     first = raw.where((day <= through) & (~late | (F.col("hour_of_day") < 12))).unionByName(passing)
-    filter_counts.apply(spark, path, TrafficModels(first).rollup, None)
+    FilterCounts(spark, path).apply(TrafficModels(first).rollup, None)
     dates = [r[0] for r in raw.where(late | (day > through)).unionByName(passing)
              .select(day).distinct().collect()]                               # one per calendar day
     second = raw.where(late | (day > through))
     for _ in range(2):                                     # the second time changes nothing
-        filter_counts.apply(spark, path, TrafficModels(second).rollup, dates)
-    return filter_counts.dim_filters(spark, path)
+        FilterCounts(spark, path).apply(TrafficModels(second).rollup, dates)
+    return FilterCounts(spark, path).dim_filters()
 
 
 # ---- data quality -------------------------------------------------------------
