@@ -38,8 +38,8 @@ from tollflow.llm.common import packed, read_table, sha256_hex, stored, text_or_
 from tollflow.session import scratch_path
 
 LEXICON_WORDS = 200_000    # bound on the frequent words that are compiled
-MEMO = 200_000             # chunks of a generation that a worker remembers; it keeps two
-COUNTED = 200_000          # distinct chunks that a worker counts before it passes them on
+MEMO = 120_000             # chunks of a generation that a worker remembers; it keeps two
+COUNTED = 150_000          # distinct chunks that a worker counts before it passes them on
 ROWS = 500                 # texts handled together in a worker
 SIDE_BY_SIDE = 32          # bytes of a word up to which words are merged together
 TAILS = ".,;:!?"           # signs that often follow a word
