@@ -260,14 +260,14 @@ def update(spark: SparkSession, raw_path: str, marts: str, dates: list, peak_sco
         write_table(D.dashboard_traffic(read_table(spark, marts, "_metrics", days),
                                         filters.where(kinds)),
                     marts, "dashboard_traffic", only_present=True)
-    # dimensions are rewritten where they changed, the filter table last
+    # calendar and locations are rewritten where they changed; the filter table last, so that a
+    # run that stops before it finds the change again
     held = read_table(spark, marts, "dim_time").agg(F.min("toll_date"), F.max("toll_date")).first()
     if tuple(held) != counts.bounds():
         write_table(counts.dim_time(), marts, "dim_time")
     if "location" in changed:
         write_table(counts.dim_locations(), marts, "dim_locations")
-    if changed:
-        write_table(filters, marts, "dim_filters")
+    write_table(filters, marts, "dim_filters")
     _append_record(spark, listing, marts, dates, part)
 
 
