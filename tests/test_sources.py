@@ -199,6 +199,76 @@ def test_one_page_a_file(spark, tmp_path):
     assert {r["file_path"].split("page_name=")[1][0] for r in bad} == {"b", "d", "e"}
 
 
+def _bytes_read(spark):
+    stats = spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics()
+    return sum(stats.get(i).getBytesRead() for i in range(stats.size()))
+
+
+def test_a_page_file_is_read_once(spark, tmp_path):
+    """The text of numbers is not fetched one by one from the file; a file over several splits is one page."""
+    n = 2000
+    record = {"toll_date": "2025-01-05T00:00:00.000", "minute_of_hour": 3, "hour_of_day": 9, "crz_entries": 1.50}
+    good = json.dumps({"value": [{**record, "crz_entries": i} for i in range(n)] + [record]}, indent=2)
+    pages.land_page_files(spark.createDataFrame([("a", good), ("b", good[:-20])], "page_name string, text string"),
+                          str(tmp_path / "in"))
+    for split in ("128m", "64k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            before = _bytes_read(spark)
+            records, rejects = pages.read_pages_checked(spark, str(tmp_path / "in"), multi_line=True)
+            read = _bytes_read(spark) - before
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert sorted(r["crz_entries"] for r in records.collect()) == list(range(n))
+        bad = {r["failed_fields"]: r["source"] for r in rejects.collect()}
+        assert rejects.count() == 2 and bad[pages.BAD_PAGE] == good[:-20] + "\n"
+        assert json.loads(bad["crz_entries"])["crz_entries"] == "1.5"
+        if split == "128m":
+            assert read < 3 * 2 * len(good)
+
+
+def test_odd_page_files_read_as_by_the_multiline_reader(spark, tmp_path):
+    date = '"toll_date": "2025-01-05T00:00:00.000"'
+    texts = {
+        "numbers": '{\n "value": [\n {%s, "crz_entries": 7, "minute_of_hour": 1.50, "hour_of_day": 1e3,\n'
+                   '"vehicle_class": {"a":  1,\n "b": [1, 2.0]}, "detection_region": "caf\u00e9 \\u00e9"}\n]}\n' % date,
+        "void": "", "blank": " \n \n", "text": "hello\n", "null": "null", "number": "5", "object": "{}",
+        "pages": '[{"value": [{%s, "crz_entries": 1}]},\n {"value": [{%s, "crz_entries": 2}]}]' % (date, date),
+        "two": '{"value": [{%s, "crz_entries": 1}]}\n{"value": []}\n' % date,
+        "trail": '{"value": [{%s, "crz_entries": 1}]}\n rest' % date, "mixed": '{"value": [{%s}, 5, null]}' % date,
+        "control": '{"value": [{%s, "vehicle_class": "a\x1eb"}]}' % date, "nul": '{"value": [{%s}]}\0\0' % date,
+        "crlf": '{\r\n"value": [\r\n{%s, "crz_entries": 1}\r\n]\r\n}\r\n' % date,
+        "mark": '\ufeff{"value": [{%s, "crz_entries": 1}]}' % date}
+    for name, text in texts.items():
+        (tmp_path / "in" / f"page_name={name}").mkdir(parents=True)
+        (tmp_path / "in" / f"page_name={name}" / "p.txt").write_bytes(text.encode())
+    multi = pages.tagged_records(pages.text_envelopes(spark.read).json(str(tmp_path / "in"), multiLine=True)
+                                 .withColumn("file_path", F.col("_metadata.file_path")))
+    for got, want in zip(pages.read_pages_checked(spark, str(tmp_path / "in"), multi_line=True),
+                         pages.split_tagged(multi)):
+        assert want.count() > 0 and bag(got) == bag(want)
+
+
+def test_a_page_of_many_records_is_dealt_over_parts(spark):
+    rows = [raw_row(day="2025-02-01", hour=1, entries=5)] * 500 + [raw_row(day="2025-02-01", hour=9)] * 3 \
+        + [raw_row(day=None)] * 40
+    raw = make_raw(spark, rows)
+    name = F.concat(F.date_format("toll_date", "yyyyMMdd"), F.lit("-"), F.col("hour_of_day").cast("string"))
+    dealt = pages.deal_pages(raw, name, page_records=20)
+    assert bag(dealt.select(*raw.columns)) == bag(raw)
+    sizes = {(r["page_name"], r["page_part"]): r["count"]
+             for r in dealt.groupBy("page_name", "page_part").count().collect()}
+    parts = {n: sorted(p for m, p in sizes if m == n) for n, _ in sizes}
+    assert parts["20250201-9"] == [0] and parts[None][0] == parts["20250201-1"][0] == 0
+    assert len(parts["20250201-1"]) > 20 and max(sizes.values()) < 60
+
+
+def test_multiline_query_with_pages_of_few_records(spark):
+    from tollflow.registry import src_pages_multiline
+    few, usual = src_pages_multiline(spark, SF_SMALL, page_records=10), src_pages_multiline(spark, SF_SMALL)
+    assert bag(few) == bag(usual) and few.where("failed_fields = 'page'").first()["records"] == 1
+
+
 def test_statistics_come_from_footers(spark, tmp_path):
     path = str(tmp_path / "raw")
     rows = [raw_row(day="2025-02-01", entries=3), raw_row(day="2025-02-01", entries=None),

@@ -127,20 +127,27 @@ def src_pages_rejects(spark, sf_dir):
         .groupBy("toll_date", "failed_fields").agg(F.count("*").alias("records"))
 
 
-def src_pages_multiline(spark, sf_dir):
-    """One page a file, over many lines: what is read and rejected, with a cut page and an empty one."""
+def src_pages_multiline(spark, sf_dir, page_records=pages.PAGE_FILE_RECORDS):
+    """One page a file, over many lines: what is read and rejected, with a cut page and an empty one.
+
+    A page of many records is served in parts, a file each; nothing follows where the cut page ends.
+    """
     raw = load_raw(spark, sf_dir)
     record = F.struct(*[(F.when(F.col("minute_of_hour") == O.BAD_COUNT_MINUTE, "lots")
                          .otherwise(F.col(n).cast("string")) if n == "crz_entries" else F.col(n)).alias(n)
                         for n in raw.columns])
     name = F.concat(F.date_format("toll_date", "yyyyMMdd"), F.lit("-"),
                     F.floor(F.col("hour_of_day") / O.PAGE_HOURS).cast("string"))
-    page = raw.groupBy(name.alias("page_name")).agg(F.collect_list(record).alias("value"))
+    page = pages.deal_pages(raw, name, page_records).groupBy("page_name", "page_part") \
+        .agg(F.collect_list(record).alias("value"))
     text = F.to_json(F.struct("value"), {"pretty": "true"})
-    cut = F.when(F.col("page_name") == O.CUT_PAGE_NAME, F.left(text, F.lit(500))).otherwise(text)
+    is_cut = F.col("page_name").eqNullSafe(F.lit(O.CUT_PAGE_NAME))
+    cut = F.when(is_cut, F.left(text, F.lit(500))).otherwise(text)
+    file_name = F.concat(F.coalesce("page_name", F.lit("undated")), F.lit("-part"), F.col("page_part"))
+    landed = page.where(~is_cut | (F.col("page_part") == 0)).select(file_name.alias("page_name"), cut.alias("text"))
     empty = spark.createDataFrame([("empty", '{\n  "value": []\n}')], "page_name string, text string")
     path = scratch_path(spark, "pages-multiline")
-    pages.land_page_files(page.select("page_name", cut.alias("text")).unionByName(empty), path)
+    pages.land_page_files(landed.unionByName(empty), path)
     records, rejects = pages.read_pages_checked(spark, path, multi_line=True)
     good = records.select(F.to_date("toll_date").alias("toll_date"), F.lit("").alias("failed_fields"))
     return good.unionByName(rejects.select("toll_date", "failed_fields")) \

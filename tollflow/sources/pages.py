@@ -34,6 +34,9 @@ PAGE_TEXT_SCHEMA = T.StructType([
 HISTORY_START = "2025-01-01"
 HISTORY_END = "2025-04-12"
 BAD_PAGE = "page"          # failed_fields of a page that cannot be read at all
+PAGE_FILE_RECORDS = 20_000  # records of a page file (about 11 MB as pretty-printed text)
+# Separates pages where one file is one page, so it occurs in none: JSON has no raw control characters.
+_NO_SEPARATOR = "\u001e-- no page holds this line --\u001e"
 _CORRUPT = "_corrupt_record"
 
 
@@ -93,9 +96,15 @@ def read_pages_checked(spark: SparkSession, path: str,
     type, or when it has no readable date; a page that does not parse or has no
     ``value`` is a reject of its own, without a date.  The pages are parsed once,
     into a typed table in the shared scratch folder that both frames read.
+
+    With ``multi_line`` a file (UTF-8) is one page, taken as one record of the
+    JSON Lines reader by a separator that no page holds.  Spark's ``multiLine``
+    reader goes back to the file for the text of every number (about 9 KB each).
     """
-    tagged = tagged_records(text_envelopes(spark.read).json(path, multiLine=multi_line)
-                            .withColumn("file_path", F.col("_metadata.file_path")))
+    reader = text_envelopes(spark.read)
+    if multi_line:
+        reader = reader.option("lineSep", _NO_SEPARATOR)
+    tagged = tagged_records(reader.json(path).withColumn("file_path", F.col("_metadata.file_path")))
     kept = scratch_path(spark, "page-records")
     tagged.write.parquet(kept)
     return split_tagged(spark.read.schema(tagged.schema).parquet(kept))
@@ -147,6 +156,22 @@ def land_pages(raw: DataFrame, path: str, page_rows: int = 1000) -> None:
     raw.select(*RAW_FIELDS).mapInArrow(cut, PAGE_SCHEMA).write.mode("overwrite").json(path)
 
 
+def deal_pages(raw: DataFrame, name: Column, page_records: int = PAGE_FILE_RECORDS) -> DataFrame:
+    """``raw`` with page_name and page_part: a page's records in parts of about ``page_records``.
+
+    A page grows with the records of its time, a part does not, and each part is a page
+    file.  The first record of a page opens part 0, the others are dealt by a hash of
+    their place in the input.  One row a page is broadcast, so few as there are names.
+    """
+    rows = raw.withColumn("page_name", name).withColumn("_id", F.monotonically_increasing_id())
+    sizes = rows.groupBy(F.col("page_name").alias("_name")).agg(
+        F.ceil(F.count(F.lit(1)) / page_records).alias("_parts"), F.min("_id").alias("_first"))
+    part = F.when(F.col("_id") == F.col("_first"), F.lit(0).cast("long")) \
+        .otherwise(F.pmod(F.xxhash64("_id"), "_parts"))
+    return rows.join(F.broadcast(sizes), F.col("page_name").eqNullSafe(F.col("_name"))) \
+        .select(*raw.columns, "page_name", part.alias("page_part"))
+
+
 def land_page_files(pages: DataFrame, path: str) -> None:
     """Write page texts (columns page_name, text) as one file per page, as a source serves them."""
     pages.select("page_name", F.col("text").alias("value")).repartition("page_name") \
